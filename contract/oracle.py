@@ -129,7 +129,8 @@ RELATIONS = {
     FROM raw_prices WHERE prix_id IS NOT NULL""",
     "staged_prices": """
     SELECT any_value(station_id) AS station_id, any_value(carburant_id) AS carburant_id,
-        arg_max(carburant, prix_litre) AS carburant, any_value(maj_at) AS maj_at,
+        coalesce(arg_max(carburant, prix_litre), max(carburant)) AS carburant,
+        any_value(maj_at) AS maj_at,
         any_value(jour_releve) AS jour_releve, max(prix_litre) AS prix_litre,
         max(_source_year) AS _source_year, max(_source_file) AS _source_file,
         max(_loaded_at) AS _loaded_at
@@ -153,15 +154,15 @@ RELATIONS = {
     FROM daily AS d JOIN calendar AS c ON c.jour >= d.jour AND c.jour <= d.jour + 7
     QUALIFY d.jour = max(d.jour) OVER (PARTITION BY d.station_id, d.carburant_id, c.jour)""",
     "history": """
-    SELECT *, lag(prix_litre) OVER p AS avant, row_number() OVER p AS rang
+    SELECT *, lag(prix_litre) OVER p AS avant
     FROM staged_prices WINDOW p AS (PARTITION BY station_id, carburant_id ORDER BY maj_at)""",
     "price_changes": f"""
     SELECT station_id, carburant_id, carburant, maj_at, prix_litre, avant AS prix_precedent,
-        prix_litre - avant AS variation, rang = 1 AS est_premier_releve,
+        prix_litre - avant AS variation, avant IS NULL AS est_premier_releve,
         {suspect()} AS est_prix_suspect,
         max(maj_at) OVER (PARTITION BY station_id, carburant_id ORDER BY maj_at
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS changement_precedent_at
-    FROM (SELECT * FROM history WHERE rang = 1 OR prix_litre <> avant)""",
+    FROM (SELECT * FROM history WHERE prix_litre IS DISTINCT FROM avant)""",
     "current_prices": f"""
     SELECT s.station_id, s.carburant_id, s.carburant, s.prix_litre, s.maj_at,
         {suspect("s.carburant_id", "s.prix_litre")} AS est_prix_suspect,
@@ -609,9 +610,9 @@ def checks() -> dict[str, str]:
         "not_null": lake(
             not_null(),
             raw_stations=where("raw_stations", "ville = 'BUILDING'", adresse="NULL", latitude="''"),
-            raw_prices=where(
-                "raw_prices", "prix_id = '1' AND valeur = '1.400'", prix_nom="NULL", valeur="NULL"
-            ),
+            raw_prices="""SELECT * REPLACE (CASE WHEN prix_id <> '1' THEN prix_nom END AS prix_nom,
+                CASE WHEN prix_id = '2' AND valeur = '1.400' THEN NULL ELSE valeur END AS valeur)
+                FROM raw_prices_0""",
         ),
         "accepted_values": lake(
             " UNION ALL ".join([

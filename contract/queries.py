@@ -407,9 +407,9 @@ def damaged_addresses(lake: PriceLake) -> PriceLake:
 def with_nulls(lake: PriceLake) -> PriceLake:
     nothing = F.lit(None).cast("string")
     lake = on_town("BUILDING", adresse=nothing, latitude=F.lit(""))(lake)
-    hit = (F.col("prix_id") == "1") & (F.col("valeur") == "1.400")
-    prices = defects.replaced(lake.raw_prices, hit, prix_nom=nothing, valeur=nothing)
-    return lake.with_relations(raw_prices=prices)
+    prices = defects.replaced(lake.raw_prices, F.col("prix_id") == "1", prix_nom=nothing)
+    hit = (F.col("prix_id") == "2") & (F.col("valeur") == "1.400")
+    return lake.with_relations(raw_prices=defects.replaced(prices, hit, valeur=nothing))
 
 
 def unchanged(lake: PriceLake) -> PriceLake:
