@@ -13,10 +13,11 @@ from contract import mapping as m
 from tarifa.functions.numbers import decimal_percentile, is_suspect
 from tarifa.functions.text import repair_double_encoding
 from tarifa.functions.time import (
-    instant_to_utc,
-    read_wall_clock,
-    utc_to_wall_clock,
-    wall_clock_to_utc,
+    clock_day,
+    clock_to_instant,
+    instant_to_clock,
+    read_clock,
+    utc_clock,
 )
 from tarifa.operators import medians, retention, sampling
 from tarifa.plans import exports
@@ -42,7 +43,7 @@ def wire(frame: DataFrame) -> DataFrame:
         if isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, T.TimestampType):
-            column = instant_to_utc(column).cast("string")
+            column = utc_clock(column).cast("string")
         elif isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
             column = column.cast("string")
         columns.append(column.alias(field.name))
@@ -196,12 +197,12 @@ def paris_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local times around both clock changes to UTC and back."""
     events = m.table(spark, sf_dir, "events")
     texts = [m.hour_text(F.col("ts"), days) for days in (80, 280)]
-    utc = wall_clock_to_utc(F.col("local"), m.SETTINGS.zone)
+    utc = clock_to_instant(F.col("local"), m.SETTINGS.zone)
     return (
         events.select("event_id", F.explode(F.array(*texts)).alias("local"))
-        .withColumn("local", read_wall_clock(F.col("local")))
+        .withColumn("local", read_clock(F.col("local")))
         .withColumn("utc", utc)
-        .withColumn("jour", F.to_date(utc_to_wall_clock(F.col("utc"), m.SETTINGS.zone)))
+        .withColumn("jour", clock_day(instant_to_clock(F.col("utc"), m.SETTINGS.zone)))
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.functions.numbers import is_suspect
+from tarifa.functions.time import clock_day
 from tarifa.operators.staging import PAIR
 
 
@@ -23,7 +24,7 @@ def price_changes(staged: DataFrame, settings: Settings) -> DataFrame:
     by_month = Window.partitionBy(*PAIR, "mois").orderBy(*order)
     in_month = (
         staged.select(*PAIR, "carburant", "maj_at", "prix_litre")
-        .withColumn("mois", F.trunc(F.to_date("maj_at"), "month"))
+        .withColumn("mois", F.trunc(clock_day(F.col("maj_at")), "month"))
         .withColumn("precedent_mois", F.lag("prix_litre").over(by_month))
         .withColumn("rang", F.row_number().over(by_month))
         .where((F.col("rang") == 1) | ~F.col("prix_litre").eqNullSafe(F.col("precedent_mois")))

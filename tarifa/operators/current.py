@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.functions.numbers import is_suspect
-from tarifa.functions.time import days_between, utc_to_wall_clock
+from tarifa.functions.time import clock_day, days_between, instant_to_clock
 from tarifa.operators.staging import PAIR
 
 
@@ -23,8 +23,8 @@ def current_prices(reports: DataFrame, settings: Settings) -> DataFrame:
     )
     reference = reports.agg(F.max("maj_at").alias("reference_at"))
 
-    def local_day(utc):
-        return F.to_date(utc_to_wall_clock(utc, settings.zone))
+    def local_day(instant):
+        return clock_day(instant_to_clock(instant, settings.zone))
 
     price = F.col("dernier.prix_litre")
     return latest.crossJoin(F.broadcast(reference)).select(

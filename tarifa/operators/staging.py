@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.functions.text import repair_double_encoding, trim_spaces
-from tarifa.functions.time import read_wall_clock, wall_clock_to_utc
+from tarifa.functions.time import clock_day, clock_to_instant, read_clock
 from tarifa.schemas import LINEAGE_COLUMNS
 
 PAIR = ["station_id", "carburant_id"]
@@ -19,13 +19,14 @@ def typed_reports(raw_prices: DataFrame, settings: Settings) -> DataFrame:
     A narrow projection over the scan. Readers that are not disturbed by conflicting reports
     (a maximum, a set of days) use it and save the shuffle of ``staged_prices``.
     """
-    clock = read_wall_clock(F.col("maj"))
-    return raw_prices.where(F.col("prix_id").isNotNull()).select(
+    clock = F.col("_clock")
+    read = raw_prices.where(F.col("prix_id").isNotNull()).withColumn("_clock", read_clock(F.col("maj")))
+    return read.select(
         F.col("pdv_id").cast("int").alias("station_id"),
         F.col("prix_id").cast("smallint").alias("carburant_id"),
         F.col("prix_nom").alias("carburant"),
-        wall_clock_to_utc(clock, settings.zone).alias("maj_at"),
-        F.to_date(clock).alias("jour_releve"),
+        clock_to_instant(clock, settings.zone).alias("maj_at"),
+        clock_day(clock).alias("jour_releve"),
         F.col("valeur").cast("decimal(8,3)").alias("prix_litre"),
         *LINEAGE_COLUMNS,
         F.col("pdv_id").alias("_pdv_id"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarifa.config import ROAD_TYPES
 from tarifa.functions.text import has_double_encoding
-from tarifa.functions.time import instant_to_utc, read_wall_clock, try_wall_clock
+from tarifa.functions.time import clock_day, read_clock, try_clock
 from tarifa.operators.staging import PAIR
 from tarifa.operators.stations import priced_versions
 from tarifa.plans.lake import PriceLake
@@ -32,19 +32,21 @@ def union(frames: list[DataFrame]) -> DataFrame:
 
 
 def maj_parsable(lake: PriceLake) -> DataFrame:
-    return filled(lake).where(try_wall_clock(F.col("maj")).isNull()).select(*RAW_REPORT)
+    return filled(lake).where(try_clock(F.col("maj")).isNull()).select(*RAW_REPORT)
 
 
 def maj_in_file_year(lake: PriceLake) -> DataFrame:
-    year = F.year(read_wall_clock(F.col("maj")))
+    year = F.year(clock_day(read_clock(F.col("maj"))))
     return filled(lake).where(year != F.col("_source_year")).select(*RAW_REPORT)
 
 
 def spring_gap_hour(lake: PriceLake) -> DataFrame:
     """Local times that do not exist: 02:xx on the last Sunday of March."""
-    clock = read_wall_clock(F.col("maj"))
-    last_sunday = (F.month(clock) == 3) & (F.dayofweek(clock) == 1) & (F.dayofmonth(clock) >= 25)
-    return filled(lake).where(last_sunday & (F.hour(clock) == 2)).select(*RAW_REPORT)
+    clock = read_clock(F.col("maj"))
+    day = clock_day(clock)
+    last_sunday = (F.month(day) == 3) & (F.dayofweek(day) == 1) & (F.dayofmonth(day) >= 25)
+    hour = F.floor(F.unix_seconds(clock) / 3600) % 24
+    return filled(lake).where(last_sunday & (hour == 2)).select(*RAW_REPORT)
 
 
 def empty_tags_alone(lake: PriceLake) -> DataFrame:
@@ -104,9 +106,8 @@ def price_range(lake: PriceLake) -> DataFrame:
 
 
 def not_in_future(lake: PriceLake) -> DataFrame:
-    loaded = instant_to_utc(F.col("_loaded_at"))
-    return lake.staged_prices.where(F.col("maj_at") > loaded).select(
-        "station_id", "carburant", "maj_at", loaded.alias("_loaded_at"), "_source_file"
+    return lake.staged_prices.where(F.col("maj_at") > F.col("_loaded_at")).select(
+        "station_id", "carburant", "maj_at", "_loaded_at", "_source_file"
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarifa.functions.text import trim_spaces
-from tarifa.functions.time import days_between, utc_to_wall_clock
+from tarifa.functions.time import clock_day, days_between, instant_to_clock
 from tarifa.operators import staging
 from tarifa.operators.in_force import expand_periods, validity_periods
 from tarifa.operators.staging import PAIR
@@ -164,7 +164,7 @@ def reference_at_start(lake: PriceLake) -> PriceLake:
     start = lake.reports.agg(F.min("maj_at").alias("debut"))
 
     def local_day(name: str) -> Column:
-        return F.to_date(utc_to_wall_clock(F.col(name), lake.settings.zone))
+        return clock_day(instant_to_clock(F.col(name), lake.settings.zone))
 
     changed = (
         lake.current_prices.drop("reference_at", "nombre_jours_depuis_maj")

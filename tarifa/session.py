@@ -23,6 +23,8 @@ def build_session(app: str = "tarifa", master: str | None = None, **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Call sites of each column expression cost more than building the plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -49,8 +49,14 @@ def test_suspect_prices(spark):
     assert column(spark, rows, "f smallint, p decimal(8,3)", flag) == [False, True, False, True, False, None]
 
 
+def utc_texts(spark, clocks):
+    frame = spark.createDataFrame([(c,) for c in clocks], "t string")
+    instant = time.clock_to_instant(time.read_clock(F.col("t")), "Europe/Paris")
+    return [r[0] for r in frame.select(time.utc_clock(instant).cast("string")).collect()]
+
+
 @pytest.mark.parametrize("zone", ["UTC", "Europe/Paris", "America/New_York"])
-def test_local_clock_to_utc(spark, zone):
+def test_local_clock_to_instant(spark, zone):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
@@ -59,15 +65,18 @@ def test_local_clock_to_utc(spark, zone):
             "2025-10-26T03:00:00": "2025-10-26 02:00:00",
             "2025-03-30T02:30:00": "2025-03-30 01:30:00",
             "2025-07-01T02:30:00": "2025-07-01 00:30:00",
-            "2025-03-09T02:30:00": "2025-03-09 01:30:00",
+            "2025-03-09T03:30:00": "2025-03-09 02:30:00",
+            "2025-07-01": "2025-06-30 22:00:00",
+            " 2025-01-02 00:37:00.5": "2025-01-01 23:37:00.5",
         }
-        clock = time.read_wall_clock(F.col("t"))
-        utc = time.wall_clock_to_utc(clock, "Europe/Paris")
-        found = column(spark, [(k,) for k in pairs], "t string", utc.cast("string"))
-        assert found == list(pairs.values())
-        assert column(spark, [("2025-03-09T02:30:00",)], "t string", time.utc_minute_text(clock)) == [
-            "2025-03-09T02:30Z"
-        ]
+        assert utc_texts(spark, pairs) == list(pairs.values())
+        frame = spark.createDataFrame([("2025-03-09T03:30:00",), ("1969-12-31T23:30:00",)], "t string")
+        clock = time.read_clock(F.col("t"))
+        instant = time.clock_to_instant(clock, "Europe/Paris")
+        row = frame.select(time.utc_minute_text(instant), time.clock_day(clock)).collect()
+        assert [tuple(r) for r in row] == [
+            ("2025-03-09T02:30Z", dt.date(2025, 3, 9)), ("1969-12-31T22:30Z", dt.date(1969, 12, 31)),
+        ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
@@ -79,19 +88,19 @@ def test_every_quarter_hour_around_the_clock_changes(spark):
         dt.datetime(year, month, 24) + i * step
         for year in (2024, 2025, 2026) for month in (3, 10) for i in range(8 * 96)
     ]
-    utc = time.wall_clock_to_utc(time.read_wall_clock(F.col("t")), "Europe/Paris")
-    found = column(spark, [(c.isoformat(),) for c in clocks], "t string", utc)
-    for clock, value in zip(clocks, found):
+    for clock, value in zip(clocks, utc_texts(spark, [c.isoformat() for c in clocks])):
         late = clock.replace(tzinfo=paris, fold=1).astimezone(dt.timezone.utc)
         early = clock.replace(tzinfo=paris, fold=0).astimezone(dt.timezone.utc)
         exists = early.astimezone(paris).replace(tzinfo=None) == clock
-        assert value == (late if exists else early).replace(tzinfo=None), clock
+        assert value == (late if exists else early).strftime("%Y-%m-%d %H:%M:%S"), clock
 
 
 def test_unreadable_time(spark):
     rows = [("2025-13-45T25:00:00",), ("2025-01-02T00:37:00",)]
-    found = column(spark, rows, "t string", time.try_wall_clock(F.col("t")))
+    found = column(spark, rows, "t string", time.try_clock(F.col("t")))
     assert found == [None, dt.datetime(2025, 1, 2, 0, 37)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        utc_texts(spark, ["2025-13-45T25:00:00"])
 
 
 def test_repair_double_encoding(spark):
