@@ -18,12 +18,13 @@ def report_days(reports: DataFrame) -> DataFrame:
 
 
 def daily_last_prices(staged: DataFrame) -> DataFrame:
-    """Price of the day's last report. NULL prices only count when the day has no other."""
-    last = F.max(F.when(F.col("prix_litre").isNotNull(), F.struct("maj_at", "prix_litre")))
-    return (
-        staged.groupBy(*PAIR, "carburant", F.col("jour_releve").alias("jour"))
-        .agg(last.alias("dernier"))
-        .select(*PAIR, "carburant", "jour", F.col("dernier.prix_litre").alias("prix_litre"))
+    """Price of the day's last report. NULL prices only count when the day has no other.
+
+    Price and time are both fixed-width, so this maximum is combined in hash tables without sorting.
+    """
+    priced_at = F.when(F.col("prix_litre").isNotNull(), F.col("maj_at"))
+    return staged.groupBy(*PAIR, "carburant", F.col("jour_releve").alias("jour")).agg(
+        F.max_by("prix_litre", priced_at).alias("prix_litre")
     )
 
 

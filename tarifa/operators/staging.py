@@ -39,16 +39,20 @@ def staged_prices(raw_prices: DataFrame, settings: Settings) -> DataFrame:
     """One report per raw (station, fuel, time): the highest price wins a conflict.
 
     The rank limit is applied in each map task before the shuffle, so copies of one report, however
-    many, reach the shuffle at most once per task. The three-column key spreads a busy station.
+    many, reach the shuffle at most once per task. The key spreads a busy station over all tasks.
+    ``maj_at`` follows from the raw time and changes no group; as the first key it lets the sort decide
+    almost every order by one number. Equal prices are settled by name and lineage, the file as a hash:
+    tables that do not use the file then need not shuffle its name.
     """
-    same_report = Window.partitionBy("_pdv_id", "_prix_id", "_maj").orderBy(
+    same_report = Window.partitionBy("maj_at", "_pdv_id", "_prix_id", "_maj").orderBy(
         F.col("prix_litre").desc_nulls_last(),
+        F.col("carburant").desc_nulls_last(),
         F.col("_source_year").desc_nulls_last(),
-        F.col("_source_file").desc_nulls_last(),
-        F.col("carburant").asc_nulls_last(),
+        F.col("_file"),
     )
     return (
         typed_reports(raw_prices, settings)
+        .withColumn("_file", F.xxhash64("_source_file"))
         .withColumn("_rank", F.row_number().over(same_report))
         .where(F.col("_rank") == 1)
         .select(*PAIR, "carburant", "maj_at", "jour_releve", "prix_litre", *LINEAGE_COLUMNS)
