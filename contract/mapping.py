@@ -28,8 +28,20 @@ RUN_EVENTS = 500
 SETTINGS = Settings()
 
 
+# Declared, so that no job reads file footers before a query starts.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_suppkey bigint, l_linenumber int, l_discount double, l_tax double, "
+    "l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(number: Column) -> Column:

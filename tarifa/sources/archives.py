@@ -21,7 +21,9 @@ NAME_PATTERN = r"_(\d{4})_[^_/]+_(\d{8})\.zip$"
 
 BLOCK_BYTES = 1 << 20
 BATCH_CHARS = 8 << 20
-UNPACKED = "source_file string, ordinal bigint, element string"
+# What every record carries of its archive: lineage needs no join later.
+ORIGIN = ["source_file", "annee", "sha256"]
+UNPACKED = "source_file string, annee int, sha256 string, ordinal bigint, element string"
 # A record without children: its tag must be cut with quotes respected.
 EMPTY_RECORD = re.compile(rb"""<pdv(?:[^>"']|"[^"]*"|'[^']*')*>""")
 
@@ -46,38 +48,46 @@ def source_file(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def archive_manifest(archives: DataFrame) -> DataFrame:
-    """Year and download day from each name, with hash and size."""
+def _origin() -> list[Column]:
     name = source_file(F.col("path"))
-    return archives.select(
+    return [
         name.alias("source_file"),
         F.regexp_extract(name, NAME_PATTERN, 1).cast("int").alias("annee"),
-        F.to_date(F.regexp_extract(name, NAME_PATTERN, 2), "yyyyMMdd").alias("jour"),
         source_hash(F.col("content")).alias("sha256"),
-        F.col("length").alias("octets"),
+    ]
+
+
+def archive_manifest(archives: DataFrame) -> DataFrame:
+    """Year and download day from each name, with hash and size."""
+    day = F.regexp_extract(source_file(F.col("path")), NAME_PATTERN, 2)
+    return archives.select(
+        *_origin(), F.to_date(day, "yyyyMMdd").alias("jour"), F.col("length").alias("octets")
     )
 
 
 def record_slices(stream) -> Iterator[str]:
     """Text of each record, found by a streaming parser; memory holds one record and one block."""
     parser = expat.ParserCreate()
-    state = {"depth": 0, "start": None, "base": 0, "buffer": b"", "encoding": "utf-8"}
+    state = {"root": False, "start": None, "base": 0, "buffer": b"", "encoding": "utf-8"}
     found: list[bytes] = []
 
     def declaration(version, encoding, standalone):
         state["encoding"] = encoding or "utf-8"
 
     def opened(tag, attributes):
-        if state["depth"] == 0 and tag != ROOT_TAG:
-            raise SourceError(f"root tag <{tag}> instead of <{ROOT_TAG}>")
-        state["depth"] += 1
-        if tag == RECORD_TAG and state["start"] is None:
+        if not state["root"]:
+            if tag != ROOT_TAG:
+                raise SourceError(f"root tag <{tag}> instead of <{ROOT_TAG}>")
+            state["root"] = True
+        elif tag == RECORD_TAG:
             state["start"] = parser.CurrentByteIndex
+            # Nothing inside a record is looked at here, which halves the calls from the parser.
+            parser.StartElementHandler = None
 
     def closed(tag):
-        state["depth"] -= 1
         if tag != RECORD_TAG:
             return
+        parser.StartElementHandler = opened
         buffer, base, start = state["buffer"], state["base"], state["start"]
         here = parser.CurrentByteIndex
         if here == start:
@@ -116,17 +126,18 @@ def archive_records(content: bytes) -> Iterator[str]:
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [*ORIGIN, "ordinal", "element"]
     for batch in batches:
-        for name, content in zip(batch["source_file"], batch["content"]):
+        for *origin, content in batch[[*ORIGIN, "content"]].itertuples(index=False):
             rows, size = [], 0
             for ordinal, element in enumerate(archive_records(content)):
-                rows.append((name, ordinal, element))
+                rows.append((*origin, ordinal, element))
                 size += len(element)
                 if size >= BATCH_CHARS:
-                    yield pd.DataFrame(rows, columns=["source_file", "ordinal", "element"])
+                    yield pd.DataFrame(rows, columns=names)
                     rows, size = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=["source_file", "ordinal", "element"])
+                yield pd.DataFrame(rows, columns=names)
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
@@ -135,8 +146,7 @@ def unpack_archives(archives: DataFrame) -> DataFrame:
     A ZIP cannot be split, so an archive is one task here; the task streams and emits bounded batches.
     Parsing the records is left to Spark's XML functions after ``spread_records``.
     """
-    files = archives.select(source_file(F.col("path")).alias("source_file"), "content")
-    return files.mapInPandas(_unpack, UNPACKED)
+    return archives.select(*_origin(), "content").mapInPandas(_unpack, UNPACKED)
 
 
 def spread_records(records: DataFrame) -> DataFrame:
@@ -153,8 +163,8 @@ def parse_records(records: DataFrame) -> DataFrame:
     parsed = F.from_xml(F.col("element"), PDV_ELEMENT, options)
     # Attribute names in the XML, in the order of the raw columns.
     attributes = ["_id", "_latitude", "_longitude", "_cp", "_pop"]
-    return records.select("source_file", "ordinal", parsed.alias("p")).select(
-        "source_file",
+    return records.select(*ORIGIN, "ordinal", parsed.alias("p")).select(
+        *ORIGIN,
         "ordinal",
         *[F.col(f"p.{a}").alias(name) for a, name in zip(attributes, STATION_ATTRIBUTES)],
         "p.adresse",

@@ -15,22 +15,21 @@ from tarifa.sources import archives as arc
 ENTITIES = {"prix": PRICE_COLUMNS, "stations": STATION_COLUMNS}
 
 
-def with_lineage(rows: DataFrame, manifest: DataFrame, loaded_at: Column) -> DataFrame:
-    """Append year, file, hash and load time. The manifest has one row per archive."""
-    lineage = manifest.select(
-        "source_file",
+def with_lineage(rows: DataFrame, loaded_at: Column) -> DataFrame:
+    """Year, file, hash and load time of each row, from what its archive left on it."""
+    return rows.select(
+        *[name for name in rows.columns if name not in {*arc.ORIGIN, "ordinal"}],
         F.col("annee").cast("smallint").alias("_source_year"),
         F.col("source_file").alias("_source_file"),
         F.col("sha256").alias("_source_sha256"),
         loaded_at.cast("timestamp").alias("_loaded_at"),
     )
-    return rows.join(lineage, "source_file").drop("source_file", "ordinal")
 
 
 def land_archives(archives: DataFrame, loaded_at: Column, folder: str) -> DataFrame:
     """Unpack and parse once into a nested table; both raw entities are column subsets of it."""
     parsed = arc.parse_records(arc.spread_records(arc.unpack_archives(archives)))
-    landed = with_lineage(parsed, arc.archive_manifest(archives), loaded_at)
+    landed = with_lineage(parsed, loaded_at)
     landed.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return archives.sparkSession.read.parquet(folder)
 
