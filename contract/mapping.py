@@ -48,6 +48,10 @@ def _text(number: Column) -> Column:
     return number.cast("string")
 
 
+def loaded_at() -> Column:
+    return F.lit(f"{LOADED_AT}Z").cast("timestamp")
+
+
 def _lineage(year: Column, label: str) -> list[Column]:
     return [
         year.cast("smallint").alias("_source_year"),
@@ -55,7 +59,7 @@ def _lineage(year: Column, label: str) -> list[Column]:
             "_source_file"
         ),
         F.sha2(F.concat(F.lit(label), _text(year)), 256).alias("_source_sha256"),
-        F.to_utc_timestamp(F.lit(LOADED_AT).cast("timestamp"), F.current_timezone()).alias("_loaded_at"),
+        loaded_at().alias("_loaded_at"),
     ]
 
 

@@ -83,9 +83,8 @@ def source_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded_at = F.to_utc_timestamp(F.lit(m.LOADED_AT).cast("timestamp"), F.current_timezone())
     archives = m.event_archives(spark, sf_dir)
-    return raw.land_archives(archives, loaded_at, scratch_folder(spark, "landed"))
+    return raw.land_archives(archives, m.loaded_at(), scratch_folder(spark, "landed"))
 
 
 def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
