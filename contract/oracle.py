@@ -637,6 +637,80 @@ def checks() -> dict[str, str]:
     }
 
 
+EVENT_REPORTS = f"""
+    SELECT CAST(user_id + 1 AS VARCHAR) AS pdv_id, {_place("user_id", "user_id")},
+        {FUEL} AS prix_id, event_type AS prix_nom, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS maj,
+        {PRICE} AS valeur, {_lineage("2024", "events")}
+    FROM events"""
+CLEAN_LAKE = {
+    "raw_prices": f"""SELECT * FROM ({EVENT_REPORTS}) UNION ALL
+        SELECT * REPLACE ('1.000' AS valeur) FROM (
+            SELECT * FROM ({EVENT_REPORTS}) ORDER BY pdv_id, prix_id, maj LIMIT 2)""",
+    "raw_stations": CUSTOMER_STATIONS,
+}
+
+
+def defects() -> str:
+    """Offending rows of each check after its own defect; a defect in one row or total gives one."""
+    first = """concat_ws('|', pdv_id, prix_id, maj) = (SELECT concat_ws('|', pdv_id, prix_id, maj)
+        FROM raw_prices_0 ORDER BY pdv_id, prix_id, maj LIMIT 1)"""
+
+    def rows(query: str, **changed: str) -> str:
+        return lake(f"SELECT count(*) AS n FROM ({query})", CLEAN_LAKE, **changed)
+
+    def on_first(query: str, **values: str) -> str:
+        return rows(query, raw_prices=where("raw_prices", first, **values))
+
+    one = "SELECT 1 AS n"
+    counts = [
+        on_first("SELECT * FROM raw_prices WHERE try_cast(maj AS TIMESTAMP) IS NULL", maj="'2025-13-45T25:00:00'"),
+        on_first("SELECT * FROM raw_prices WHERE year(CAST(maj AS TIMESTAMP)) <> _source_year", maj="'1990-06-01T10:00:00'"),
+        one,
+        on_first("SELECT * FROM raw_prices WHERE maj LIKE '2025-03-30T02:%'", maj="'2025-03-30T02:30:00'"),
+        one,
+        one,
+        rows("SELECT 1 FROM reports GROUP BY station_id, carburant_id, maj_at HAVING count(*) > 1"),
+        on_first("SELECT * FROM staged_prices WHERE prix_litre > 4", valeur="'1638'"),
+        one,
+        one,
+        one,
+        rows("SELECT * FROM price_changes WHERE NOT est_premier_releve"),
+        lake(
+            "SELECT count(DISTINCT (station_id, carburant_id)) - count(DISTINCT station_id) AS n FROM staged_prices",
+            CLEAN_LAKE,
+        ),
+        rows("SELECT 1 FROM staged_prices GROUP BY station_id, carburant_id HAVING count(*) > 1"),
+        rows(
+            """SELECT 1 FROM staged_prices GROUP BY station_id, carburant_id
+               HAVING arg_min(prix_litre, maj_at) <> arg_max(prix_litre, maj_at)"""
+        ),
+        rows(
+            f"""SELECT 1 FROM current_prices WHERE CAST({paris("maj_at")} AS DATE) > (
+                SELECT CAST({paris("min(maj_at)")} AS DATE) FROM staged_prices)"""
+        ),
+        on_first("SELECT * FROM staged_prices WHERE maj_at > _loaded_at", maj="'2099-12-31T12:00:00'"),
+        one,
+        rows(
+            """SELECT 1 FROM daily_medians AS m JOIN (
+                   SELECT c.jour, d.carburant_id, count(DISTINCT d.station_id) AS n
+                   FROM calendar AS c JOIN daily AS d ON d.jour >= c.jour - 7 AND d.jour <= c.jour
+                   GROUP BY c.jour, d.carburant_id) AS p
+                 ON p.jour = m.jour AND p.carburant_id = m.carburant_id
+               WHERE m.nombre_stations > p.n""",
+            prices_in_force=TOO_LONG,
+        ),
+        one,
+    ]
+    from tarifa.quality.defects import SCENARIOS
+
+    parts = [
+        f"""SELECT '{s.check}' AS controle, '{s.defect}' AS defaut, CAST(0 AS BIGINT) AS temoin,
+            CAST(n AS BIGINT) AS violations, '{s.expected}' AS statut, n > 0 AS detecte FROM ({count})"""
+        for s, count in zip(SCENARIOS, counts, strict=True)
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def oracle() -> dict[str, str]:
     years = {**EVENT_LAKE, "raw_prices": event_prices(340)}
     shifted = {days: {**EVENT_LAKE, "raw_prices": event_prices(days)} for days in (80, 280)}
@@ -795,5 +869,6 @@ def oracle() -> dict[str, str]:
         ),
         "missing_fuels": lake(MISSING_FUELS),
         "unknown_fuels": lake(UNKNOWN_FUELS, **BROKEN),
+        "defect_injection": defects(),
         **{f"dq_{name}": sql for name, sql in checks().items()},
     }
