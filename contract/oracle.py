@@ -799,7 +799,7 @@ def oracle() -> dict[str, str]:
         "run_results": """SELECT CASE WHEN event_type = 'signup' THEN 'model' ELSE 'test' END AS type_noeud,
             CASE WHEN value > 450 THEN 'fail' WHEN event_type = 'signup' THEN 'success' ELSE 'pass' END AS statut,
             count(*) AS noeuds FROM events GROUP BY ALL""",
-        "run_summary": """SELECT 'build' AS commande, 'all' AS selection, '2024-12-31T06:00:00Z' AS genere_le,
+        "run_summary": """SELECT 'build' AS commande, 'tout le projet' AS selection, '2024-12-31T06:00:00Z' AS genere_le,
             round(event_id // 500 + 0.26, 1)::DOUBLE AS duree_s FROM events GROUP BY event_id // 500""",
         "mart_write": lake(" UNION ALL ".join(counted.format(name) for name in tables)),
         "suspect_flag": lake(

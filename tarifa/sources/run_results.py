@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarifa.functions.text import json_integer, json_number, json_object, json_string
 from tarifa.schemas import RUN_RESULTS
 
+# Fixed value: the selection of a run over everything.
+WHOLE_PROJECT = "tout le projet"
+
 
 def read_run_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     return spark.read.schema(RUN_RESULTS).option("multiLine", multi_line).json(path)
@@ -14,7 +18,7 @@ def read_run_results(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def run_summary(results: DataFrame) -> DataFrame:
     """Command, selection, time and duration of each run."""
-    everything = F.array(F.lit("all"))
+    everything = F.array(F.lit(WHOLE_PROJECT))
     selection = F.when(F.size(F.coalesce("args.select", F.array())) > 0, F.col("args.select"))
     return results.select(
         F.col("args.which").alias("commande"),
@@ -31,3 +35,31 @@ def status_counts(results: DataFrame) -> DataFrame:
     return node.groupBy(kind.alias("type_noeud"), F.col("r.status").alias("statut")).agg(
         F.count(F.lit(1)).alias("noeuds")
     )
+
+
+def execution_document(results: DataFrame) -> DataFrame:
+    """One run as the JSON object of the metadata export (column ``execution``).
+
+    ``results`` holds one run; statuses are few, so the lists gathered here are small.
+    """
+    member = F.concat(json_string(F.col("statut")), F.lit(":"), json_integer(F.col("noeuds")))
+    by_type = status_counts(results).groupBy("type_noeud").agg(
+        F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(member)), ","), F.lit("}")).alias("o")
+    )
+
+    def statuses(kind: str):
+        return F.coalesce(F.max(F.when(F.col("type_noeud") == kind, F.col("o"))), F.lit("{}"))
+
+    counts = by_type.agg(statuses("model").alias("modeles"), statuses("test").alias("tests"))
+    chosen = F.size(F.coalesce("args.select", F.array())) > 0
+    selection = F.when(chosen, F.to_json("args.select")).otherwise(json_string(F.lit(WHOLE_PROJECT)))
+    return results.crossJoin(F.broadcast(counts)).select(
+        json_object(
+            commande=json_string(F.col("args.which")),
+            selection=selection,
+            genere_le=json_string(F.col("metadata.generated_at")),
+            duree_s=json_number(F.round("elapsed_time", 1), 1),
+            modeles=F.col("modeles"),
+            tests=F.col("tests"),
+        ).alias("execution")
+    )

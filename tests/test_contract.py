@@ -27,13 +27,6 @@ def test_query_equals_oracle(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
-def test_defects_are_noticed_on_the_tables(spark):
-    rows = QUERIES["defect_injection"](spark, SF_DIR).collect()
-    missed = [r["controle"] for r in rows if not r["detecte"]]
-    assert len(rows) == 20
-    assert missed == []
-
-
 def test_entry(spark):
     frame = entry_point.entry(spark)
     assert frame.columns == ["jour", "carburant_id", "carburant", "prix_median", "nombre_stations"]

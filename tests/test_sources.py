@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from tarifa.config import Settings
 from tarifa.sources import archives as arc
 from tarifa.sources import raw
-from tarifa.sources.run_results import read_run_results, run_summary, status_counts
+from tarifa.sources.run_results import (
+    execution_document,
+    read_run_results,
+    run_summary,
+    status_counts,
+)
 
 HEAD = '<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n'
 SAMPLE = HEAD + """  <pdv id="1" latitude="4620100" longitude="519800" cp="01000" pop="R">
@@ -147,3 +152,12 @@ def test_run_results(spark, tmp_path):
     assert run_summary(results).first().asDict() == {
         "commande": "build", "selection": "a b", "genere_le": "2026-09-28T10:00:00Z", "duree_s": 12.3,
     }
+    assert json.loads(execution_document(results).first()["execution"]) == {
+        "commande": "build", "selection": ["a", "b"], "genere_le": "2026-09-28T10:00:00Z", "duree_s": 12.3,
+        "modeles": {"success": 1}, "tests": {"pass": 2},
+    }
+    del document["args"]["select"]
+    document["results"] = []
+    path.write_text(json.dumps(document))
+    whole = json.loads(execution_document(read_run_results(spark, str(path))).first()["execution"])
+    assert (whole["selection"], whole["modeles"], whole["tests"]) == ("tout le projet", {}, {})
