@@ -29,5 +29,31 @@ def near_dup(shingle: int, source: str = "documents") -> str:
     """
 
 
+def decontamination(source: str = "documents") -> str:
+    words = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+    WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {words} AS ws FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item, least(len(ws), 10) AS size, unnest(CASE WHEN len(ws) < 10 THEN [array_to_string(ws, ' ')]
+            ELSE list_transform(range(1, len(ws) - 8), lambda i: array_to_string(ws[i : i + 9], ' ')) END) AS phrase
+        FROM items WHERE len(ws) > 0
+    ), docs AS (SELECT doc_id, {words} AS ws FROM {source}),
+    sizes AS (SELECT DISTINCT size FROM windows),
+    runs AS (
+        SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS at, ws FROM docs, sizes WHERE len(ws) >= size
+    ), hits AS (
+        SELECT doc_id, at, r.size, item FROM (SELECT doc_id, size, at, array_to_string(ws[at : at + size - 1], ' ') AS phrase FROM runs) r
+        JOIN windows w ON r.phrase = w.phrase AND r.size = w.size
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + size)) AS word FROM hits) GROUP BY doc_id
+    ), named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+    """
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_near_dup": near_dup(4)}
+    return {"op2_near_dup": near_dup(4), "op9_decontamination": decontamination()}
