@@ -30,7 +30,7 @@ WORD_BYTES = ((CODES >= 48) & (CODES <= 57)) | ((CODES >= 97) & (CODES <= 122))
 
 
 def build_index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The written index: (shard, term, postings) and per shard a row without term that lists its documents.
+    """The written index: (shard, term, postings) and per shard a row that lists its documents instead.
 
     ``terms`` (sorted 64-bit word hashes) restricts it to the terms that will be searched; ``None`` keeps all.
     """
@@ -51,20 +51,21 @@ def build_index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id
                 found, first = np.unique(words[order], return_index=True)
                 blobs = [np.diff(x, prepend=0).astype(np.uint32).tobytes() for x in np.split(order, first[1:])] if len(order) else []
                 shard += 1
-                ids = [batch.column(0).slice(start, end - start).to_pylist()]
+                ids = batch.column(0).slice(start, end - start)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(found) + 1, shard)),
-                        pa.array([None, *found.tolist()], pa.int64()),
+                        pa.array([0, *found.tolist()], pa.int64()),
                         pa.array([b"", *blobs], pa.binary()),
-                        pa.array([*ids, *[None] * len(found)], pa.list_(pa.int64())),
+                        pa.array([ids.fill_null(0).to_pylist(), *[None] * len(found)], pa.list_(pa.int64())),
+                        pa.array([ids.is_valid().to_pylist(), *[None] * len(found)], pa.list_(pa.bool_())),
                         pa.array([bounds, *[None] * len(found)], pa.list_(pa.int64())),
                     ],
-                    names=["shard", "term", "postings", "doc_ids", "bounds"],
+                    names=["shard", "term", "postings", "doc_ids", "named", "bounds"],
                 )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "shard long, term long, postings binary, doc_ids array<long>, bounds array<long>"
+    schema = "shard long, term long, postings binary, doc_ids array<long>, named array<boolean>, bounds array<long>"
     return written(narrow.mapInArrow(shards, schema), "index")
 
 
@@ -126,12 +127,12 @@ def search(index: DataFrame, block: list[tuple[list[int], list[str]]], within: i
     schema = "shard long, place long, doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
     def look_up(pdf: pd.DataFrame) -> pd.DataFrame:
-        listed = pdf["term"].notna()
+        listed = pdf["bounds"].isna()
         directory = pdf[~listed].iloc[0]
         bounds = np.asarray(directory["bounds"], dtype=np.int64)
         postings = {
             int(t): np.cumsum(np.frombuffer(b, dtype=np.uint32), dtype=np.int64)
-            for t, b in zip(pdf["term"][listed].astype("int64"), pdf["postings"][listed], strict=True)
+            for t, b in zip(pdf["term"][listed], pdf["postings"][listed], strict=True)
         }
         starts, ends, which = [], [], []
         for n, (terms, _) in enumerate(block):
@@ -161,8 +162,9 @@ def search(index: DataFrame, block: list[tuple[list[int], list[str]]], within: i
                     spans[d][-1]["end"] = max(spans[d][-1]["end"], e)
                 else:
                     spans[d].append({"start": s, "end": e})
+        ids = pd.arrays.IntegerArray(np.array(directory["doc_ids"], dtype=np.int64), ~np.array(directory["named"], dtype=bool))
         return pd.DataFrame({
-            "shard": directory["shard"], "place": np.arange(n_docs), "doc_id": pd.array(directory["doc_ids"], dtype="Int64"),
+            "shard": directory["shard"], "place": np.arange(n_docs), "doc_id": ids,
             "n_words": np.diff(bounds), "spans": spans, "items": [sorted(x) for x in items],
         })
 

@@ -40,12 +40,12 @@ def decontamination(source: str = "documents") -> str:
     ), docs AS (SELECT doc_id, {words} AS ws FROM {source}),
     sizes AS (SELECT DISTINCT size FROM windows),
     runs AS (
-        SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS at, ws FROM docs, sizes WHERE len(ws) >= size
+        SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS pos, ws FROM docs, sizes WHERE len(ws) >= size
     ), hits AS (
-        SELECT doc_id, at, r.size, item FROM (SELECT doc_id, size, at, array_to_string(ws[at : at + size - 1], ' ') AS phrase FROM runs) r
+        SELECT doc_id, pos, r.size, item FROM (SELECT doc_id, size, pos, array_to_string(ws[pos : pos + size - 1], ' ') AS phrase FROM runs) r
         JOIN windows w ON r.phrase = w.phrase AND r.size = w.size
     ), covered AS (
-        SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + size)) AS word FROM hits) GROUP BY doc_id
+        SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM hits) GROUP BY doc_id
     ), named AS (
         SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
     )
@@ -55,5 +55,70 @@ def decontamination(source: str = "documents") -> str:
     """
 
 
+WARC = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
+
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+    WHERE list_cosine_similarity(x.e, y.e) >= 0.93
+), reach(vec_id, other) AS (
+    SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), least_of AS (SELECT vec_id, min(other) AS m FROM reach GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(least(m, vec_id), vec_id) AS component_id,
+       coalesce(least(m, vec_id), vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least_of USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
+MARKED = r"regexp_replace({}, '([<\[])(\\*)(/?s>|/?INST\])', '\1\2\\\3', 'g')"
+
+CHAT = f"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), numbered AS (
+    SELECT *, row_number() OVER w AS number, CAST(ceil(length(text) / 4) AS BIGINT) + 4 AS tokens,
+           length({MARKED.format("role")}) + length({MARKED.format("text")}) + length('<s>[INST][/INST]</s>') AS chars
+    FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), begun AS (
+    SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY number) - tokens AS begin FROM numbered
+), systems AS (
+    SELECT conv_id, min(number) AS s_number, min_by(tokens, number) AS s_tokens, min_by(chars, number) AS s_chars
+    FROM begun WHERE role = 'system' GROUP BY conv_id
+), cells AS (
+    SELECT *, greatest((512 - 64 - coalesce(s_tokens, 0)) // 2, 64) AS cell FROM begun LEFT JOIN systems USING (conv_id)
+), uses AS (
+    SELECT *, begin // cell AS part, 2 AS use FROM cells
+    UNION ALL SELECT *, begin // cell + 1, 1 FROM cells WHERE begin >= (begin // cell + 1) * cell - 64
+), parts AS (
+    SELECT conv_id, part, sum(chars) + CASE WHEN bool_or(number = s_number) OR any_value(s_chars) IS NULL THEN 0 ELSE any_value(s_chars) END AS chars
+    FROM uses GROUP BY conv_id, part HAVING max(use) = 2
+), formatted AS (SELECT conv_id, sum(chars) AS chars FROM parts GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY number)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY number) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(any_value(f.chars) AS BIGINT) AS formatted_chars
+FROM numbered JOIN formatted f USING (conv_id) GROUP BY conv_id
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_near_dup": near_dup(4), "op9_decontamination": decontamination()}
+    return {
+        "op2_near_dup": near_dup(4),
+        "op4_warc": WARC,
+        "op5_embeddings": EMBEDDINGS,
+        "op6_chat": CHAT,
+        "op9_decontamination": decontamination(),
+    }

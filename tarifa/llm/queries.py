@@ -8,21 +8,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import bpe, contamination, near_dup
+from tarifa.llm import bpe, chat, contamination, embeddings, language, near_dup, quality, secrets, toxicity, warc
 from tarifa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and number -1, whose texts hold the marks of the template."""
+    marks = F.lit("</s>[INST] ok [/INST]").alias("text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role, marks)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.windows(turns.union(extra)))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
     return found.select(
@@ -35,5 +65,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fraction=0.8)
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
