@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,7 +99,7 @@ def scores(docs: DataFrame, weights: np.ndarray, intercept: float, text: Column,
     model = spark.sparkContext.broadcast(weights)  # one double per bucket: 2 MB
 
     @F.pandas_udf("double")
-    def score(parts: Iterator) -> Iterator:
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         present = Presence(ORDERS, BITS)
         for part in parts:
             z = part.map(lambda t: float(model.value[present.distinct(t)].sum()) + intercept)
