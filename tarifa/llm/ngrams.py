@@ -38,7 +38,7 @@ def gram_blocks(text: str | None, orders: tuple[int, ...], bits: int) -> Iterato
 
 
 class Presence:
-    """The distinct buckets of a text, and how often each occurs, without sorting."""
+    """The distinct buckets of a text, without sorting."""
 
     def __init__(self, orders: tuple[int, ...], bits: int) -> None:
         self.orders, self.bits = orders, bits

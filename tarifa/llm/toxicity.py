@@ -1,9 +1,10 @@
 """Toxicity of documents: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the distinct hashed character n-grams of the whole text. For each, the ratio of its smoothed document
-frequencies in both classes is learnt; the features that tell the classes apart most are kept, and a logistic regression is
-fitted over the kept ones, each with its log ratio as value. The intercept is moved to the share of toxic rows among all
-labelled rows, so that scores are probabilities there.
+Features are the hashed character n-grams of the whole text. For each, the ratio of its smoothed document frequencies in both
+classes is learnt, and the features that tell the classes apart most are kept. The value of a kept feature in a text is its log
+ratio, grown with the logarithm of its count; the values of a text are scaled to a common length, and a logistic regression is
+fitted over them. The intercept is moved to the share of toxic rows among all labelled rows, so that scores are probabilities
+there.
 """
 
 from __future__ import annotations
@@ -13,15 +14,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarifa.llm.common import held_out, written
-from tarifa.llm.ngrams import Presence, logistic
+from tarifa.llm.ngrams import Presence, gram_blocks, logistic
 
-ORDERS, BITS = (3, 4, 5, 6), 18
+ORDERS, BITS = (4, 6, 8), 20
 #: Labelled rows of each class to learn from, and features kept.
 SAMPLE, FEATURES = 4_000, 8_192
+#: Length of the vector of a text with many features.
+SCALE = 5.0
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, int, int]:
@@ -56,59 +59,72 @@ def class_counts(sample: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
 
 
-def features(sample: DataFrame, kept: np.ndarray) -> DataFrame:
-    """(label, found): the places in ``kept`` (sorted buckets) of each row's n-grams."""
-    place = np.full(1 << BITS, -1, dtype=np.int32)
-    place[kept] = np.arange(len(kept))
+class Model:
+    """Kept buckets (sorted), their log ratios and weights, and the intercept."""
+
+    def __init__(self, kept: np.ndarray, ratio: np.ndarray, weight: np.ndarray, intercept: float) -> None:
+        self.place = np.full(1 << BITS, -1, dtype=np.int32)
+        self.place[kept] = np.arange(len(kept))
+        self.ratio, self.weight, self.intercept = ratio, weight, intercept
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        found = [x[x >= 0] for x in (self.place[block] for block in gram_blocks(text, ORDERS, BITS))]
+        index, counts = np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.int32), return_counts=True)
+        value = self.ratio[index] * (1 + np.log(counts))
+        return index.astype(np.int64), value * (SCALE / np.sqrt(value @ value + SCALE * SCALE))
+
+    def score(self, text: str | None) -> float:
+        index, value = self.vector(text)
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.weight[index] @ value + self.intercept, -35, 35))))
+
+
+def vectors(sample: DataFrame, model: Model) -> DataFrame:
+    """(label, index, value) of the rows."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        present = Presence(ORDERS, BITS)
         for batch in batches:
-            found = [place[present.distinct(t)] for t in batch.column(1).to_pylist()]
-            lists = pa.array([x[x >= 0] for x in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["label", "found"])
+            found = [model.vector(t) for t in batch.column(1).to_pylist()]
+            index = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
+            value = pa.array([v for _, v in found], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), index, value], names=["label", "index", "value"])
 
-    return sample.select("label", "text").mapInArrow(rows, "label int, found array<int>")
+    return sample.select("label", "text").mapInArrow(rows, "label int, index array<int>, value array<double>")
 
 
-def fit(sample: DataFrame, zeros: int, ones: int) -> tuple[np.ndarray, float]:
-    """Weight of each bucket and intercept; without rows of both classes all weights are 0."""
-    weights = np.zeros(1 << BITS)
-    prior = (ones + 0.5) / (zeros + ones + 1.0) if zeros + ones else 0.0
+def fit(sample: DataFrame, zeros: int, ones: int) -> Model:
+    """The model of a sample; without rows of both classes it has no features, and the share of ones as its score."""
+    prior = (ones + 0.5) / (zeros + ones + 1.0)
+    base = float(np.log(prior / (1 - prior))) if zeros + ones else -35.0
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
-        return weights, float(np.log(prior / (1 - prior))) if prior else -35.0
+        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), np.zeros(0), base)
     n0, n1 = sizes[0], sizes[1]
-    p0, p1 = F.col("zeros") / n0, F.col("ones") / n1
     mean = (F.col("zeros") + F.col("ones")) / (n0 + n1)
-    share = F.abs(p1 - p0) / F.sqrt(mean * (1 - mean) * (1 / n0 + 1 / n1) + 1e-9)
-    best = class_counts(sample).withColumn("z", share).orderBy(F.desc("z"), "bucket").limit(FEATURES).collect()
+    apart = F.abs(F.col("ones") / n1 - F.col("zeros") / n0) / F.sqrt(mean * (1 - mean) * (1 / n0 + 1 / n1) + 1e-9)
+    best = class_counts(sample).withColumn("z", apart).orderBy(F.desc("z"), "bucket").limit(FEATURES).collect()
     best = sorted(best, key=lambda r: r["bucket"])
     kept = np.array([r["bucket"] for r in best], dtype=np.int64)
     ratio = np.log((np.array([r["ones"] for r in best]) + 1.0) / (n1 + 2.0)) - np.log((np.array([r["zeros"] for r in best]) + 1.0) / (n0 + 2.0))
-    rows = features(sample, kept).collect()
-    data = [(np.array(r["found"], dtype=np.int64), ratio[r["found"]] if r["found"] else np.zeros(0)) for r in rows]
-    w, b = logistic(data, np.array([r["label"] for r in rows], dtype=float), len(kept), l2=1e-3, rounds=300)
-    weights[kept] = w * ratio
-    return weights, b + float(np.log(prior / (1 - prior)) - np.log(n1 / n0))
+    rows = vectors(sample, Model(kept, ratio, ratio, 0.0)).collect()
+    rows.sort(key=lambda r: (r["label"], r["index"]))
+    data = [(np.array(r["index"], dtype=np.int64), np.array(r["value"], dtype=float)) for r in rows]
+    w, b = logistic(data, np.array([r["label"] for r in rows], dtype=float), len(kept), l2=1e-4, rounds=400)
+    return Model(kept, ratio, w, b + base - float(np.log(n1 / n0)))
 
 
-def scores(docs: DataFrame, weights: np.ndarray, intercept: float, text: Column, name: str) -> DataFrame:
-    """``docs`` with the score of a text column added under a name that is not taken."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(weights)  # one double per bucket: 2 MB
+def score_of(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The score of a text column; the model (about 4 MB) is broadcast."""
+    held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        present = Presence(ORDERS, BITS)
         for part in parts:
-            z = part.map(lambda t: float(model.value[present.distinct(t)].sum()) + intercept)
-            yield 1.0 / (1.0 + np.exp(-z.clip(-35, 35)))
+            yield part.map(held.value.score).astype(float)
 
-    return docs.withColumn(name, score(F.coalesce(text, F.lit(""))))
+    return score(F.coalesce(text, F.lit("")))
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int = SAMPLE) -> tuple[np.ndarray, float]:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_class: int = SAMPLE) -> Model:
     sample, zeros, ones = training_sample(docs, labels, per_class, id_col, text_col, label_col)
     return fit(sample, zeros, ones)
 
@@ -129,9 +145,9 @@ def toxicity(
     share of toxic labels (0 without labels). Rows that repeat an id are scored each; a row without id is scored and not
     held out. An empty table gives an empty result; other columns are not read.
     """
-    weights, intercept = learn(docs, labels, id_col, text_col, label_col, per_class)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = scores(rows, weights, intercept, F.col("text"), "score")
+    model = learn(docs, labels, id_col, text_col, label_col, per_class)
+    score = score_of(docs.sparkSession, model, F.col(text_col)).alias("score")
+    found = docs.select(F.col(id_col).cast("long").alias("doc_id"), score)
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
