@@ -119,11 +119,12 @@ def byte_groups(texts: list[str | None], limit: int = BLOCK) -> Iterator[tuple[i
         yield start, len(texts)
 
 
-def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
+def components(edges: DataFrame, purpose: str = "components", rounds: int | None = None) -> DataFrame:
     """(node, component): each linked node with the smallest node it reaches; ``edges`` has long columns a, b.
 
     Large-star and small-star rounds. Each takes a minimum per node with map-side combine and joins it back, so no
-    neighbourhood is ever gathered; rounds are written to the shared folder. The result lists linked nodes only.
+    neighbourhood is ever gathered; rounds are written to the shared folder. The result lists linked nodes only. With a number
+    of ``rounds`` it may stop early: nodes of one component are then linked, but may carry several labels.
     """
     now = written(
         edges.where("a <> b")
@@ -133,6 +134,11 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     )
     before = None
     while True:
+        if rounds == 0:
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+                now.select(F.col("b"), F.col("b")).distinct()
+            )
+        rounds = None if rounds is None else rounds - 1
         state = now.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")
         ).first()

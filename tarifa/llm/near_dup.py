@@ -8,8 +8,8 @@ the full sets and confirmed links are contracted.
 What the neighbours leave open is settled by region, a run of classes with a common prefix in an order: regions whose
 classes are already one component need nothing more. In others all pairs of different components are candidates. A region
 that is too large is read deeper, where its classes part by further values, until its parts are small. At the greatest
-depth parts that are still large are dealt into bounded groups. A sketch of the signature drops candidates that are far
-from the threshold (over four standard deviations); the others are confirmed on the full sets like the first.
+depth a part that is still large is compared within a window that moves over it. A sketch of the signature drops candidates
+that are far from the threshold (over four standard deviations); the others are confirmed on the full sets like the first.
 
 With 24 orders, prefixes of 4 values and similarity 0.8 a pair shares no prefix with probability 3e-6.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -194,49 +195,80 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(linked("left", "right")).select("a", "b")
 
 
-def open_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of regions that hold several components, each with its component and a region small enough to compare."""
-    spread = members.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = (
-        spread.groupBy("tree", KEYS[0])
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-    )
-    spread = written(spread.join(mixed, ["tree", KEYS[0]], "left_semi"), "regions")
-    settled = None
-    for depth, key in enumerate(KEYS):
-        sizes = spread.groupBy("tree", key).agg(
-            F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        spread_here = spread.join(sizes.where("low <> high").drop("low", "high"), ["tree", key])
-        deepest = depth == len(KEYS) - 1
-        small = spread_here if deepest else spread_here.where(F.col("size") <= REGION)
-        # dealt into bounded groups at the greatest depth; elsewhere this is 0
-        part = F.pmod(F.xxhash64("rep", "tree"), F.ceil(F.col("size") / (8 * REGION)))
-        small = small.select(F.lit(depth).alias("depth"), "tree", F.col(key).alias("region"), part.alias("part"), "rep", "component")
-        settled = small if settled is None else settled.union(small)
-        if not deepest:
-            spread = spread_here.where(F.col("size") > REGION).drop("size")
-    return settled
-
-
-def open_pairs(regions: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components within a region whose sketches are near enough."""
-
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("rep")
-        rep, component = group["rep"].to_numpy(), group["component"].to_numpy()
-        marks = np.frombuffer(b"".join(group["signature"]), dtype=np.uint32).reshape(-1, VALUES).astype(np.uint8)
-        a, b = [], []
-        for i in range(len(rep) - 1):
-            equal = (marks[i + 1 :] == marks[i]).sum(axis=1)
-            near = i + 1 + np.flatnonzero((equal >= SKETCH) & (component[i + 1 :] != component[i]))
-            a.append(np.full(len(near), rep[i]))
-            b.append(rep[near])
-        return pd.DataFrame({"a": np.concatenate(a or [rep[:0]]), "b": np.concatenate(b or [rep[:0]])})
-
-    rows = regions.join(reps.select("rep", "signature"), "rep")
-    return rows.groupBy("depth", "tree", "region", "part").applyInPandas(pairs, "a long, b long").distinct()
+def mixed_runs(values: np.ndarray, component: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
+    """The runs of equal values within [low, high) that hold several components."""
+    cut = np.flatnonzero(values[low + 1 : high] != values[low : high - 1]) + low + 1
+    starts = np.concatenate([[low], cut])
+    own = component[low:high]
+    differ = np.minimum.reduceat(own, starts - low) != np.maximum.reduceat(own, starts - low)
+    return [*zip(starts[differ].tolist(), np.append(cut, high)[differ].tolist(), strict=True)]
+
+
+def region_pairs(keys: list[np.ndarray], component: np.ndarray, marks: np.ndarray, low: int, high: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of the pairs to confirm in a region: read deeper while it is large, and in overlapping parts at the end."""
+    if high - low > REGION and len(keys) > 1:
+        runs = mixed_runs(keys[1], component, low, high)
+        return [p for r in runs for p in region_pairs(keys[1:], component, marks, *r)]
+    found = []
+    for at in range(low, high - 1, REGION):
+        end = min(at + 2 * REGION, high)
+        left = marks[at : min(at + REGION, end), None, :]
+        near = (left == marks[None, at:end, :]).sum(axis=2) >= SKETCH
+        near &= component[at : at + len(left), None] != component[None, at:end]
+        i, j = np.nonzero(np.triu(near, 1))
+        found.append((i + at, j + at))
+    return found
+
+
+def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs of classes that share a region, are not linked yet, and whose sketches are near enough.
+
+    Rows are range partitioned by the whole key like before, so that large regions are split; a region at the border of two
+    tasks is compared in two parts.
+    """
+    names = ["tree", *KEYS, "rep", "component", "sketch"]
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
+            sketch = pa.array([m.tobytes() for m in marks.astype(np.uint8)], pa.binary())
+            for order in range(ORDERS):
+                keys = [pa.array(k) for k in prefixes(marks, order)]
+                which = pa.array(np.full(len(marks), order, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([which, *keys, batch.column(0), batch.column(1), sketch], names=names)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in chain(batches, [None]):
+            if batch is not None and not batch.num_rows:
+                continue
+            parts = [x for x in (held, batch and pa.Table.from_batches([batch])) if x is not None]
+            if not parts:
+                return
+            rows = pa.concat_tables(parts).combine_chunks()
+            tree, *keys, rep, component = (rows.column(c).to_numpy() for c in names[:-1])
+            first = keys[0] + tree  # prefix keys of different orders are different hashes
+            whole = len(rep)
+            if batch is not None:  # the last region may go on
+                whole = int(np.flatnonzero(np.append(True, first[1:] != first[:-1]))[-1])
+                held = rows.slice(whole)
+            if whole:
+                marks = np.frombuffer(b"".join(rows.column("sketch").slice(0, whole).to_pylist()), dtype=np.uint8).reshape(-1, VALUES)
+                runs = mixed_runs(first, component, 0, whole)
+                pairs = [p for r in runs for p in region_pairs(keys, component, marks, *r)]
+                if pairs:
+                    x, y = rep[np.concatenate([p[0] for p in pairs])], rep[np.concatenate([p[1] for p in pairs])]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    docs = reps.join(members.select("rep").distinct(), "rep", "left_semi").join(labels, "rep", "left")
+    docs = docs.select("rep", F.coalesce("component", "rep").alias("component"), "signature")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = ", ".join(f"{k} long" for k in KEYS)
+    rows = docs.mapInArrow(expand, f"tree int, {fields}, rep long, component long, sketch binary")
+    order = names[:-2]
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -261,8 +293,9 @@ def near_duplicates(
     first = members.where("other is not null").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     sets = named.select(F.col("doc_id").alias("rep"), "shingles")
     links = written(confirmed(first.where("a <> b").distinct(), sets, percent), "links")
-    labels = components(links).withColumnRenamed("node", "rep")
-    more = written(open_pairs(open_regions(members.drop("other"), labels), reps), "open-pairs")
+    # these labels only spare comparisons, so a few rounds will do
+    labels = written(components(links, rounds=2).withColumnRenamed("node", "rep").groupBy("rep").agg(F.min("component").alias("component")), "labels")
+    more = written(open_pairs(members, labels, reps), "open-pairs")
     links = links.union(confirmed(more, sets, percent))
     labels = components(links)
 
