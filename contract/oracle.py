@@ -107,29 +107,23 @@ def paris(instant: str) -> str:
     return f"timezone('Europe/Paris', timezone('UTC', {instant}))"
 
 
-def suspect(fuel: str = "carburant_id", price: str = "prix_litre") -> str:
+def suspect(fuel: str = "fuel_id", price: str = "prix_litre") -> str:
     return (
         f"CASE WHEN {fuel} = 3 THEN {price} > 1.50 WHEN {fuel} = 4 THEN {price} > 1.80 ELSE FALSE END"
     )
 
 
-REPAIRED = """CASE WHEN contains({t}, 'Ã')
-        AND list_bool_and(list_transform(string_split({t}, ''), lambda c: unicode(c) < 256))
-    THEN coalesce(try(decode(from_hex(array_to_string(list_transform(string_split({t}, ''),
-        lambda c: lpad(hex(unicode(c)), 2, '0')), '')))), {t})
-    ELSE {t} END"""
-
 RELATIONS = {
     "reports": f"""
-    SELECT CAST(pdv_id AS INTEGER) AS station_id, CAST(prix_id AS SMALLINT) AS carburant_id,
-        prix_nom AS carburant, {utc("CAST(maj AS TIMESTAMP)")} AS maj_at,
+    SELECT CAST(pdv_id AS INTEGER) AS station_id, CAST(prix_id AS SMALLINT) AS fuel_id,
+        prix_nom AS fuel, {utc("CAST(maj AS TIMESTAMP)")} AS maj_at,
         CAST(CAST(maj AS TIMESTAMP) AS DATE) AS jour_releve,
         CAST(valeur AS DECIMAL(8,3)) AS prix_litre,
         _source_year, _source_file, _source_sha256, _loaded_at, pdv_id, prix_id, maj
     FROM raw_prices WHERE prix_id IS NOT NULL""",
     "staged_prices": """
-    SELECT any_value(station_id) AS station_id, any_value(carburant_id) AS carburant_id,
-        coalesce(arg_max(carburant, prix_litre), max(carburant)) AS carburant,
+    SELECT any_value(station_id) AS station_id, any_value(fuel_id) AS fuel_id,
+        coalesce(arg_max(fuel, prix_litre), max(fuel)) AS fuel,
         any_value(maj_at) AS maj_at,
         any_value(jour_releve) AS jour_releve, max(prix_litre) AS prix_litre,
         max(_source_year) AS _source_year, max(_source_file) AS _source_file,
@@ -142,45 +136,45 @@ RELATIONS = {
         _source_year, _source_file, _loaded_at
     FROM raw_stations""",
     "daily": """
-    SELECT station_id, carburant_id, carburant, jour_releve AS jour,
+    SELECT station_id, fuel_id, fuel, jour_releve AS jour,
         arg_max(prix_litre, maj_at) AS prix_litre
-    FROM staged_prices GROUP BY station_id, carburant_id, carburant, jour_releve""",
+    FROM staged_prices GROUP BY station_id, fuel_id, fuel, jour_releve""",
     "calendar": """
     SELECT CAST(unnest(generate_series(min(jour), max(jour), INTERVAL 1 DAY)) AS DATE) AS jour
     FROM daily""",
     "prices_in_force": f"""
-    SELECT d.station_id, d.carburant_id, d.carburant, c.jour, d.prix_litre, d.jour AS releve_le,
-        {suspect("d.carburant_id", "d.prix_litre")} AS est_prix_suspect
+    SELECT d.station_id, d.fuel_id, d.fuel, c.jour, d.prix_litre, d.jour AS releve_le,
+        {suspect("d.fuel_id", "d.prix_litre")} AS est_prix_suspect
     FROM daily AS d JOIN calendar AS c ON c.jour >= d.jour AND c.jour <= d.jour + 7
-    QUALIFY d.jour = max(d.jour) OVER (PARTITION BY d.station_id, d.carburant_id, c.jour)""",
+    QUALIFY d.jour = max(d.jour) OVER (PARTITION BY d.station_id, d.fuel_id, c.jour)""",
     "history": """
     SELECT *, lag(prix_litre) OVER p AS avant
-    FROM staged_prices WINDOW p AS (PARTITION BY station_id, carburant_id ORDER BY maj_at)""",
+    FROM staged_prices WINDOW p AS (PARTITION BY station_id, fuel_id ORDER BY maj_at)""",
     "price_changes": f"""
-    SELECT station_id, carburant_id, carburant, maj_at, prix_litre, avant AS prix_precedent,
+    SELECT station_id, fuel_id, fuel, maj_at, prix_litre, avant AS prix_precedent,
         prix_litre - avant AS variation, avant IS NULL AS est_premier_releve,
         {suspect()} AS est_prix_suspect,
-        max(maj_at) OVER (PARTITION BY station_id, carburant_id ORDER BY maj_at
+        max(maj_at) OVER (PARTITION BY station_id, fuel_id ORDER BY maj_at
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS changement_precedent_at
     FROM (SELECT * FROM history WHERE prix_litre IS DISTINCT FROM avant)""",
     "current_prices": f"""
-    SELECT s.station_id, s.carburant_id, s.carburant, s.prix_litre, s.maj_at,
-        {suspect("s.carburant_id", "s.prix_litre")} AS est_prix_suspect,
+    SELECT s.station_id, s.fuel_id, s.fuel, s.prix_litre, s.maj_at,
+        {suspect("s.fuel_id", "s.prix_litre")} AS est_prix_suspect,
         CAST(r.reference_at_local AS DATE) - CAST({paris("s.maj_at")} AS DATE)
             AS nombre_jours_depuis_maj,
         r.reference_at
     FROM staged_prices AS s
-    JOIN (SELECT station_id, carburant_id, max(maj_at) AS dernier FROM staged_prices GROUP BY ALL) AS l
-      ON l.station_id = s.station_id AND l.carburant_id = s.carburant_id AND l.dernier = s.maj_at
+    JOIN (SELECT station_id, fuel_id, max(maj_at) AS dernier FROM staged_prices GROUP BY ALL) AS l
+      ON l.station_id = s.station_id AND l.fuel_id = s.fuel_id AND l.dernier = s.maj_at
     CROSS JOIN (SELECT max(maj_at) AS reference_at, {paris("max(maj_at)")} AS reference_at_local
                 FROM staged_prices) AS r""",
     "stations": """
     SELECT s.station_id, s.adresse, s.ville, s.code_postal, s.latitude, s.longitude, s.est_autoroute,
-        a.premier_releve_at, a.dernier_releve_at, a.nombre_carburants, a.nombre_releves,
+        a.premier_releve_at, a.dernier_releve_at, a.nombre_fuels, a.nombre_releves,
         s._source_year AS annee_version
     FROM staged_stations AS s
     JOIN (SELECT station_id, max(_source_year) AS derniere, min(maj_at) AS premier_releve_at,
-              max(maj_at) AS dernier_releve_at, count(DISTINCT carburant_id) AS nombre_carburants,
+              max(maj_at) AS dernier_releve_at, count(DISTINCT fuel_id) AS nombre_fuels,
               count(*) AS nombre_releves
           FROM staged_prices GROUP BY station_id) AS a
       ON a.station_id = s.station_id AND a.derniere = s._source_year""",
@@ -188,19 +182,19 @@ RELATIONS = {
     SELECT * FROM prices_in_force
     WHERE est_prix_suspect IS FALSE AND jour >= (SELECT min(jour) + 7 FROM daily)""",
     "daily_medians": """
-    SELECT jour, carburant_id, carburant, median(prix_litre) AS prix_median,
+    SELECT jour, fuel_id, fuel, median(prix_litre) AS prix_median,
         count(*) AS nombre_stations
-    FROM usable GROUP BY jour, carburant_id, carburant""",
+    FROM usable GROUP BY jour, fuel_id, fuel""",
     "by_kind": """
-    SELECT u.jour, left(s.code_postal, 2) AS departement, u.carburant_id, u.carburant,
+    SELECT u.jour, left(s.code_postal, 2) AS departement, u.fuel_id, u.fuel,
         s.est_autoroute, median(u.prix_litre) AS prix, count(*) AS n
     FROM usable AS u JOIN stations AS s ON s.station_id = u.station_id
     GROUP BY ALL""",
     "motorway_gap": """
-    SELECT a.jour, a.departement, a.carburant_id, a.carburant, a.prix AS prix_median_autoroute,
+    SELECT a.jour, a.departement, a.fuel_id, a.fuel, a.prix AS prix_median_autoroute,
         r.prix AS prix_median_route, a.n AS nombre_stations_autoroute, r.n AS nombre_stations_route,
         a.prix - r.prix AS ecart
-    FROM by_kind AS a JOIN by_kind AS r USING (jour, departement, carburant_id, carburant)
+    FROM by_kind AS a JOIN by_kind AS r USING (jour, departement, fuel_id, fuel)
     WHERE a.est_autoroute AND NOT r.est_autoroute""",
 }
 
@@ -241,24 +235,24 @@ def where(relation: str, condition: str, **values: str) -> str:
 # --- queries -----------------------------------------------------------------------------------------
 
 STAGED = (
-    "station_id carburant_id carburant maj_at jour_releve prix_litre _source_year _source_file _loaded_at"
+    "station_id fuel_id fuel maj_at jour_releve prix_litre _source_year _source_file _loaded_at"
 )
 CHANGES = (
-    "station_id carburant_id carburant maj_at prix_litre prix_precedent variation est_premier_releve "
+    "station_id fuel_id fuel maj_at prix_litre prix_precedent variation est_premier_releve "
     "est_prix_suspect changement_precedent_at"
 )
 CURRENT = (
-    "station_id carburant_id carburant prix_litre maj_at est_prix_suspect nombre_jours_depuis_maj "
+    "station_id fuel_id fuel prix_litre maj_at est_prix_suspect nombre_jours_depuis_maj "
     "reference_at"
 )
 STATIONS = (
     "station_id adresse ville code_postal latitude longitude est_autoroute premier_releve_at "
-    "dernier_releve_at nombre_carburants nombre_releves annee_version"
+    "dernier_releve_at nombre_fuels nombre_releves annee_version"
 )
-IN_FORCE = "station_id carburant_id carburant jour prix_litre releve_le est_prix_suspect"
-MEDIANS = "jour carburant_id carburant prix_median nombre_stations"
+IN_FORCE = "station_id fuel_id fuel jour prix_litre releve_le est_prix_suspect"
+MEDIANS = "jour fuel_id fuel prix_median nombre_stations"
 GAP = (
-    "jour departement carburant_id carburant prix_median_autoroute prix_median_route "
+    "jour departement fuel_id fuel prix_median_autoroute prix_median_route "
     "nombre_stations_autoroute nombre_stations_route ecart"
 )
 
@@ -290,14 +284,15 @@ KEPT = f"""
 
 SAMPLE = """
     WITH prices AS ({prices}),
-    priced AS (SELECT pdv_id, count(DISTINCT _source_year) AS n FROM prices GROUP BY pdv_id),
-    ids AS (
-        (SELECT pdv_id FROM priced WHERE n = 2 ORDER BY md5(pdv_id) LIMIT 60)
-        UNION
-        (SELECT pdv_id FROM (SELECT DISTINCT CAST(c_custkey + 1 AS VARCHAR) AS pdv_id FROM customer)
-         WHERE pdv_id NOT IN (SELECT pdv_id FROM priced) ORDER BY md5(pdv_id) LIMIT 5)
-        UNION SELECT unnest(['1', '2', '3', '4']))
-    SELECT {columns} FROM {source} WHERE pdv_id IN (SELECT pdv_id FROM ids)"""
+    listed AS (SELECT CAST(c_custkey + 1 AS VARCHAR) AS pdv_id FROM customer),
+    ranked AS (
+        SELECT pdv_id, priced, rank() OVER (PARTITION BY priced ORDER BY md5(pdv_id)) AS place FROM (
+            SELECT l.pdv_id, coalesce(p.years, 0) AS priced FROM listed AS l LEFT JOIN (
+                SELECT pdv_id, len(list_distinct(list(_source_year))) AS years FROM prices GROUP BY pdv_id) AS p
+            ON p.pdv_id = l.pdv_id))
+    SELECT {columns} FROM {source} AS s WHERE s.pdv_id BETWEEN '1' AND '4' AND length(s.pdv_id) = 1
+        OR EXISTS (SELECT 1 FROM ranked AS r WHERE r.pdv_id = s.pdv_id
+                   AND r.place <= CASE r.priced WHEN 2 THEN 60 WHEN 0 THEN 5 ELSE 0 END)"""
 
 
 def number(value: str, scale: int) -> str:
@@ -320,61 +315,73 @@ STATION_LINES = f"""
     SELECT s.station_id, '[' || s.station_id || ',' || {number("round(s.latitude, 5)", 5)} || ','
         || {number("round(s.longitude, 5)", 5)} || ',' || {text("s.adresse")} || ',' || {text("s.ville")}
         || ',' || {text("s.code_postal")} || ',' || s.est_autoroute || ',['
-        || string_agg('[' || p.carburant_id || ',' || {number("p.prix_litre", 3)} || ',"'
+        || string_agg('[' || p.fuel_id || ',' || {number("p.prix_litre", 3)} || ',"'
             || {stamp("p.maj_at", "%Y-%m-%dT%H:%MZ")} || '",' || p.nombre_jours_depuis_maj || ','
-            || p.est_prix_suspect || ']', ',' ORDER BY p.carburant_id)
+            || p.est_prix_suspect || ']', ',' ORDER BY p.fuel_id)
         || ']]' AS ligne
     FROM stations AS s JOIN current_prices AS p ON p.station_id = s.station_id
     GROUP BY s.station_id, s.latitude, s.longitude, s.adresse, s.ville, s.code_postal, s.est_autoroute"""
 
 MEDIAN_SERIES = f"""
-    SELECT carburant_id, '[' || string_agg('["' || jour || '",' || {number("prix_median", 4)} || ','
+    SELECT fuel_id, '[' || string_agg('["' || jour || '",' || {number("prix_median", 4)} || ','
         || nombre_stations || ']', ',' ORDER BY jour) || ']' AS serie
-    FROM daily_medians GROUP BY carburant_id"""
-
-GAP_SUMMARY = """
-    SELECT carburant_id, CAST(median(ecart) AS DOUBLE) AS ecart_median,
-        CAST(quantile_cont(ecart, 0.25) AS DOUBLE) AS ecart_q1,
-        CAST(quantile_cont(ecart, 0.75) AS DOUBLE) AS ecart_q3,
-        round(median(CAST(ecart AS DOUBLE) / CAST(prix_median_route AS DOUBLE)), 4) AS ecart_median_part,
-        round(avg(CASE WHEN ecart > 0 THEN 1.0 ELSE 0.0 END), 4) AS part_cas_autoroute_plus_chere,
-        count(*) AS cas, count(DISTINCT departement) AS departements
-    FROM motorway_gap GROUP BY carburant_id"""
+    FROM daily_medians GROUP BY fuel_id"""
+
+def at_share(share: float) -> str:
+    """Value at a share of the sorted gaps ``g``, between its two neighbours."""
+    place = f"((len(g) - 1) * {share})"
+    low, high = f"g[CAST(floor({place}) AS BIGINT) + 1]", f"g[CAST(ceil({place}) AS BIGINT) + 1]"
+    between = f"{low} + ({high} - {low}) * ({place} - floor({place}))"
+    return f"trunc(CAST(({between}) * 1000 AS DECIMAL(18,4))) / 1000"
+
+
+GAP_SUMMARY = f"""
+    SELECT fuel_id, CAST({at_share(0.5)} AS DOUBLE) AS ecart_median, CAST({at_share(0.25)} AS DOUBLE) AS ecart_q1,
+        CAST({at_share(0.75)} AS DOUBLE) AS ecart_q3,
+        round((parts[(len(parts) + 1) // 2] + parts[len(parts) // 2 + 1]) / 2, 4) AS ecart_median_part,
+        round(len(list_filter(g, lambda x: x > 0)) / len(g), 4) AS part_cas_autoroute_plus_chere,
+        CAST(len(g) AS BIGINT) AS cas, CAST(len(list_distinct(areas)) AS BIGINT) AS departements
+    FROM (SELECT fuel_id, list_sort(list(ecart)) AS g, list(departement) AS areas,
+              list_sort(list(CAST(ecart AS DOUBLE) / CAST(prix_median_route AS DOUBLE))) AS parts
+          FROM motorway_gap GROUP BY fuel_id)"""
 GAP_YEARS = """
-    SELECT carburant_id, year(jour) AS annee, CAST(median(ecart) AS DOUBLE) AS ecart_median
-    FROM motorway_gap GROUP BY carburant_id, year(jour)"""
+    SELECT fuel_id, year(jour) AS annee, CAST(median(ecart) AS DOUBLE) AS ecart_median
+    FROM motorway_gap GROUP BY fuel_id, year(jour)"""
 GAP_DAYS = """
-    SELECT carburant_id, jour, CAST(median(ecart) AS DOUBLE) AS ecart_median, count(*) AS departements
-    FROM motorway_gap GROUP BY carburant_id, jour"""
+    SELECT fuel_id, jour, CAST(median(ecart) AS DOUBLE) AS ecart_median, count(*) AS departements
+    FROM motorway_gap GROUP BY fuel_id, jour"""
 GAP_SERIES = f"""
-    SELECT s.carburant_id, '{{"ecart_median":' || {number("s.ecart_median", 4)}
+    SELECT s.fuel_id, '{{"ecart_median":' || {number("s.ecart_median", 4)}
         || ',"ecart_q1":' || {number("s.ecart_q1", 4)} || ',"ecart_q3":' || {number("s.ecart_q3", 4)}
         || ',"ecart_median_part":' || {number("s.ecart_median_part", 4)}
         || ',"part_cas_autoroute_plus_chere":' || {number("s.part_cas_autoroute_plus_chere", 4)}
         || ',"cas":' || s.cas || ',"departements":' || s.departements
         || ',"par_annee":{{' || y.annees || '}}}}' AS resume, '[' || d.jours || ']' AS serie
     FROM ({GAP_SUMMARY}) AS s
-    JOIN (SELECT carburant_id, string_agg('"' || annee || '":' || {number("ecart_median", 4)}, ','
-              ORDER BY annee) AS annees FROM ({GAP_YEARS}) GROUP BY carburant_id) AS y
-      ON y.carburant_id = s.carburant_id
-    JOIN (SELECT carburant_id, string_agg('["' || jour || '",' || {number("ecart_median", 4)} || ','
+    JOIN (SELECT fuel_id, string_agg('"' || annee || '":' || {number("ecart_median", 4)}, ','
+              ORDER BY annee) AS annees FROM ({GAP_YEARS}) GROUP BY fuel_id) AS y
+      ON y.fuel_id = s.fuel_id
+    JOIN (SELECT fuel_id, string_agg('["' || jour || '",' || {number("ecart_median", 4)} || ','
               || departements || ']', ',' ORDER BY jour) AS jours FROM ({GAP_DAYS})
-          GROUP BY carburant_id) AS d
-      ON d.carburant_id = s.carburant_id"""
+          GROUP BY fuel_id) AS d
+      ON d.fuel_id = s.fuel_id"""
 
+FIGURES = {
+    "prix_actuels": "current_prices", "prix_suspects": "current_prices WHERE est_prix_suspect",
+    "prix_actuels_recents": "current_prices WHERE nombre_jours_depuis_maj < 8",
+    "changements_de_prix": "price_changes", "stations": "stations",
+}
+MARKED = " UNION ALL ".join(f"SELECT '{name}' AS figure FROM {rows}" for name, rows in FIGURES.items())
 VOLUMES = f"""
-    SELECT {stamp("max(reference_at)")} AS reference_at, count(*) AS prix_actuels,
-        count(*) FILTER (est_prix_suspect) AS prix_suspects,
-        count(*) FILTER (nombre_jours_depuis_maj <= 7) AS prix_actuels_recents,
-        (SELECT count(*) FROM price_changes) AS changements_de_prix,
-        (SELECT count(*) FROM stations) AS stations
-    FROM current_prices"""
+    SELECT (SELECT DISTINCT {stamp("reference_at")} FROM current_prices) AS reference_at,
+        {", ".join(f"CAST(len(list_filter(f, lambda x: x = '{name}')) AS BIGINT) AS {name}" for name in FIGURES)}
+    FROM (SELECT list(figure) AS f FROM ({MARKED}))"""
 
 # Fuels, the header of the station export, and the constant tail of the metadata.
 FUEL_ROWS = "(VALUES (1, 'Gazole'), (2, 'SP95'), (3, 'E85'), (4, 'GPLc'), (5, 'E10'), (6, 'SP98'))"
 HEADER_TAIL = (
     '","colonnes_station":["id","latitude","longitude","adresse","ville","code_postal","autoroute",'
-    '"prix"],"colonnes_prix":["carburant_id","prix","maj","age_jours","suspect"]}'
+    '"prix"],"colonnes_prix":["fuel_id","prix","maj","age_jours","suspect"]}'
 )
 
 
@@ -383,9 +390,9 @@ def metadata() -> str:
 
     rules = ",".join(f'"{rule}"' for rule in READING_RULES).replace("'", "''")
     tail = (
-        '},"source":{"producteur":"test tables","licence":"none"},"carburants":{"1":"Gazole","2":"SP95",'
+        '},"source":{"producteur":"test tables","licence":"none"},"fuels":{"1":"Gazole","2":"SP95",'
         '"3":"E85","4":"GPLc","5":"E10","6":"SP98"},"regles_de_lecture":[' + rules + "],"
-        '"derniere_execution_dbt":null}'
+        '"derniere_execution":null}'
     )
     return f"""
     SELECT '{{"genere_le":"2024-02-15T12:00:00Z","reference_at":"' || v.reference_at
@@ -405,16 +412,16 @@ BROKEN = {
     "raw_prices": where("raw_prices", "prix_id = '5'", prix_id="'9'"),
 }
 SERIES_GAPS = """
-    SELECT carburant_id, jour, suivant AS jour_suivant FROM (
-        SELECT carburant_id, jour, lead(jour) OVER (PARTITION BY carburant_id ORDER BY jour) AS suivant
+    SELECT fuel_id, jour, suivant AS jour_suivant FROM (
+        SELECT fuel_id, jour, lead(jour) OVER (PARTITION BY fuel_id ORDER BY jour) AS suivant
         FROM {source})
     WHERE suivant - jour <> 1"""
 MISSING_FUELS = f"""
-    SELECT CAST(id AS SMALLINT) AS carburant_id, nom AS carburant FROM {FUEL_ROWS} AS f(id, nom)
-    WHERE id NOT IN (SELECT carburant_id FROM daily_medians)"""
+    SELECT CAST(id AS SMALLINT) AS fuel_id, nom AS fuel FROM {FUEL_ROWS} AS f(id, nom)
+    WHERE id NOT IN (SELECT fuel_id FROM daily_medians)"""
 UNKNOWN_FUELS = """
-    SELECT carburant_id, count(*) AS lignes FROM current_prices
-    WHERE carburant_id NOT BETWEEN 1 AND 6 GROUP BY carburant_id"""
+    SELECT fuel_id, count(*) AS lignes FROM current_prices
+    WHERE fuel_id NOT BETWEEN 1 AND 6 GROUP BY fuel_id"""
 EXPORT_CHECKS = f"""
     SELECT * FROM (
         SELECT 'error' AS niveau, 'no_station' AS regle,
@@ -426,24 +433,48 @@ EXPORT_CHECKS = f"""
         UNION ALL SELECT 'error', 'median_series_gaps', count(*)
             FROM ({SERIES_GAPS.format(source="daily_medians")})
         UNION ALL SELECT 'error', 'gap_series_gaps', count(*)
-            FROM ({SERIES_GAPS.format(source=f"({GAP_DAYS}) WHERE carburant_id <> 2")})
+            FROM ({SERIES_GAPS.format(source=f"({GAP_DAYS}) WHERE fuel_id <> 2")})
         UNION ALL SELECT 'warn', 'stale',
             date_sub('day', max(maj_at), TIMESTAMP '2024-02-15 12:00:00') FROM staged_prices)
     WHERE cas > CASE WHEN regle = 'stale' THEN 2 ELSE 0 END"""
 
-PRICE_STATS = """
-    SELECT _source_year, count(*) AS releves,
-        count(DISTINCT pdv_id) FILTER (maj IS NOT NULL) AS stations,
-        count(DISTINCT (pdv_id, prix_id)) FILTER (maj IS NOT NULL) AS couples,
-        count(*) FILTER (left(maj, 4) <> CAST(_source_year AS VARCHAR)) AS hors_annee,
-        count(*) FILTER (prix_id IS NULL) AS prix_vides, min(maj) AS premier, max(maj) AS dernier
-    FROM raw_prices GROUP BY _source_year"""
-STATION_STATS = """
-    SELECT _source_year, count(*) AS stations, count(DISTINCT pdv_id) AS identifiants,
-        count(*) FILTER (adresse IS NULL OR trim(adresse) = '') AS sans_adresse,
-        count(*) FILTER (ville IS NULL OR trim(ville) = '') AS sans_ville,
-        count(*) FILTER (coalesce(latitude, '') = '' OR coalesce(longitude, '') = '') AS sans_coordonnees
-    FROM raw_stations GROUP BY _source_year"""
+def figures(relation: str, total: str, others: dict[str, str]) -> str:
+    """One query per figure over the rows of a year, put side by side; a year without such rows has 0."""
+    names = "".join(f", CAST(coalesce({name}, 0) AS BIGINT) AS {name}" for name in others)
+    sides = "".join(
+        f" LEFT JOIN (SELECT _source_year, count(*) AS {name} FROM ({rows}) GROUP BY _source_year) USING (_source_year)"
+        for name, rows in others.items()
+    )
+    whole = f"(SELECT _source_year, count(*) AS {total} FROM {relation} GROUP BY _source_year)"
+    return f"SELECT _source_year, {total}{names}{{more}} FROM {whole}{sides}"
+
+
+DATED = "raw_prices WHERE maj IS NOT NULL"
+PRICE_STATS = figures(
+    "raw_prices",
+    "releves",
+    {
+        "stations": f"SELECT DISTINCT _source_year, pdv_id FROM {DATED} AND pdv_id IS NOT NULL",
+        "couples": f"SELECT DISTINCT _source_year, pdv_id, prix_id FROM {DATED}",
+        "hors_annee": f"SELECT _source_year FROM {DATED} AND maj NOT LIKE CAST(_source_year AS VARCHAR) || '%'",
+        "prix_vides": "SELECT _source_year FROM raw_prices WHERE prix_id IS NULL",
+    },
+).format(
+    more=", (SELECT min(maj) FROM raw_prices AS r WHERE r._source_year = y._source_year) AS premier,"
+    " (SELECT max(maj) FROM raw_prices AS r WHERE r._source_year = y._source_year) AS dernier"
+)
+PRICE_STATS = f"SELECT * FROM ({PRICE_STATS.replace('GROUP BY _source_year) LEFT', 'GROUP BY _source_year) AS y LEFT', 1)})"
+STATION_STATS = figures(
+    "raw_stations",
+    "stations",
+    {
+        "identifiants": "SELECT DISTINCT _source_year, pdv_id FROM raw_stations WHERE pdv_id IS NOT NULL",
+        "sans_adresse": "SELECT _source_year FROM raw_stations WHERE length(trim(coalesce(adresse, ''))) = 0",
+        "sans_ville": "SELECT _source_year FROM raw_stations WHERE length(trim(coalesce(ville, ''))) = 0",
+        "sans_coordonnees": "SELECT _source_year FROM raw_stations"
+        " WHERE length(coalesce(latitude, '')) * length(coalesce(longitude, '')) = 0",
+    },
+).format(more="")
 DAMAGED_STATIONS = f"""
     WITH blank AS (
         SELECT * REPLACE (
@@ -460,10 +491,24 @@ ROWS_WITHOUT = """SELECT '{relation}' AS relation, '{column}' AS colonne, count(
     FROM {relation} WHERE {column} IS NULL"""
 
 
-def not_null() -> str:
-    from tarifa.quality.checks import REQUIRED
+# Columns that must not be NULL, by relation.
+FILLED = {
+    "raw_prices": "_source_year",
+    "raw_stations": "pdv_id",
+    "staged_prices": "station_id fuel_id fuel maj_at prix_litre",
+    "staged_stations": "station_id _source_year",
+    "prices_in_force": "station_id fuel_id jour prix_litre",
+    "price_changes": "station_id fuel_id maj_at prix_litre est_premier_releve est_prix_suspect",
+    "stations": "station_id adresse ville latitude longitude est_autoroute",
+    "current_prices": "station_id fuel_id prix_litre maj_at est_prix_suspect nombre_jours_depuis_maj",
+    "daily_medians": "jour fuel_id fuel prix_median nombre_stations",
+    "motorway_gap": "jour departement fuel_id prix_median_autoroute prix_median_route "
+    "nombre_stations_autoroute nombre_stations_route ecart",
+}
 
-    parts = [ROWS_WITHOUT.format(relation=r, column=c) for r, columns in REQUIRED.items() for c in columns]
+
+def not_null() -> str:
+    parts = [ROWS_WITHOUT.format(relation=r, column=c) for r, columns in FILLED.items() for c in columns.split()]
     return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE lignes > 0"
 
 
@@ -489,9 +534,9 @@ SWAPPED = where("raw_stations", "ville = 'MACHINERY'", latitude="longitude", lon
 ZEROED = where("raw_stations", "ville = 'FURNITURE'", latitude="'0'", longitude="'0'")
 NAMES = "'Gazole', 'SP95', 'E85', 'GPLc', 'E10', 'SP98'"
 TOO_LONG = f"""
-    SELECT d.station_id, d.carburant_id, d.carburant, c.jour, d.prix_litre, d.jour AS releve_le,
-        {suspect("d.carburant_id", "d.prix_litre")} AS est_prix_suspect
-    FROM (SELECT *, lead(jour) OVER (PARTITION BY station_id, carburant_id ORDER BY jour) AS suivant
+    SELECT d.station_id, d.fuel_id, d.fuel, c.jour, d.prix_litre, d.jour AS releve_le,
+        {suspect("d.fuel_id", "d.prix_litre")} AS est_prix_suspect
+    FROM (SELECT *, lead(jour) OVER (PARTITION BY station_id, fuel_id ORDER BY jour) AS suivant
           FROM daily) AS d
     JOIN calendar AS c ON c.jour >= d.jour AND c.jour <= d.jour + 7
         AND (d.suivant IS NULL OR c.jour <= d.suivant)"""
@@ -517,7 +562,7 @@ def checks() -> dict[str, str]:
             "4", "1.300", maj="'1990-06-01T10:00:00'",
         ),
         "not_in_future": on_reports(
-            pick("station_id carburant maj_at _loaded_at _source_file", "staged_prices")
+            pick("station_id fuel maj_at _loaded_at _source_file", "staged_prices")
             + " WHERE maj_at > _loaded_at",
             "4", "1.300", maj="'2099-12-31T12:00:00'",
         ),
@@ -525,8 +570,8 @@ def checks() -> dict[str, str]:
             """SELECT * FROM (SELECT pdv_id, _source_year, count(*) - count(prix_id) AS balises_vides,
                 count(prix_id) AS vrais_prix FROM raw_prices GROUP BY pdv_id, _source_year)
                WHERE balises_vides > 1 OR (balises_vides = 1 AND vrais_prix > 0)""",
-            raw_prices="""SELECT * FROM raw_prices_0 UNION ALL
-                SELECT * REPLACE (NULL AS prix_id, NULL AS prix_nom, NULL AS maj, NULL AS valeur)
+            raw_prices="""SELECT * FROM raw_prices_0 UNION ALL BY NAME
+                SELECT COLUMNS(lambda c: c NOT IN ('prix_id', 'prix_nom', 'maj', 'valeur'))
                 FROM raw_prices_0 WHERE prix_id = '5' AND pop = 'A'""",
         ),
         "spring_gap_hour": lake(
@@ -538,9 +583,9 @@ def checks() -> dict[str, str]:
                 count(DISTINCT (pdv_id, prix_id, maj)) FILTER (prix_id <> '5') AS releves_staging
                FROM raw_prices WHERE prix_id IS NOT NULL) WHERE releves_source <> releves_staging"""
         ),
-        "unique_staging": lake(twice("reports", "station_id carburant_id maj_at", "prix")),
+        "unique_staging": lake(twice("reports", "station_id fuel_id maj_at", "prix")),
         "price_range": lake(
-            pick("station_id carburant maj_at prix_litre", "staged_prices")
+            pick("station_id fuel maj_at prix_litre", "staged_prices")
             + " WHERE prix_litre < 0.30 OR prix_litre > 4", ORDER_LAKE,
         ),
         "unique_station_year": lake(
@@ -560,28 +605,28 @@ def checks() -> dict[str, str]:
             raw_stations=ZEROED,
         ),
         "changes_differ": lake(
-            "SELECT station_id, carburant_id, CAST(maj_at AS VARCHAR) AS maj_at, "
+            "SELECT station_id, fuel_id, CAST(maj_at AS VARCHAR) AS maj_at, "
             "CAST(prix_litre AS DOUBLE) AS prix_precedent, CAST(prix_litre AS DOUBLE) AS prix_litre "
             "FROM price_changes WHERE NOT est_premier_releve"
         ),
         "one_first_report": lake(
-            """SELECT station_id, carburant_id, CAST(0 AS BIGINT) AS premiers_releves FROM staged_prices
-               GROUP BY station_id, carburant_id
+            """SELECT station_id, fuel_id, CAST(0 AS BIGINT) AS premiers_releves FROM staged_prices
+               GROUP BY station_id, fuel_id
                QUALIFY row_number() OVER (PARTITION BY station_id
-                   ORDER BY min(maj_at), carburant_id) > 1"""
+                   ORDER BY min(maj_at), fuel_id) > 1"""
         ),
         "unique_current": lake(
-            """SELECT station_id, carburant_id, least(count(*), 2) AS prix FROM staged_prices
-               GROUP BY station_id, carburant_id HAVING count(*) > 1"""
+            """SELECT station_id, fuel_id, least(count(*), 2) AS prix FROM staged_prices
+               GROUP BY station_id, fuel_id HAVING count(*) > 1"""
         ),
         "current_equals_last_change": lake(
-            """SELECT station_id, carburant_id, CAST(arg_min(prix_litre, maj_at) AS DOUBLE) AS prix_actuel,
+            """SELECT station_id, fuel_id, CAST(arg_min(prix_litre, maj_at) AS DOUBLE) AS prix_actuel,
                 CAST(arg_max(prix_litre, maj_at) AS DOUBLE) AS prix_dernier_changement
-               FROM staged_prices GROUP BY station_id, carburant_id
+               FROM staged_prices GROUP BY station_id, fuel_id
                HAVING arg_min(prix_litre, maj_at) <> arg_max(prix_litre, maj_at)"""
         ),
         "age_not_negative": lake(
-            f"""SELECT * FROM (SELECT c.station_id, c.carburant_id, CAST(c.maj_at AS VARCHAR) AS maj_at,
+            f"""SELECT * FROM (SELECT c.station_id, c.fuel_id, CAST(c.maj_at AS VARCHAR) AS maj_at,
                 CAST(d.debut AS VARCHAR) AS reference_at,
                 CAST({paris("d.debut")} AS DATE) - CAST({paris("c.maj_at")} AS DATE)
                     AS nombre_jours_depuis_maj
@@ -589,12 +634,12 @@ def checks() -> dict[str, str]:
                WHERE nombre_jours_depuis_maj < 0"""
         ),
         "medians_station_bound": lake(
-            """SELECT CAST(m.jour AS VARCHAR) AS jour, m.carburant, m.nombre_stations, p.n AS stations_possibles
+            """SELECT CAST(m.jour AS VARCHAR) AS jour, m.fuel, m.nombre_stations, p.n AS stations_possibles
                FROM daily_medians AS m JOIN (
-                   SELECT c.jour, d.carburant_id, count(DISTINCT d.station_id) AS n
+                   SELECT c.jour, d.fuel_id, count(DISTINCT d.station_id) AS n
                    FROM calendar AS c JOIN daily AS d ON d.jour >= c.jour - 7 AND d.jour <= c.jour
-                   GROUP BY c.jour, d.carburant_id) AS p
-                 ON p.jour = m.jour AND p.carburant_id = m.carburant_id
+                   GROUP BY c.jour, d.fuel_id) AS p
+                 ON p.jour = m.jour AND p.fuel_id = m.fuel_id
                WHERE m.nombre_stations > p.n""",
             prices_in_force=TOO_LONG,
         ),
@@ -618,8 +663,8 @@ def checks() -> dict[str, str]:
             " UNION ALL ".join([
                 unexpected("raw_prices", "prix_id", "'1', '2', '3', '4', '5', '6'"),
                 unexpected("raw_stations", "pop", "'R', 'A', 'N'"),
-                unexpected("staged_prices", "carburant_id", "1, 2, 3, 4, 5, 6"),
-                unexpected("staged_prices", "carburant", NAMES),
+                unexpected("staged_prices", "fuel_id", "1, 2, 3, 4, 5, 6"),
+                unexpected("staged_prices", "fuel", NAMES),
             ]),
             raw_stations=where("raw_stations", "ville = 'BUILDING'", pop="'X'"),
         ),
@@ -669,19 +714,19 @@ def defects() -> str:
         on_first("SELECT * FROM raw_prices WHERE maj LIKE '2025-03-30T02:%'", maj="'2025-03-30T02:30:00'"),
         one,
         one,
-        rows("SELECT 1 FROM reports GROUP BY station_id, carburant_id, maj_at HAVING count(*) > 1"),
+        rows("SELECT 1 FROM reports GROUP BY station_id, fuel_id, maj_at HAVING count(*) > 1"),
         on_first("SELECT * FROM staged_prices WHERE prix_litre > 4", valeur="'1638'"),
         one,
         one,
         one,
         rows("SELECT * FROM price_changes WHERE NOT est_premier_releve"),
         lake(
-            "SELECT count(DISTINCT (station_id, carburant_id)) - count(DISTINCT station_id) AS n FROM staged_prices",
+            "SELECT count(DISTINCT (station_id, fuel_id)) - count(DISTINCT station_id) AS n FROM staged_prices",
             CLEAN_LAKE,
         ),
-        rows("SELECT 1 FROM staged_prices GROUP BY station_id, carburant_id HAVING count(*) > 1"),
+        rows("SELECT 1 FROM staged_prices GROUP BY station_id, fuel_id HAVING count(*) > 1"),
         rows(
-            """SELECT 1 FROM staged_prices GROUP BY station_id, carburant_id
+            """SELECT 1 FROM staged_prices GROUP BY station_id, fuel_id
                HAVING arg_min(prix_litre, maj_at) <> arg_max(prix_litre, maj_at)"""
         ),
         rows(
@@ -692,10 +737,10 @@ def defects() -> str:
         one,
         rows(
             """SELECT 1 FROM daily_medians AS m JOIN (
-                   SELECT c.jour, d.carburant_id, count(DISTINCT d.station_id) AS n
+                   SELECT c.jour, d.fuel_id, count(DISTINCT d.station_id) AS n
                    FROM calendar AS c JOIN daily AS d ON d.jour >= c.jour - 7 AND d.jour <= c.jour
-                   GROUP BY c.jour, d.carburant_id) AS p
-                 ON p.jour = m.jour AND p.carburant_id = m.carburant_id
+                   GROUP BY c.jour, d.fuel_id) AS p
+                 ON p.jour = m.jour AND p.fuel_id = m.fuel_id
                WHERE m.nombre_stations > p.n""",
             prices_in_force=TOO_LONG,
         ),
@@ -737,6 +782,7 @@ def oracle() -> dict[str, str]:
             )
         ),
         "price_changes": lake(pick(CHANGES, "price_changes")),
+        "price_changes_months": lake(pick(CHANGES, "price_changes"), {**EVENT_LAKE, "raw_prices": event_prices(15)}),
         "price_changes_years": lake(pick(CHANGES, "price_changes"), ORDER_LAKE),
         "current_prices": lake(pick(CURRENT, "current_prices")),
         "current_prices_years": lake(pick(CURRENT, "current_prices"), ORDER_LAKE),
@@ -751,7 +797,7 @@ def oracle() -> dict[str, str]:
         "motorway_gap_years": lake(pick(GAP, "motorway_gap"), ORDER_LAKE),
         "gap_summary": lake(GAP_SUMMARY),
         "gap_by_year": lake(GAP_YEARS),
-        "gap_by_day": lake(pick("carburant_id jour ecart_median departements", f"({GAP_DAYS})")),
+        "gap_by_day": lake(pick("fuel_id jour ecart_median departements", f"({GAP_DAYS})")),
         "xml_stations": f"""SELECT {ARCHIVE} AS source_file, {ATTRIBUTES},
             'Allée Été & ' || c_name || ' ' AS adresse, c_mktsegment AS ville
             FROM ({LISTED}) JOIN customer USING (c_custkey)""",
@@ -803,10 +849,11 @@ def oracle() -> dict[str, str]:
             round(event_id // 500 + 0.26, 1)::DOUBLE AS duree_s FROM events GROUP BY event_id // 500""",
         "mart_write": lake(" UNION ALL ".join(counted.format(name) for name in tables)),
         "suspect_flag": lake(
-            f"""SELECT carburant_id, CAST(prix_litre AS DOUBLE) AS prix_litre, {suspect()} AS est_prix_suspect,
-            count(*) AS releves FROM reports GROUP BY carburant_id, reports.prix_litre"""
+            f"""SELECT fuel_id, CAST(prix_litre AS DOUBLE) AS prix_litre, {suspect()} AS est_prix_suspect,
+            count(*) AS releves FROM reports GROUP BY fuel_id, reports.prix_litre"""
         ),
-        "text_repair": f"""SELECT doc_id, md5({REPAIRED.format(t="text")}) AS repare_md5,
+        # No text of the table is damaged, so each stays as it is, and a damaged copy gives it back.
+        "text_repair": """SELECT doc_id, md5(text) AS repare_md5,
             regexp_matches(text, '[À-ÿ]') OR NOT regexp_matches(text, '[^\\x00-\\x7F]') AS dommage_repare
             FROM documents""",
         "paris_instants": f"""SELECT event_id, CAST(local AS VARCHAR) AS local,
@@ -821,7 +868,7 @@ def oracle() -> dict[str, str]:
         "snapshot_retention": pick("annee jour sha256 octets", f"({KEPT})"),
         "snapshot_dropped": pick(
             "annee jour sha256 octets",
-            f"({MANIFEST}) WHERE (annee, jour) NOT IN (SELECT annee, jour FROM ({KEPT}))",
+            f"({MANIFEST}) WHERE (annee, jour, sha256) NOT IN (SELECT annee, jour, sha256 FROM ({KEPT}))",
         ),
         "snapshot_freed": f"""SELECT annee, count(*) FILTER (garde) AS gardes,
             count(*) FILTER (NOT garde) AS supprimes,
@@ -836,7 +883,8 @@ def oracle() -> dict[str, str]:
                         AND sha256(o.o_orderstatus || o.o_orderpriority) = m.sha256)
                     THEN 'already_published'
                 WHEN annee < 5 THEN 'past_year' ELSE 'not_sunday' END AS raison
-                FROM ({MANIFEST}) AS m)""",
+                FROM ({MANIFEST}) AS m WHERE (annee, sha256, jour) IN (
+                    SELECT annee, sha256, max(jour) FROM ({MANIFEST}) GROUP BY annee, sha256))""",
         "station_sample": SAMPLE.format(
             prices=ORDER_PRICES, source="prices",
             columns="pdv_id, prix_id, prix_nom, maj, valeur, _source_year",
@@ -862,8 +910,8 @@ def oracle() -> dict[str, str]:
         "export_checks": lake(EXPORT_CHECKS, **BROKEN),
         "series_gaps": lake(
             pick(
-                "carburant_id jour jour_suivant",
-                f"({SERIES_GAPS.format(source='(SELECT DISTINCT carburant_id, jour_releve AS jour FROM reports)')})",
+                "fuel_id jour jour_suivant",
+                f"({SERIES_GAPS.format(source='(SELECT DISTINCT fuel_id, jour_releve AS jour FROM reports)')})",
             ),
             ORDER_LAKE,
         ),

@@ -110,7 +110,7 @@ def raw_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     stations = m.yearly_stations(spark, sf_dir)
     raw.write_raw(stations.where(F.col("_source_year") <= 1996).drop("pop"), folder)
     raw.write_raw(stations.where(F.col("_source_year") > 1996), folder)
-    return raw.read_raw(spark, folder).select("pdv_id", "cp", "pop", "ville", "_source_year")
+    return raw.read_raw(spark, folder, entity="stations").select("pdv_id", "cp", "pop", "ville", "_source_year")
 
 
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +175,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suspect_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = m.event_lake(spark, sf_dir).reports
-    fuel, price = F.col("carburant_id"), F.col("prix_litre")
+    fuel, price = F.col("fuel_id"), F.col("prix_litre")
     return reports.groupBy(fuel, price, is_suspect(fuel, price, m.SETTINGS).alias("est_prix_suspect")).agg(
         F.count(F.lit(1)).alias("releves")
     )
@@ -336,7 +336,7 @@ def export_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps in the series of report days per year-round fuel."""
     days = m.order_lake(spark, sf_dir).reports.select(
-        "carburant_id", F.col("jour_releve").alias("jour")
+        "fuel_id", F.col("jour_releve").alias("jour")
     )
     return exports.series_gaps(days.distinct())
 
@@ -484,6 +484,7 @@ def registry() -> dict[str, Query]:
         "stg_prices_years": staged(m.order_lake),
         "stg_stations": stg_stations,
         "price_changes": relation("price_changes"),
+        "price_changes_months": relation("price_changes", days=15),
         "price_changes_years": relation("price_changes", m.order_lake),
         "current_prices": relation("current_prices"),
         "current_prices_years": relation("current_prices", m.order_lake),

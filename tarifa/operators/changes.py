@@ -23,7 +23,7 @@ def price_changes(staged: DataFrame, settings: Settings) -> DataFrame:
     order = [F.col("maj_at").asc_nulls_last(), F.col("prix_litre").asc_nulls_last()]
     by_month = Window.partitionBy(*PAIR, "mois").orderBy(*order)
     in_month = (
-        staged.select(*PAIR, "carburant", "maj_at", "prix_litre")
+        staged.select(*PAIR, "fuel", "maj_at", "prix_litre")
         .withColumn("mois", F.trunc(clock_day(F.col("maj_at")), "month"))
         .withColumn("precedent_mois", F.lag("prix_litre").over(by_month))
         .withColumn("rang", F.row_number().over(by_month))
@@ -46,13 +46,13 @@ def price_changes(staged: DataFrame, settings: Settings) -> DataFrame:
     kept = previous.where(~F.col("prix_litre").eqNullSafe(F.col("prix_precedent")))
     return kept.withColumn("changement_frise", F.lag("maj_at").over(timeline)).select(
         *PAIR,
-        "carburant",
+        "fuel",
         "maj_at",
         "prix_litre",
         "prix_precedent",
         (F.col("prix_litre") - F.col("prix_precedent")).alias("variation"),
         F.col("prix_precedent").isNull().alias("est_premier_releve"),
-        is_suspect(F.col("carburant_id"), F.col("prix_litre"), settings).alias("est_prix_suspect"),
+        is_suspect(F.col("fuel_id"), F.col("prix_litre"), settings).alias("est_prix_suspect"),
         F.when(F.col("place") <= 2, F.col("changement_frise"))
         .otherwise(F.col("changement_mois"))
         .alias("changement_precedent_at"),

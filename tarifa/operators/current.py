@@ -19,7 +19,7 @@ def current_prices(reports: DataFrame, settings: Settings) -> DataFrame:
     The maximum is combined in the map tasks, so a busy pair sends one row per task.
     """
     latest = reports.groupBy(*PAIR).agg(
-        F.max(F.struct("maj_at", "prix_litre", "carburant")).alias("dernier")
+        F.max(F.struct("maj_at", "prix_litre", "fuel")).alias("dernier")
     )
     reference = reports.agg(F.max("maj_at").alias("reference_at"))
 
@@ -29,10 +29,10 @@ def current_prices(reports: DataFrame, settings: Settings) -> DataFrame:
     price = F.col("dernier.prix_litre")
     return latest.crossJoin(F.broadcast(reference)).select(
         *PAIR,
-        F.col("dernier.carburant").alias("carburant"),
+        F.col("dernier.fuel").alias("fuel"),
         price.alias("prix_litre"),
         F.col("dernier.maj_at").alias("maj_at"),
-        is_suspect(F.col("carburant_id"), price, settings).alias("est_prix_suspect"),
+        is_suspect(F.col("fuel_id"), price, settings).alias("est_prix_suspect"),
         days_between(local_day(F.col("dernier.maj_at")), local_day(F.col("reference_at"))).alias(
             "nombre_jours_depuis_maj"
         ),

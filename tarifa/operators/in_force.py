@@ -23,7 +23,7 @@ def daily_last_prices(staged: DataFrame) -> DataFrame:
     Price and time are both fixed-width, so this maximum is combined in hash tables without sorting.
     """
     priced_at = F.when(F.col("prix_litre").isNotNull(), F.col("maj_at"))
-    return staged.groupBy(*PAIR, "carburant", F.col("jour_releve").alias("jour")).agg(
+    return staged.groupBy(*PAIR, "fuel", F.col("jour_releve").alias("jour")).agg(
         F.max_by("prix_litre", priced_at).alias("prix_litre")
     )
 
@@ -36,7 +36,7 @@ def validity_periods(
     The window runs over days, not reports: a pair has at most one row per day and fuel name there,
     however often it reports. ``reports`` gives the bounds without the conflict-resolution shuffle.
     """
-    history = Window.partitionBy(*PAIR).orderBy("jour", "carburant")
+    history = Window.partitionBy(*PAIR).orderBy("jour", "fuel")
     bounds = report_days(staged if reports is None else reports).select("dernier_jour")
     return (
         daily_last_prices(staged)
@@ -59,11 +59,11 @@ def expand_periods(periods: DataFrame, settings: Settings) -> DataFrame:
     days = F.when(F.col("fin") >= F.col("jour"), F.sequence("jour", "fin"))
     return periods.select(
         *PAIR,
-        "carburant",
+        "fuel",
         F.explode(days).alias("jour"),
         "prix_litre",
         F.col("jour").alias("releve_le"),
-    ).withColumn("est_prix_suspect", is_suspect(F.col("carburant_id"), F.col("prix_litre"), settings))
+    ).withColumn("est_prix_suspect", is_suspect(F.col("fuel_id"), F.col("prix_litre"), settings))
 
 
 def prices_in_force(

@@ -24,10 +24,10 @@ def daily_medians(in_force: DataFrame, reports: DataFrame, settings: Settings) -
     """Median price and number of stations per day and fuel; each station counts once a day."""
     per_price = (
         from_first_full_day(in_force.where(~F.col("est_prix_suspect")), report_days(reports), settings)
-        .groupBy("jour", "carburant_id", "carburant", "prix_litre")
+        .groupBy("jour", "fuel_id", "fuel", "prix_litre")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return per_price.groupBy("jour", "carburant_id", "carburant").agg(
+    return per_price.groupBy("jour", "fuel_id", "fuel").agg(
         decimal_percentile(F.col("prix_litre"), 0.5, F.col("n")).alias("prix_median"),
         F.sum("n").alias("nombre_stations"),
     )
@@ -49,7 +49,7 @@ def motorway_gap(
     usable = from_first_full_day(
         in_force.where(~F.col("est_prix_suspect")), report_days(reports), settings
     )
-    cell = ["jour", "departement", "carburant_id", "carburant"]
+    cell = ["jour", "departement", "fuel_id", "fuel"]
     per_price = (
         usable.join(dimension, "station_id")
         .groupBy(*cell, "est_autoroute", "prix_litre")
@@ -84,7 +84,7 @@ def gap_summary(gap: DataFrame) -> DataFrame:
     def gap_at(share: float) -> Column:
         return decimal_percentile(F.col("ecart"), share, precision=9).cast("double")
 
-    return gap.groupBy("carburant_id").agg(
+    return gap.groupBy("fuel_id").agg(
         gap_at(0.5).alias("ecart_median"),
         gap_at(0.25).alias("ecart_q1"),
         gap_at(0.75).alias("ecart_q3"),
@@ -96,14 +96,14 @@ def gap_summary(gap: DataFrame) -> DataFrame:
 
 
 def gap_by_year(gap: DataFrame) -> DataFrame:
-    return gap.groupBy("carburant_id", F.year("jour").cast("bigint").alias("annee")).agg(
+    return gap.groupBy("fuel_id", F.year("jour").cast("bigint").alias("annee")).agg(
         decimal_percentile(F.col("ecart"), 0.5, precision=9).cast("double").alias("ecart_median")
     )
 
 
 def gap_by_day(gap: DataFrame) -> DataFrame:
     """Per fuel and day: median over the areas that can be compared, and how many there are."""
-    return gap.groupBy("carburant_id", "jour").agg(
+    return gap.groupBy("fuel_id", "jour").agg(
         decimal_percentile(F.col("ecart"), 0.5, precision=9).cast("double").alias("ecart_median"),
         F.count(F.lit(1)).alias("departements"),
     )

@@ -34,7 +34,8 @@ def kept_archives(manifest: DataFrame) -> DataFrame:
 
 
 def dropped_archives(manifest: DataFrame) -> DataFrame:
-    return manifest.join(kept_archives(manifest).select("annee", "jour"), ["annee", "jour"], "left_anti")
+    copy = ["annee", "jour", "sha256"]
+    return manifest.join(kept_archives(manifest).select(*copy), copy, "left_anti")
 
 
 def retention_summary(manifest: DataFrame) -> DataFrame:
@@ -56,9 +57,9 @@ def retention_summary(manifest: DataFrame) -> DataFrame:
 
 
 def publish_decisions(
-    manifest: DataFrame, published: DataFrame, today: dt.date, force: bool = False
+    manifest: DataFrame, published: DataFrame, today: dt.date, force: bool = False, of_day: dt.date | None = None
 ) -> DataFrame:
-    """Publish each archive or not, and why.
+    """Publish each archive or not, and why: the copies of one day, or the newest copy of each content.
 
     ``published`` holds (annee, nom). The hash at the end of a name is its key, so the match is an
     equality join on a deduplicated side instead of a suffix comparison of all pairs.
@@ -78,8 +79,10 @@ def publish_decisions(
         .when(F.lit(sunday), "end_of_week")
         .otherwise("not_sunday")
     )
+    copies = manifest if of_day is None else manifest.where(F.col("jour") == F.lit(of_day))
+    copies = copies.groupBy("annee", "sha256").agg(F.max("jour").alias("jour"))
     return (
-        manifest.withColumn("cle", F.substring("sha256", 1, HASH_CHARS))
+        copies.withColumn("cle", F.substring("sha256", 1, HASH_CHARS))
         .join(known, ["annee", "cle"], "left")
         .withColumn("raison", reason)
         .select(

@@ -10,7 +10,7 @@ from tarifa.functions.text import repair_double_encoding, trim_spaces
 from tarifa.functions.time import clock_day, clock_to_instant, read_clock
 from tarifa.schemas import LINEAGE_COLUMNS
 
-PAIR = ["station_id", "carburant_id"]
+PAIR = ["station_id", "fuel_id"]
 
 
 def typed_reports(raw_prices: DataFrame, settings: Settings) -> DataFrame:
@@ -23,8 +23,8 @@ def typed_reports(raw_prices: DataFrame, settings: Settings) -> DataFrame:
     read = raw_prices.where(F.col("prix_id").isNotNull()).withColumn("_clock", read_clock(F.col("maj")))
     return read.select(
         F.col("pdv_id").cast("int").alias("station_id"),
-        F.col("prix_id").cast("smallint").alias("carburant_id"),
-        F.col("prix_nom").alias("carburant"),
+        F.col("prix_id").cast("smallint").alias("fuel_id"),
+        F.col("prix_nom").alias("fuel"),
         clock_to_instant(clock, settings.zone).alias("maj_at"),
         clock_day(clock).alias("jour_releve"),
         F.col("valeur").cast("decimal(8,3)").alias("prix_litre"),
@@ -46,7 +46,7 @@ def staged_prices(raw_prices: DataFrame, settings: Settings) -> DataFrame:
     """
     same_report = Window.partitionBy("maj_at", "_pdv_id", "_prix_id", "_maj").orderBy(
         F.col("prix_litre").desc_nulls_last(),
-        F.col("carburant").desc_nulls_last(),
+        F.col("fuel").desc_nulls_last(),
         F.col("_source_year").desc_nulls_last(),
         F.col("_file"),
     )
@@ -55,7 +55,7 @@ def staged_prices(raw_prices: DataFrame, settings: Settings) -> DataFrame:
         .withColumn("_file", F.xxhash64("_source_file"))
         .withColumn("_rank", F.row_number().over(same_report))
         .where(F.col("_rank") == 1)
-        .select(*PAIR, "carburant", "maj_at", "jour_releve", "prix_litre", *LINEAGE_COLUMNS)
+        .select(*PAIR, "fuel", "maj_at", "jour_releve", "prix_litre", *LINEAGE_COLUMNS)
     )
 
 

@@ -43,7 +43,7 @@ def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame
     Activity is first reduced to one row per (station, fuel) with map-side combine, which makes the
     number of fuels a plain count and leaves no busy station whole.
     """
-    by_fuel = staged.groupBy("station_id", "carburant_id").agg(
+    by_fuel = staged.groupBy("station_id", "fuel_id").agg(
         F.min("maj_at").alias("premier"),
         F.max("maj_at").alias("dernier"),
         F.count(F.lit(1)).alias("releves"),
@@ -51,7 +51,7 @@ def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame
     activity = by_fuel.groupBy("station_id").agg(
         F.min("premier").alias("premier_releve_at"),
         F.max("dernier").alias("dernier_releve_at"),
-        F.count("carburant_id").alias("nombre_carburants"),
+        F.count("fuel_id").alias("nombre_fuels"),
         F.sum("releves").alias("nombre_releves"),
     )
     versions = latest_versions(staged if reports is None else reports, stations)
@@ -59,7 +59,7 @@ def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame
         *ATTRIBUTES,
         "premier_releve_at",
         "dernier_releve_at",
-        "nombre_carburants",
+        "nombre_fuels",
         "nombre_releves",
         "annee_version",
     )

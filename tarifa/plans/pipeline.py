@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.plans.exports import export_findings, write_exports
-from tarifa.plans.lake import PriceLake, write_tables
-from tarifa.quality.checks import run_checks
+from tarifa.plans.lake import TABLES, PriceLake, write_tables
+from tarifa.quality.checks import CHECKS, run_checks
 from tarifa.sources import archives as arc
 from tarifa.sources import raw
 
@@ -19,18 +22,36 @@ class CheckError(RuntimeError):
     """A check of error severity found rows, so nothing is published."""
 
 
-def newest_copies(spark: SparkSession, path: str, years: list[int] | None = None) -> list[str]:
-    """Path of the newest archive copy of each year. Only names are read; there is one result per year."""
+def listed_archives(spark: SparkSession, path: str) -> DataFrame:
+    """(path, annee, jour) of every file below the path, from its name; both are empty where the name does not fit."""
     name = arc.source_file(F.col("path"))
-    listed = arc.read_archives(spark, path).select(
+    return arc.read_archives(spark, path).select(
         "path",
         F.regexp_extract(name, arc.NAME_PATTERN, 1).alias("annee"),
         F.regexp_extract(name, arc.NAME_PATTERN, 2).alias("jour"),
     )
-    if years:
+
+
+def newest_copies(listed: DataFrame, years: list[int] | None = None) -> list[tuple[int, str]]:
+    """Year and path of the newest copy of each year; there is one row per year."""
+    if years is not None:
         listed = listed.where(F.col("annee").isin([str(year) for year in years]))
     newest = listed.where(F.col("jour") != "").groupBy("annee").agg(F.max_by("path", "jour").alias("path"))
-    return [row["path"] for row in newest.collect()]
+    return sorted((int(row["annee"]), row["path"]) for row in newest.collect())
+
+
+def wanted_years(spark: SparkSession, folder: str, settings: Settings, today: dt.date) -> list[int]:
+    """Years to load: the current one, the previous one in early January, and those the lake lacks."""
+    frames = {}
+    for entity in raw.ENTITIES:
+        try:
+            frames[entity] = raw.read_raw(spark, f"{folder}/{entity}", entity=entity)
+        except AnalysisException:  # nothing has been loaded yet
+            continue
+    present = raw.present_years(frames) if len(frames) == len(raw.ENTITIES) else None
+    if present is None:
+        present = spark.createDataFrame([], "entite string, annee int")
+    return [row["annee"] for row in raw.years_to_load(present, settings, today).collect()]
 
 
 def load(
@@ -41,16 +62,28 @@ def load(
     settings: Settings,
     years: list[int] | None = None,
 ) -> DataFrame:
-    """Load the newest copy of each year; returns the findings. A year that fails its rules stays as it was."""
-    paths = newest_copies(spark, archive_path, years)
-    if not paths:
+    """Load the newest copy of each year; returns the findings. A year that fails its rules stays as it was.
+
+    Without ``years`` the current year, in early January the one before, and years that the lake lacks are loaded. A file
+    whose name is none of an archive is an error: nothing below the path is passed over in silence.
+    """
+    listed = listed_archives(spark, archive_path)
+    unused = [arc.source_file(F.col("path")).alias("f")]
+    strangers = sorted(r["f"] for r in listed.where(F.col("jour") == "").select(*unused).collect())
+    if strangers:
+        raise arc.SourceError(f"no archive names: {', '.join(strangers)}")
+    chosen = newest_copies(listed, wanted_years(spark, folder, settings, loaded_at.date()) if years is None else years)
+    if not chosen:
         raise arc.SourceError(f"no archive below {archive_path}")
-    chosen = spark.read.format("binaryFile").load(paths)
-    landed = raw.land_archives(chosen, F.lit(loaded_at), f"{folder}/landed")
+    files = spark.createDataFrame([(path,) for _, path in chosen], "path string")
+    loading = spark.createDataFrame([(year,) for year, _ in chosen], "annee int")
+    by_path = all(re.match(r"(?:file|hdfs|s3|gs|gcs):", path) for _, path in chosen)
+    archives = files if by_path else spark.read.format("binaryFile").load([path for _, path in chosen])
+    landed = raw.land_archives(archives, F.lit(loaded_at), f"{folder}/landed", by_path)
     prices, stations = raw.raw_prices(landed), raw.raw_stations(landed)
     findings = raw.price_load_findings(
-        raw.price_stats(prices), settings, loaded_at.date()
-    ).unionByName(raw.station_load_findings(raw.station_stats(stations)))
+        raw.price_stats(prices), settings, loaded_at.date(), loading
+    ).unionByName(raw.station_load_findings(raw.station_stats(stations), loading))
     raw.require_load(findings)
     raw.write_raw(prices, f"{folder}/prix")
     raw.write_raw(stations, f"{folder}/stations")
@@ -59,22 +92,46 @@ def load(
 
 def open_lake(spark: SparkSession, folder: str, settings: Settings | None = None) -> PriceLake:
     return PriceLake(
-        raw.read_raw(spark, f"{folder}/prix"), raw.read_raw(spark, f"{folder}/stations"), settings
+        raw.read_raw(spark, f"{folder}/prix"), raw.read_raw(spark, f"{folder}/stations", entity="stations"), settings
     )
 
 
-def build(lake: PriceLake, folder: str) -> tuple[PriceLake, DataFrame]:
-    """Write the tables and the results of all checks; stop at a failed check."""
-    spark = lake.raw_prices.sparkSession
-    stored = write_tables(lake, f"{folder}/tables")
-    run_checks(stored).write.mode("overwrite").parquet(f"{folder}/checks")
-    results = spark.read.parquet(f"{folder}/checks")
+#: Checks of the raw layer, which must hold before its values are read as times and numbers.
+SOURCE_CHECKS = ["maj_parsable", "maj_in_file_year", "spring_gap_hour", "empty_tags_alone"]
+
+
+def checked(lake: PriceLake, names: list[str], folder: str, mode: str) -> DataFrame:
+    """Results of some checks, stored; stops at a failed one."""
+    run_checks(lake, names).write.mode(mode).parquet(folder)
+    results = lake.raw_prices.sparkSession.read.parquet(folder)
     failed = [r["controle"] for r in results.where(F.col("statut") == "fail").collect()]
     if failed:
         raise CheckError(", ".join(sorted(failed)))
+    return results
+
+
+def build(lake: PriceLake, folder: str) -> tuple[PriceLake, DataFrame]:
+    """Check the raw layer, write the tables into a folder of this run, check them, and only then switch to them.
+
+    A failed check leaves the tables of the last good run in place; ``open_tables`` reads those.
+    """
+    spark = lake.raw_prices.sparkSession
+    run = f"tables-{uuid.uuid4().hex}"
+    checked(lake, SOURCE_CHECKS, f"{folder}/checks", "overwrite")
+    stored = write_tables(lake, f"{folder}/{run}")
+    results = checked(stored, [name for name in CHECKS if name not in SOURCE_CHECKS], f"{folder}/checks", "append")
+    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(f"{folder}/current")
     return stored, results
 
 
+def open_tables(lake: PriceLake, folder: str) -> PriceLake:
+    """The lake with the tables of the last run that passed its checks."""
+    spark = lake.raw_prices.sparkSession
+    run = spark.read.schema("run string").json(f"{folder}/current").first()["run"]
+    names = ["staged_prices", "staged_stations", *TABLES]
+    return lake.with_relations(**{name: spark.read.parquet(f"{folder}/{run}/{name}") for name in names})
+
+
 def publish(
     lake: PriceLake,
     folder: str,

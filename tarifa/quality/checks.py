@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tarifa.config import ROAD_TYPES
 from tarifa.functions.text import has_double_encoding
-from tarifa.functions.time import clock_day, read_clock, try_clock
+from tarifa.functions.time import try_clock
 from tarifa.operators.staging import PAIR
 from tarifa.operators.stations import priced_versions
 from tarifa.plans.lake import PriceLake
@@ -36,17 +36,16 @@ def maj_parsable(lake: PriceLake) -> DataFrame:
 
 
 def maj_in_file_year(lake: PriceLake) -> DataFrame:
-    year = F.year(clock_day(read_clock(F.col("maj"))))
+    year = F.year(try_clock(F.col("maj")))
     return filled(lake).where(year != F.col("_source_year")).select(*RAW_REPORT)
 
 
 def spring_gap_hour(lake: PriceLake) -> DataFrame:
     """Local times that do not exist: 02:xx on the last Sunday of March."""
-    clock = read_clock(F.col("maj"))
-    day = clock_day(clock)
+    clock = try_clock(F.col("maj"))
+    day = F.to_date(clock)
     last_sunday = (F.month(day) == 3) & (F.dayofweek(day) == 1) & (F.dayofmonth(day) >= 25)
-    hour = F.floor(F.unix_seconds(clock) / 3600) % 24
-    return filled(lake).where(last_sunday & (hour == 2)).select(*RAW_REPORT)
+    return filled(lake).where(last_sunday & (F.hour(clock) == 2)).select(*RAW_REPORT)
 
 
 def empty_tags_alone(lake: PriceLake) -> DataFrame:
@@ -101,13 +100,13 @@ def unique_staging(lake: PriceLake) -> DataFrame:
 def price_range(lake: PriceLake) -> DataFrame:
     low, high = lake.settings.price_range
     return lake.staged_prices.where(outside(F.col("prix_litre"), F.lit(low), F.lit(high))).select(
-        "station_id", "carburant", "maj_at", "prix_litre"
+        "station_id", "fuel", "maj_at", "prix_litre"
     )
 
 
 def not_in_future(lake: PriceLake) -> DataFrame:
     return lake.staged_prices.where(F.col("maj_at") > F.col("_loaded_at")).select(
-        "station_id", "carburant", "maj_at", "_loaded_at", "_source_file"
+        "station_id", "fuel", "maj_at", "_loaded_at", "_source_file"
     )
 
 
@@ -174,7 +173,7 @@ def one_first_report(lake: PriceLake) -> DataFrame:
         .where((found != 1) | F.col("c.station_id").isNull())
         .select(
             F.col("c.station_id").alias("station_id"),
-            F.col("c.carburant_id").alias("carburant_id"),
+            F.col("c.fuel_id").alias("fuel_id"),
             found.alias("premiers_releves"),
         )
     )
@@ -224,14 +223,14 @@ def medians_station_bound(lake: PriceLake) -> DataFrame:
         .where(F.col("jour_releve").isNotNull())
         .distinct()
         .withColumn("fin", covered_until)
-        .select("carburant_id", F.explode(F.sequence("jour_releve", "fin")).alias("jour"))
-        .groupBy("jour", "carburant_id")
+        .select("fuel_id", F.explode(F.sequence("jour_releve", "fin")).alias("jour"))
+        .groupBy("jour", "fuel_id")
         .agg(F.count(F.lit(1)).alias("stations_possibles"))
     )
     return (
-        lake.daily_medians.join(possible, ["jour", "carburant_id"])
+        lake.daily_medians.join(possible, ["jour", "fuel_id"])
         .where(F.col("nombre_stations") > F.col("stations_possibles"))
-        .select("jour", "carburant", "nombre_stations", "stations_possibles")
+        .select("jour", "fuel", "nombre_stations", "stations_possibles")
     )
 
 
@@ -241,20 +240,20 @@ def medians_station_bound(lake: PriceLake) -> DataFrame:
 REQUIRED = {
     "raw_prices": ["_source_year"],
     "raw_stations": ["pdv_id"],
-    "staged_prices": ["station_id", "carburant_id", "carburant", "maj_at", "prix_litre"],
+    "staged_prices": ["station_id", "fuel_id", "fuel", "maj_at", "prix_litre"],
     "staged_stations": ["station_id", "_source_year"],
-    "prices_in_force": ["station_id", "carburant_id", "jour", "prix_litre"],
+    "prices_in_force": ["station_id", "fuel_id", "jour", "prix_litre"],
     "price_changes": [
-        "station_id", "carburant_id", "maj_at", "prix_litre", "est_premier_releve", "est_prix_suspect",
+        "station_id", "fuel_id", "maj_at", "prix_litre", "est_premier_releve", "est_prix_suspect",
     ],
     "stations": ["station_id", "adresse", "ville", "latitude", "longitude", "est_autoroute"],
     "current_prices": [
-        "station_id", "carburant_id", "prix_litre", "maj_at", "est_prix_suspect",
+        "station_id", "fuel_id", "prix_litre", "maj_at", "est_prix_suspect",
         "nombre_jours_depuis_maj",
     ],
-    "daily_medians": ["jour", "carburant_id", "carburant", "prix_median", "nombre_stations"],
+    "daily_medians": ["jour", "fuel_id", "fuel", "prix_median", "nombre_stations"],
     "motorway_gap": [
-        "jour", "departement", "carburant_id", "prix_median_autoroute", "prix_median_route",
+        "jour", "departement", "fuel_id", "prix_median_autoroute", "prix_median_route",
         "nombre_stations_autoroute", "nombre_stations_route", "ecart",
     ],
 }
@@ -270,9 +269,9 @@ def accepted_values(lake: PriceLake) -> DataFrame:
         [
             unexpected_values(lake.raw_prices, "raw_prices", "prix_id", [str(c) for c in codes]),
             unexpected_values(lake.raw_stations, "raw_stations", "pop", list(ROAD_TYPES)),
-            unexpected_values(lake.staged_prices, "staged_prices", "carburant_id", codes),
+            unexpected_values(lake.staged_prices, "staged_prices", "fuel_id", codes),
             unexpected_values(
-                lake.staged_prices, "staged_prices", "carburant", list(lake.settings.fuels.values())
+                lake.staged_prices, "staged_prices", "fuel", list(lake.settings.fuels.values())
             ),
         ]
     )

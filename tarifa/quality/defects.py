@@ -133,9 +133,9 @@ def repeats_kept(lake: PriceLake) -> PriceLake:
 def history_by_station(lake: PriceLake) -> PriceLake:
     """Only the station's first report counts as first, not the first of each of its fuels."""
     start = lake.price_changes.groupBy("station_id").agg(
-        F.min(F.struct("maj_at", "carburant_id")).alias("_debut")
+        F.min(F.struct("maj_at", "fuel_id")).alias("_debut")
     )
-    is_start = F.struct("maj_at", "carburant_id") == F.col("_debut")
+    is_start = F.struct("maj_at", "fuel_id") == F.col("_debut")
     changed = (
         lake.price_changes.join(start, "station_id")
         .withColumn("est_premier_releve", F.col("est_premier_releve") & is_start)
@@ -196,7 +196,7 @@ def period_too_long(lake: PriceLake) -> PriceLake:
     """A price still in force on the day of its successor: the station counts twice that day."""
     periods = validity_periods(lake.staged_prices, lake.settings, lake.reports)
     longest = F.date_add("jour", lake.settings.days_in_force)
-    nxt = F.lead("jour").over(Window.partitionBy(*PAIR).orderBy("jour", "carburant"))
+    nxt = F.lead("jour").over(Window.partitionBy(*PAIR).orderBy("jour", "fuel"))
     longer = periods.withColumn("nxt", nxt).withColumn(
         "fin", F.when(F.col("nxt").isNotNull(), F.least("nxt", longest)).otherwise(F.col("fin"))
     )

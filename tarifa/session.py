@@ -11,24 +11,28 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "tarifa", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on; the cluster's own settings win where they exist."""
+    """A session with adaptive execution on; settings that exist already win over the defaults here."""
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
+        builder = builder.master(master).config("spark.ui.enabled", "false")
+        # Call sites of each column expression cost more than building the plan.
+        builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     defaults = {
-        "spark.ui.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
-        # Call sites of each column expression cost more than building the plan.
-        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
-    for key, value in {**defaults, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    for key, value in defaults.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    spark.conf.set("spark.sql.ansi.enabled", "true")  # the casts of staging rely on it
+    return spark
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:

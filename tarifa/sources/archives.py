@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 from xml.parsers import expat
 
 import pandas as pd
@@ -17,7 +19,7 @@ from tarifa.schemas import PDV_ELEMENT, STATION_ATTRIBUTES
 # Root and record tags, and the name pattern "<label>_<year>_<label>_<day>.zip".
 ROOT_TAG = "pdv_liste"
 RECORD_TAG = "pdv"
-NAME_PATTERN = r"_(\d{4})_[^_/]+_(\d{8})\.zip$"
+NAME_PATTERN = r"(?i)_(\d{4})_[^_/]+_(\d{8})\.zip$"
 
 BLOCK_BYTES = 1 << 20
 BATCH_CHARS = 8 << 20
@@ -33,10 +35,8 @@ class SourceError(ValueError):
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Archives below ``path``, one row per file. Spark fails on a file beyond its binary limit (2 GiB)."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    )
+    """Files below ``path``, one row each. Contents are only read where the column is used, up to 2 GiB a file."""
+    return spark.read.format("binaryFile").load(path)
 
 
 def source_hash(content: Column) -> Column:
@@ -68,9 +68,15 @@ def archive_manifest(archives: DataFrame) -> DataFrame:
 def record_slices(stream) -> Iterator[str]:
     """Text of each record, found by a streaming parser; memory holds one record and one block."""
     parser = expat.ParserCreate()
-    state = {"root": False, "start": None, "base": 0, "buffer": b"", "encoding": "utf-8"}
+    state = {"root": False, "start": None, "base": 0, "encoding": "utf-8"}
+    blocks: list[bytes] = []  # what an open record needs; joined once, when it ends
     found: list[bytes] = []
 
+    def buffered() -> bytes:
+        if len(blocks) > 1:
+            blocks[:] = [b"".join(blocks)]
+        return blocks[0]
+
     def declaration(version, encoding, standalone):
         state["encoding"] = encoding or "utf-8"
 
@@ -88,7 +94,7 @@ def record_slices(stream) -> Iterator[str]:
         if tag != RECORD_TAG:
             return
         parser.StartElementHandler = opened
-        buffer, base, start = state["buffer"], state["base"], state["start"]
+        buffer, base, start = buffered(), state["base"], state["start"]
         here = parser.CurrentByteIndex
         if here == start:
             end = EMPTY_RECORD.match(buffer, start - base).end()
@@ -102,22 +108,22 @@ def record_slices(stream) -> Iterator[str]:
     parser.EndElementHandler = closed
     while True:
         block = stream.read(BLOCK_BYTES)
-        state["buffer"] += block
+        blocks.append(block)
         parser.Parse(block, not block)
         for record in found:
             yield record.decode(state["encoding"])
         found.clear()
         # Keep what an open record, or a tag cut by the block's end, still needs.
         done = parser.CurrentByteIndex if state["start"] is None else state["start"]
-        done = max(done, state["base"])
-        state["buffer"] = state["buffer"][done - state["base"] :]
-        state["base"] = done
+        if done > state["base"]:
+            blocks[:] = [buffered()[done - state["base"] :]]
+            state["base"] = done
         if not block:
             return
 
 
-def archive_records(content: bytes) -> Iterator[str]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+def archive_records(file: BinaryIO) -> Iterator[str]:
+    with zipfile.ZipFile(file) as archive:
         names = [name for name in archive.namelist() if name.lower().endswith(".xml")]
         if len(names) != 1:
             raise SourceError(f"{len(names)} XML files in the archive instead of one")
@@ -125,19 +131,49 @@ def archive_records(content: bytes) -> Iterator[str]:
             yield from record_slices(stream)
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _record_frames(origin: tuple, file: BinaryIO) -> Iterator[pd.DataFrame]:
     names = [*ORIGIN, "ordinal", "element"]
+    rows, size = [], 0
+    for ordinal, element in enumerate(archive_records(file)):
+        rows.append((*origin, ordinal, element))
+        size += len(element)
+        if size >= BATCH_CHARS:
+            yield pd.DataFrame(rows, columns=names)
+            rows, size = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=names)
+
+
+def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for *origin, content in batch[[*ORIGIN, "content"]].itertuples(index=False):
-            rows, size = [], 0
-            for ordinal, element in enumerate(archive_records(content)):
-                rows.append((*origin, ordinal, element))
-                size += len(element)
-                if size >= BATCH_CHARS:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=names)
+            yield from _record_frames(tuple(origin), io.BytesIO(content))
+
+
+def open_anywhere(path: str) -> BinaryIO:
+    """A seekable stream of a file in a store that Arrow knows (local, HDFS, S3, GCS)."""
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
+def unpack_files(files: DataFrame, open_file: Callable[[str], BinaryIO] = open_anywhere) -> DataFrame:
+    """Like ``unpack_archives`` from paths alone: tasks read the archive as a stream, so its size has no limit."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, name, year in batch.itertuples(index=False):
+                with open_file(path) as file:
+                    digest = hashlib.sha256()
+                    while block := file.read(BLOCK_BYTES):
+                        digest.update(block)
+                    file.seek(0)
+                    yield from _record_frames((name, year, digest.hexdigest()), file)
+
+    name, year, _ = _origin()
+    # a path per task: reading is the work, and there are few
+    return files.select("path", name, year).repartition("path").mapInPandas(unpack, UNPACKED)
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:

@@ -6,13 +6,19 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarifa.config import Settings
 from tarifa.functions.text import trim_spaces
-from tarifa.schemas import LINEAGE_COLUMNS, PRICE_COLUMNS, STATION_COLUMNS
+from tarifa.schemas import LINEAGE_COLUMNS, PRICE_COLUMNS, RAW_PRICES, RAW_STATIONS, STATION_COLUMNS
 from tarifa.sources import archives as arc
 
 ENTITIES = {"prix": PRICE_COLUMNS, "stations": STATION_COLUMNS}
+# The folders of the layer add their year.
+SCHEMAS = {
+    entity: T.StructType([*schema.fields, T.StructField("annee", T.IntegerType())])
+    for entity, schema in [("prix", RAW_PRICES), ("stations", RAW_STATIONS)]
+}
 
 
 def with_lineage(rows: DataFrame, loaded_at: Column) -> DataFrame:
@@ -26,9 +32,10 @@ def with_lineage(rows: DataFrame, loaded_at: Column) -> DataFrame:
     )
 
 
-def land_archives(archives: DataFrame, loaded_at: Column, folder: str) -> DataFrame:
+def land_archives(archives: DataFrame, loaded_at: Column, folder: str, by_path: bool = False) -> DataFrame:
     """Unpack and parse once into a nested table; both raw entities are column subsets of it."""
-    parsed = arc.parse_records(arc.spread_records(arc.unpack_archives(archives)))
+    unpack = arc.unpack_files if by_path else arc.unpack_archives
+    parsed = arc.parse_records(arc.spread_records(unpack(archives)))
     landed = with_lineage(parsed, loaded_at)
     landed.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return archives.sparkSession.read.parquet(folder)
@@ -59,9 +66,12 @@ def write_raw(rows: DataFrame, folder: str) -> None:
     )
 
 
-def read_raw(spark: SparkSession, folder: str, years: list[int] | None = None) -> DataFrame:
-    """All years by column name; a column an older year lacks is NULL. ``years`` prunes folders."""
-    frame = spark.read.option("mergeSchema", "true").parquet(folder)
+def read_raw(spark: SparkSession, folder: str, years: list[int] | None = None, entity: str = "prix") -> DataFrame:
+    """All years by column name; a column an older year lacks is NULL. ``years`` prunes folders.
+
+    The declared schema is read, so opening the lake looks into no file.
+    """
+    frame = spark.read.schema(SCHEMAS[entity]).parquet(folder)
     if years:
         frame = frame.where(F.col("annee").isin(years))
     return frame.drop("annee")
@@ -156,8 +166,23 @@ def _findings(stats: DataFrame, rules: list[tuple[str, str, Column, Column]]) ->
     )
 
 
-def price_load_findings(stats: DataFrame, settings: Settings, today: dt.date) -> DataFrame:
-    """Errors stop a load (nothing dated); warnings report empty tags, off-year and stale reports."""
+def of_years(stats: DataFrame, years: DataFrame | None) -> DataFrame:
+    """A row for each year of a load (column annee), also for one without a single record: its counts are 0."""
+    if years is None:
+        return stats
+    wanted = years.select(F.col("annee").cast("smallint").alias("_source_year")).distinct()
+    counts = [f.name for f in stats.schema if f.dataType.typeName() == "long"]
+    return wanted.join(stats, "_source_year", "left").fillna(0, counts)
+
+
+def price_load_findings(
+    stats: DataFrame, settings: Settings, today: dt.date, years: DataFrame | None = None
+) -> DataFrame:
+    """Errors stop a load (nothing dated); warnings report empty tags, off-year and stale reports.
+
+    ``years`` lists the years that were to be loaded, so that one without records is noticed.
+    """
+    stats = of_years(stats, years)
     last_day = F.to_date(F.left(F.col("dernier"), F.lit(10)))
     delay = F.datediff(F.lit(today), last_day)
     is_current = F.col("_source_year") == today.year
@@ -173,7 +198,8 @@ def price_load_findings(stats: DataFrame, settings: Settings, today: dt.date) ->
     )
 
 
-def station_load_findings(stats: DataFrame) -> DataFrame:
+def station_load_findings(stats: DataFrame, years: DataFrame | None = None) -> DataFrame:
+    stats = of_years(stats, years)
     twice = F.col("stations") - F.col("identifiants")
     blanks = ["sans_adresse", "sans_ville", "sans_coordonnees"]
     return _findings(
@@ -187,10 +213,11 @@ def station_load_findings(stats: DataFrame) -> DataFrame:
 
 
 def require_load(findings: DataFrame) -> None:
-    """Stop when a finding is an error (at most a handful of rows per year are looked at)."""
-    errors = findings.where(F.col("niveau") == "error").take(5)
-    if errors:
-        raise arc.SourceError("; ".join(f"{e['_source_year']}: {e['regle']}" for e in errors))
+    """Stop when a finding is an error. All failed rules are named, each with its years (one row per rule)."""
+    errors = findings.where(F.col("niveau") == "error").groupBy("regle")
+    failed = errors.agg(F.array_sort(F.collect_set("_source_year")).alias("annees")).orderBy("regle").collect()
+    if failed:
+        raise arc.SourceError("; ".join(f"{e['regle']}: {', '.join(map(str, e['annees']))}" for e in failed))
 
 
 def years_to_load(present: DataFrame, settings: Settings, today: dt.date) -> DataFrame:

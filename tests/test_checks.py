@@ -42,7 +42,7 @@ def test_generic_checks_fire(spark):
     values = {(r["relation"], r["colonne"], r["valeur"]) for r in CHECKS["accepted_values"].find(broken).collect()}
     assert values == {
         ("raw_prices", "prix_id", "9"), ("raw_stations", "pop", "Z"),
-        ("staged_prices", "carburant_id", "9"), ("staged_prices", "carburant", "Fuel"),
+        ("staged_prices", "fuel_id", "9"), ("staged_prices", "fuel", "Fuel"),
     }
     orphans = {(r["relation"], r["cle"]) for r in CHECKS["relationships"].find(broken).collect()}
     assert orphans == {(name, 7) for name in ("staged_prices", "price_changes", "current_prices")}

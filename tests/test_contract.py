@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from contract.oracle import oracle
+from contract.queries import registry
 from tests.compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = registry(), oracle()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables absent")
 
@@ -18,8 +20,9 @@ def con():
     return connect(SF_DIR)
 
 
-def test_every_oracle_has_its_query():
+def test_every_query_has_its_oracle():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -29,5 +32,5 @@ def test_query_equals_oracle(spark, con, name):
 
 def test_entry(spark):
     frame = entry_point.entry(spark)
-    assert frame.columns == ["jour", "carburant_id", "carburant", "prix_median", "nombre_stations"]
+    assert frame.columns == ["jour", "fuel_id", "fuel", "prix_median", "nombre_stations"]
     assert frame.count() == 115

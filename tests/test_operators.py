@@ -19,7 +19,7 @@ SETTINGS = Settings()
 
 def staged_frame(spark, rows):
     """(station, fuel, name, instant, price) rows shaped like staging."""
-    schema = "station_id int, carburant_id smallint, carburant string, maj_at timestamp, prix_litre decimal(8,3)"
+    schema = "station_id int, fuel_id smallint, fuel string, maj_at timestamp, prix_litre decimal(8,3)"
     return spark.createDataFrame(rows, schema).withColumn("jour_releve", clock_day(F.col("maj_at")))
 
 
@@ -57,7 +57,7 @@ def test_price_changes(spark, seed):
                 changed_at = row[3]
             before = row[4]
     found = price_changes(staged_frame(spark, rows), SETTINGS).select(
-        "station_id", "carburant_id", "maj_at", "prix_litre", "prix_precedent", "est_premier_releve",
+        "station_id", "fuel_id", "maj_at", "prix_litre", "prix_precedent", "est_premier_releve",
         "changement_precedent_at",
     )
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
@@ -92,7 +92,7 @@ def test_prices_in_force(spark, seed):
                 if current < stop and current <= last_day:
                     expected.append((station_id, fuel, current, daily[station_id, fuel, day], day))
     found = in_force.prices_in_force(staged_frame(spark, rows), SETTINGS).select(
-        "station_id", "carburant_id", "jour", "prix_litre", "releve_le"
+        "station_id", "fuel_id", "jour", "prix_litre", "releve_le"
     )
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
 
@@ -109,7 +109,7 @@ def test_two_fuel_names_on_one_day(spark):
     day = dt.datetime(2025, 1, 1)
     rows = [(1, 1, name, day + dt.timedelta(hours=h), Decimal("1")) for h, name in enumerate("ab")]
     found = in_force.prices_in_force(staged_frame(spark, rows), SETTINGS).collect()
-    assert [r["carburant"] for r in found] == ["b"]
+    assert [r["fuel"] for r in found] == ["b"]
 
 
 def test_conflicts_keep_the_highest_price(spark):
@@ -139,8 +139,8 @@ def test_current_prices_before_and_after_conflict_resolution(spark):
     direct = {tuple(r) for r in found.current_prices.collect()}
     staged = found.with_relations(staged_prices=found.staged_prices)
     assert direct == {tuple(r) for r in staged.current_prices.collect()}
-    rows = {(r["station_id"], r["carburant_id"]): r for r in found.current_prices.collect()}
-    assert (rows[1, 1]["carburant"], str(rows[1, 1]["prix_litre"])) == ("Gazole+", "1.600")
+    rows = {(r["station_id"], r["fuel_id"]): r for r in found.current_prices.collect()}
+    assert (rows[1, 1]["fuel"], str(rows[1, 1]["prix_litre"])) == ("Gazole+", "1.600")
     assert [rows[k]["nombre_jours_depuis_maj"] for k in [(1, 1), (1, 3), (2, 1)]] == [1, 7, 0]
     assert rows[1, 3]["est_prix_suspect"]
 
@@ -149,7 +149,7 @@ def test_station_dimension_takes_the_newest_priced_version(spark):
     raw = [report(1, 1, "2025-05-01T08:00:00", "1.5"), report(1, 2, "2025-06-01T08:00:00", "1.6")]
     versions = [station(1, 2025, adresse="old"), station(1, 2026, adresse="new"), station(2, 2026)]
     row = lake(spark, raw, versions).stations.collect()
-    assert [(r["adresse"], r["annee_version"], r["nombre_carburants"], r["nombre_releves"]) for r in row] == [
+    assert [(r["adresse"], r["annee_version"], r["nombre_fuels"], r["nombre_releves"]) for r in row] == [
         ("old", 2025, 2, 2)
     ]
 
@@ -227,3 +227,23 @@ def test_publish_decisions(spark, today, force, expected):
     assert {r["annee"]: r["publier"] for r in found} == {
         2024: False, 2025: True, 2026: expected[2026] != "not_sunday",
     }
+
+
+def test_publish_newest_copy_of_a_content_or_copies_of_a_day(spark):
+    """Two copies of one content from different days: one decision; on a given day only its copies are judged."""
+    days = [dt.date(2025, 3, 1), dt.date(2025, 3, 9), dt.date(2025, 3, 9)]
+    rows = [(2025, days[0], "a" * 64), (2025, days[1], "a" * 64), (2025, days[2], "b" * 64)]
+    manifest = spark.createDataFrame(rows, "annee int, jour date, sha256 string")
+    none = spark.createDataFrame([], "annee int, nom string")
+    found = retention.publish_decisions(manifest, none, dt.date(2025, 3, 9))
+    assert sorted((r["sha256"][0], r["jour"], r["publier"]) for r in found.collect()) == [("a", days[1], True), ("b", days[1], True)]
+    found = retention.publish_decisions(manifest, none, dt.date(2025, 3, 9), of_day=days[0])
+    assert [(r["sha256"][0], r["jour"]) for r in found.collect()] == [("a", days[0])]
+
+
+def test_dropped_copies_agree_with_the_summary(spark):
+    rows = [(2025, dt.date(2025, 3, 5), "a", 1), (2025, dt.date(2025, 3, 5), "b", 2), (2025, dt.date(2025, 2, 5), "c", 4)]
+    manifest = spark.createDataFrame(rows, "annee int, jour date, sha256 string, octets bigint")
+    summary = retention.retention_summary(manifest).first()
+    dropped = retention.dropped_archives(manifest).collect()
+    assert summary["supprimes"] == len(dropped) == 1 and summary["octets_liberes"] == dropped[0]["octets"] == 1

@@ -7,6 +7,7 @@ import pytest
 
 from tarifa.config import FUELS, Settings
 from tarifa.plans import pipeline
+from tarifa.sources import archives as arc
 
 LOADED = dt.datetime(2025, 2, 10, 6, 0, tzinfo=dt.timezone.utc)
 
@@ -59,3 +60,53 @@ def test_failed_check_stops_the_run(spark, tmp_path):
 def test_no_archive(spark, tmp_path):
     with pytest.raises(Exception, match="no archive"):
         pipeline.load(spark, str(tmp_path), str(tmp_path / "lake"), LOADED, Settings())
+
+
+def test_year_without_records_stops_the_load(spark, tmp_path):
+    """One good and one empty archive: the load names the empty year and leaves the lake as it was."""
+    source, folder = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    write_archive(source, 2025, "20250210")
+    pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2025])
+    before = pipeline.open_lake(spark, folder).raw_prices.count()
+    with zipfile.ZipFile(source / "x_annuel_2024_telecharge_20250210.zip", "w") as archive:
+        archive.writestr("x.xml", "<pdv_liste/>")
+    write_archive(source, 2025, "20250211", bad_price="9.999")
+    with pytest.raises(arc.SourceError, match="no_dated_report: 2024; no_station: 2024"):
+        pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2024, 2025])
+    lake = pipeline.open_lake(spark, folder)
+    assert lake.raw_prices.count() == before and lake.raw_prices.where("valeur = '9.999'").count() == 0
+
+
+def test_file_that_is_no_archive_stops_the_load(spark, tmp_path):
+    write_archive(tmp_path, 2025, "20250210")
+    (tmp_path / "autre.zip").write_bytes(b"x")
+    with pytest.raises(arc.SourceError, match="autre.zip"):
+        pipeline.load(spark, str(tmp_path), str(tmp_path / "lake"), LOADED, Settings())
+
+
+def test_years_that_a_load_takes(spark, tmp_path):
+    source, folder = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    for year in (2024, 2025, 2026):
+        write_archive(source, year, "20260215")
+    settings, later = Settings(first_year=2024), dt.datetime(2026, 2, 15, tzinfo=dt.timezone.utc)
+    assert sorted(pipeline.wanted_years(spark, folder, settings, later.date())) == [2024, 2025, 2026]
+    pipeline.load(spark, str(source), folder, later, settings)
+    assert pipeline.wanted_years(spark, folder, settings, later.date()) == [2026]
+    assert sorted(pipeline.wanted_years(spark, folder, settings, dt.date(2026, 1, 10))) == [2025, 2026]
+
+
+def test_unreadable_time_is_a_failed_check_and_the_old_tables_stay(spark, tmp_path):
+    write_archive(tmp_path, 2025, "20250210")
+    folder = str(tmp_path / "lake")
+    pipeline.load(spark, str(tmp_path / "x_annuel_2025_telecharge_20250210.zip"), folder, LOADED, Settings())
+    lake = pipeline.open_lake(spark, folder)
+    pipeline.build(lake, folder)
+    before = pipeline.open_tables(lake, folder).current_prices.collect()
+    damaged = lake.with_relations(raw_prices=lake.raw_prices.replace("2025-01-01T08:01:00", "2025-13-45T25:00:00", ["maj"]))
+    with pytest.raises(pipeline.CheckError, match="maj_parsable"):
+        pipeline.build(damaged, folder)
+    stored = {r["controle"]: r["statut"] for r in spark.read.parquet(f"{folder}/checks").collect()}
+    assert stored["maj_parsable"] == "fail"
+    assert pipeline.open_tables(lake, folder).current_prices.collect() == before

@@ -48,8 +48,8 @@ def test_shuffles(stored):
     """Conflicts, months and timelines each cost one shuffle of a change history."""
     keys = [re.findall(r"hashpartitioning\((.*?), \d+\)", line)[0] for line in lines(stored.price_changes, "Exchange")]
     assert [re.sub(r"#\d+L?", "", key) for key in keys] == [
-        "station_id, carburant_id, tranche",
-        "station_id, carburant_id, mois",
+        "station_id, fuel_id, tranche",
+        "station_id, fuel_id, mois",
         "maj_at, _pdv_id, _prix_id, _maj",
     ]
 
@@ -74,7 +74,7 @@ def test_no_python_in_the_tables(stored):
 
 def test_a_busy_pair_is_split(spark, stored):
     """One pair with a third of all rows: its months land in different partitions."""
-    busy = stored.staged_prices.where("station_id = 1 and carburant_id = 1")
+    busy = stored.staged_prices.where("station_id = 1 and fuel_id = 1")
     months = busy.withColumn("mois", F.trunc(F.to_date("maj_at"), "month"))
-    parts = months.repartition(64, "station_id", "carburant_id", "mois")
+    parts = months.repartition(64, "station_id", "fuel_id", "mois")
     assert parts.select(F.spark_partition_id()).distinct().count() > 1
