@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +19,23 @@ def current_prices(reports: DataFrame, settings: Settings) -> DataFrame:
 
     Ages are relative to the data, so a rerun gives the same result. ``reports`` may be the typed
     reports before conflict resolution: the maximum of (time, price) is the winner of its conflict.
-    The maximum is combined in the map tasks, so a busy pair sends one row per task.
+    The maximum is combined in the map tasks, so a busy pair sends one row per task. Time and price are packed into one
+    number, which hash tables hold; a text in the state would make it a sort. The name is looked up for the winners.
     """
-    latest = reports.groupBy(*PAIR).agg(
-        F.max(F.struct("maj_at", "prix_litre", "fuel")).alias("dernier")
+    thousandths = F.coalesce((F.col("prix_litre") * 1000).cast("bigint"), F.lit(-1))
+    key = F.unix_micros("maj_at").cast("decimal(38,0)") * F.lit(10**9).cast("decimal(11,0)") + thousandths
+    keyed = reports.withColumn("cle", key.cast("decimal(38,0)"))
+    winners = keyed.groupBy(*PAIR).agg(
+        F.max("cle").alias("cle"),
+        F.max_by("prix_litre", "cle").alias("prix_litre"),
+        F.max_by("maj_at", "cle").alias("maj_at"),
+    )
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in [*PAIR, "cle"]]
+    named = keyed.alias("r").join(winners.select(*PAIR, "cle").alias("w"), reduce(and_, same), "left_semi")
+    names = named.groupBy(*PAIR).agg(F.max("fuel").alias("fuel")).alias("n")
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"n.{c}")) for c in PAIR]
+    latest = winners.alias("w").join(names, reduce(and_, same)).select(
+        *[F.col(f"w.{c}").alias(c) for c in PAIR], F.struct("w.maj_at", "w.prix_litre", "n.fuel").alias("dernier")
     )
     reference = reports.agg(F.max("maj_at").alias("reference_at"))
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ def on_prices(**values: str) -> Callable[[PriceLake], PriceLake]:
 
 def empty_tag_added(lake: PriceLake) -> PriceLake:
     nothing = F.lit(None).cast("string")
-    one = lake.raw_prices.where(filled()).limit(1)
+    one = lake.raw_prices.where(filled()).orderBy("pdv_id", "prix_id", "maj", "valeur").limit(1)
     changed = with_copies(
         lake.raw_prices, one, prix_id=nothing, prix_nom=nothing, maj=nothing, valeur=nothing
     )
@@ -243,17 +244,27 @@ SCENARIOS = [
 def run_scenarios(lake: PriceLake, checks: list[str] | None = None) -> DataFrame:
     """Inject each defect and run its check: one row per scenario, with the control's result.
 
-    Each scenario is a job of its own; only its number of offending rows reaches the driver.
+    All scenarios are one lazy result: a union of two counts each, which Spark runs side by side.
     """
-    rows = []
-    for scenario in SCENARIOS:
-        if checks is not None and scenario.check not in checks:
-            continue
+
+    def counted(frame: DataFrame, name: str) -> DataFrame:
+        return frame.agg(F.count(F.lit(1)).alias(name))
+
+    def row(scenario: Scenario) -> DataFrame:
         check = CHECKS[scenario.check]
-        control = check.find(lake).count()
-        violations = check.find(scenario.inject(lake)).count()
-        status = "pass" if violations == 0 else ("fail" if check.severity == "error" else "warn")
-        noticed = control == 0 and status == scenario.expected
-        rows.append((scenario.check, scenario.defect, control, violations, status, noticed))
-    schema = "controle string, defaut string, temoin bigint, violations bigint, statut string, detecte boolean"
-    return lake.raw_prices.sparkSession.createDataFrame(rows, schema)
+        noticed = "fail" if check.severity == "error" else "warn"
+        both = counted(check.find(lake), "temoin").crossJoin(
+            F.broadcast(counted(check.find(scenario.inject(lake)), "violations"))
+        )
+        status = F.when(F.col("violations") > 0, noticed).otherwise("pass")
+        return both.select(
+            F.lit(scenario.check).alias("controle"),
+            F.lit(scenario.defect).alias("defaut"),
+            "temoin",
+            "violations",
+            status.alias("statut"),
+            ((F.col("temoin") == 0) & (status == scenario.expected)).alias("detecte"),
+        )
+
+    wanted = [s for s in SCENARIOS if checks is None or s.check in checks]
+    return reduce(DataFrame.unionByName, map(row, wanted))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tarifa.config import Settings
 from tarifa.functions.text import trim_spaces
+from tarifa.functions.time import try_clock
 from tarifa.schemas import LINEAGE_COLUMNS, PRICE_COLUMNS, RAW_PRICES, RAW_STATIONS, STATION_COLUMNS
 from tarifa.sources import archives as arc
 
@@ -91,8 +92,8 @@ def price_stats(raw: DataFrame) -> DataFrame:
     """Volumes and period per year.
 
     Rows are first reduced to one per (year, station, fuel) in the map tasks; distinct counts then run
-    on that small result. First and last time come from a separate narrow pass, as text extremes would
-    turn the large aggregation into a sort.
+    on that small result. First and last time are kept as times, which hash tables hold, and written as the source writes
+    them at the end; unreadable times are the business of ``maj_parsable``.
     """
     dated = F.col("maj").isNotNull()
     off_year = dated & (F.left(F.col("maj"), F.lit(4)) != F.col("_source_year").cast("string"))
@@ -102,6 +103,8 @@ def price_stats(raw: DataFrame) -> DataFrame:
         F.count_if(dated).alias("dates"),
         F.count_if(off_year).alias("hors"),
         F.count_if(blank).alias("vides"),
+        F.min(try_clock(F.col("maj"))).alias("premier"),
+        F.max(try_clock(F.col("maj"))).alias("dernier"),
     )
     per_station = per_pair.groupBy("_source_year", "pdv_id").agg(
         F.sum("n").alias("n"),
@@ -109,18 +112,20 @@ def price_stats(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("dates") > 0).alias("couples"),
         F.sum("hors").alias("hors"),
         F.sum("vides").alias("vides"),
+        F.min("premier").alias("premier"),
+        F.max("dernier").alias("dernier"),
     )
+    text = lambda name: F.translate(F.col(name).cast("string"), " ", "T").alias(name)
     volumes = per_station.groupBy("_source_year").agg(
         F.sum("n").alias("releves"),
         F.count_if((F.col("dates") > 0) & F.col("pdv_id").isNotNull()).alias("stations"),
         F.sum("couples").alias("couples"),
         F.sum("hors").alias("hors_annee"),
         F.sum("vides").alias("prix_vides"),
+        F.min("premier").alias("premier"),
+        F.max("dernier").alias("dernier"),
     )
-    period = raw.groupBy("_source_year").agg(
-        F.min("maj").alias("premier"), F.max("maj").alias("dernier")
-    )
-    return volumes.join(period, "_source_year")
+    return volumes.withColumns({name: text(name) for name in ("premier", "dernier")})
 
 
 def station_stats(raw: DataFrame) -> DataFrame:

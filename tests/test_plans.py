@@ -54,8 +54,20 @@ def test_shuffles(stored):
     ]
 
 
-def test_current_prices_need_one_shuffle(stored):
-    assert len(lines(stored.current_prices, "hashpartitioning")) == 1
+def test_current_prices_use_hash_tables(stored):
+    """Over all reports times and prices are kept in hash tables; only the names of the winners are sorted, and no report
+    is shuffled where the winners are few enough to broadcast."""
+    frame = stored.current_prices
+    assert any("partial_max_by" in line for line in lines(frame, "HashAggregate"))
+    assert len(lines(frame, "LeftSemi")) == 1 and "BroadcastHashJoin" in lines(frame, "LeftSemi")[0]
+    assert all("max(fuel" in line for line in lines(frame, "SortAggregate"))
+
+
+def test_price_stats_scan_once(stored):
+    from tarifa.sources import raw
+
+    frame = raw.price_stats(stored.raw_prices)
+    assert not lines(frame, "SortAggregate") and len(lines(frame, "Scan ")) <= 1
 
 
 def test_only_single_rows_are_crossed(stored):
