@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,6 +195,7 @@ class Tokenizer:
         self.words = Words(Automaton(model["vocab"], merges, suffix), bool(suffix), pieces.findall)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.labels = {i: t for t, i in [*model["vocab"].items(), *self.special.items()]}
+        self.emitted = pa.array([self.labels.get(i) for i in range(max(self.labels, default=-1) + 1)], pa.string())
         self.markers = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     @staticmethod
@@ -269,16 +271,17 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     spec = encoded.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = built(path, spec.value)
+        labels = built(path, spec.value).emitted
         for batch in batches:
-            column = batch.column(1)
-            offsets, values = column.offsets.to_pylist(), column.values
-            step = max(1, batch.num_rows * (1 << 18) // max(1, len(values)))  # about 2^18 ids at once
+            ids = batch.column(1)
+            step = max(1, batch.num_rows * (1 << 18) // max(1, len(ids.values)))  # about 2^18 ids at once
             for at in range(0, batch.num_rows, step):
-                end = min(at + step, batch.num_rows)
-                texts = [tokenizer.decode(values[offsets[i] : offsets[i + 1]].to_pylist()) for i in range(at, end)]
-                part = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+                part = batch.slice(at, step)
+                own = part.column(1)
+                offsets = own.offsets.to_numpy()
+                values = own.values.slice(offsets[0], offsets[-1] - offsets[0])
+                emitted = pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), labels.take(values))
+                yield pa.RecordBatch.from_arrays([*part.columns, pc.binary_join(emitted, " ")], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")).mapInArrow(
         rows, "doc_id long, ids array<int>, decoded string"
