@@ -830,8 +830,11 @@ def oracle() -> dict[str, str]:
         "raw_counts": f"""SELECT 'prix' AS entite, _source_year, count(*) AS lignes
             FROM ({ORDER_PRICES}) GROUP BY _source_year UNION ALL
             SELECT 'stations', _source_year, count(*) FROM ({YEARLY_STATIONS}) GROUP BY _source_year""",
-        "raw_write": f"""SELECT 'prix' AS entite, _source_year, count(*) AS lignes
-            FROM ({ORDER_PRICES}) WHERE {kept_after} GROUP BY _source_year""",
+        "raw_write": pick(
+            "pdv_id latitude longitude cp pop prix_id prix_nom maj valeur _source_year _source_file _source_sha256 "
+            "_loaded_at",
+            f"({ORDER_PRICES}) WHERE {kept_after}",
+        ),
         "raw_price_stats": lake(PRICE_STATS),
         "raw_price_stats_years": lake(PRICE_STATS, ORDER_LAKE),
         "raw_price_findings": lake(

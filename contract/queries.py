@@ -101,7 +101,7 @@ def raw_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices = m.order_prices(spark, sf_dir)
     raw.write_raw(prices, folder)
     raw.write_raw(prices.where((F.col("_source_year") == 1998) & (F.col("prix_id") == "1")), folder)
-    return raw.raw_counts({"prix": raw.read_raw(spark, folder)})
+    return raw.read_raw(spark, folder)
 
 
 def raw_union(spark: SparkSession, sf_dir: str) -> DataFrame:

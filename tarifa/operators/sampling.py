@@ -35,5 +35,5 @@ def sample_ids(raw_prices: DataFrame, imposed: list[str], years: int = 2) -> Dat
 
 
 def sample_rows(raw: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of the sampled stations; the ids are bounded by the two sizes and the imposed list."""
-    return raw.join(F.broadcast(ids), "pdv_id", "left_semi")
+    """Rows of the sampled stations. The caller's list may be long, so Spark judges the size of the ids."""
+    return raw.join(ids, "pdv_id", "left_semi")

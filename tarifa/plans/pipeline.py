@@ -40,6 +40,12 @@ def newest_copies(listed: DataFrame, years: list[int] | None = None) -> list[tup
     return sorted((int(row["annee"]), row["path"]) for row in newest.collect())
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate data, in any store that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def wanted_years(spark: SparkSession, folder: str, settings: Settings, today: dt.date) -> list[int]:
     """Years to load: the current one, the previous one in early January, and those the lake lacks."""
     frames = {}
@@ -84,9 +90,12 @@ def load(
     findings = raw.price_load_findings(
         raw.price_stats(prices), settings, loaded_at.date(), loading
     ).unionByName(raw.station_load_findings(raw.station_stats(stations), loading))
+    findings.write.mode("overwrite").parquet(f"{folder}/findings")
+    findings = spark.read.schema(findings.schema).parquet(f"{folder}/findings")
     raw.require_load(findings)
     raw.write_raw(prices, f"{folder}/prix")
     raw.write_raw(stations, f"{folder}/stations")
+    remove_folder(spark, f"{folder}/landed")
     return findings
 
 

@@ -38,28 +38,39 @@ def status_counts(results: DataFrame) -> DataFrame:
 
 
 def execution_document(results: DataFrame) -> DataFrame:
-    """One run as the JSON object of the metadata export (column ``execution``).
+    """Each run as the JSON object of the metadata export: (genere_le, execution), one row per run.
 
-    ``results`` holds one run; statuses are few, so the lists gathered here are small.
+    A run is told by its time and command; its statuses are few, so the lists gathered here are small.
     """
+    run = [F.col("metadata.generated_at").alias("genere_le"), F.col("args.which").alias("commande")]
+    nodes = results.select(*run, F.explode_outer("results").alias("r"))
+    kind = F.split("r.unique_id", r"\.").getItem(0)
+    counts = nodes.groupBy("genere_le", "commande", kind.alias("type_noeud"), F.col("r.status").alias("statut")).agg(
+        F.count("r").alias("noeuds")
+    )
     member = F.concat(json_string(F.col("statut")), F.lit(":"), json_integer(F.col("noeuds")))
-    by_type = status_counts(results).groupBy("type_noeud").agg(
+    by_type = counts.groupBy("genere_le", "commande", "type_noeud").agg(
         F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(member)), ","), F.lit("}")).alias("o")
     )
 
     def statuses(kind: str):
         return F.coalesce(F.max(F.when(F.col("type_noeud") == kind, F.col("o"))), F.lit("{}"))
 
-    counts = by_type.agg(statuses("model").alias("modeles"), statuses("test").alias("tests"))
+    by_run = by_type.groupBy("genere_le", "commande").agg(
+        statuses("model").alias("modeles"), statuses("test").alias("tests")
+    )
     chosen = F.size(F.coalesce("args.select", F.array())) > 0
     selection = F.when(chosen, F.to_json("args.select")).otherwise(json_string(F.lit(WHOLE_PROJECT)))
-    return results.crossJoin(F.broadcast(counts)).select(
+    runs = results.select(*run, selection.alias("selection"), "elapsed_time").alias("x")
+    same = F.col("x.genere_le").eqNullSafe(F.col("y.genere_le")) & F.col("x.commande").eqNullSafe(F.col("y.commande"))
+    return runs.join(by_run.alias("y"), same).select(
+        "x.genere_le",
         json_object(
-            commande=json_string(F.col("args.which")),
-            selection=selection,
-            genere_le=json_string(F.col("metadata.generated_at")),
+            commande=json_string(F.col("x.commande")),
+            selection=F.col("selection"),
+            genere_le=json_string(F.col("x.genere_le")),
             duree_s=json_number(F.round("elapsed_time", 1), 1),
             modeles=F.col("modeles"),
             tests=F.col("tests"),
-        ).alias("execution")
+        ).alias("execution"),
     )

@@ -161,3 +161,12 @@ def test_run_results(spark, tmp_path):
     path.write_text(json.dumps(document))
     whole = json.loads(execution_document(read_run_results(spark, str(path))).first()["execution"])
     assert (whole["selection"], whole["modeles"], whole["tests"]) == ("tout le projet", {}, {})
+
+
+def test_two_runs_keep_their_own_counts(spark, tmp_path):
+    for hour, states in [(10, ["pass"]), (11, ["pass", "fail"])]:
+        nodes = [{"unique_id": f"test.p.{i}", "status": s} for i, s in enumerate(states)]
+        run = {"args": {"which": "build"}, "metadata": {"generated_at": f"2026-09-28T{hour}:00:00Z"}, "elapsed_time": 1.0, "results": nodes}
+        (tmp_path / f"{hour}.json").write_text(json.dumps(run))
+    found = execution_document(read_run_results(spark, str(tmp_path))).collect()
+    assert {r["genere_le"][11:13]: json.loads(r["execution"])["tests"] for r in found} == {"10": {"pass": 1}, "11": {"fail": 1, "pass": 1}}
