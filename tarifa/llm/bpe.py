@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tarifa.llm.common import byte_groups
 
 #: Entries of the tables of arcs and of readings, and words held by a task; each is emptied when it is full.
-ARCS, READINGS, WORDS = 400_000, 300_000, 300_000
+ARCS, READINGS, WORDS = 200_000, 150_000, 200_000
 
 
 SEPARATOR = re.compile("[\x1c-\x1f]")
@@ -194,8 +194,6 @@ class Tokenizer:
         pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.words = Words(Automaton(model["vocab"], merges, suffix), bool(suffix), pieces.findall)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.labels = {i: t for t, i in [*model["vocab"].items(), *self.special.items()]}
-        self.emitted = pa.array([self.labels.get(i) for i in range(max(self.labels, default=-1) + 1)], pa.string())
         self.markers = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     @staticmethod
@@ -223,19 +221,11 @@ class Tokenizer:
                 out.append(b"".join(map(self.words.__getitem__, apart)))
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.labels.__getitem__, ids))
 
-
-BUILT: dict[str, Tokenizer] = {}
-
-
-def built(path: str, spec: dict) -> Tokenizer:
-    """The tokenizer of this worker process, compiled once."""
-    if path not in BUILT:
-        BUILT.clear()
-        BUILT[path] = Tokenizer(spec)
-    return BUILT[path]
+def labels_of(spec: dict) -> pa.Array:
+    """The label of each id."""
+    names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([names.get(i) for i in range(max(names, default=-1) + 1)], pa.string())
 
 
 def read_spec(path: str) -> dict:
@@ -253,7 +243,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = built(path, spec.value)
+        tokenizer = Tokenizer(spec.value)  # compiled for the task and gone with it
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start, end in byte_groups(texts):
@@ -271,7 +261,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     spec = encoded.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = built(path, spec.value).emitted
+        labels = labels_of(spec.value)
         for batch in batches:
             ids = batch.column(1)
             step = max(1, batch.num_rows * (1 << 18) // max(1, len(ids.values)))  # about 2^18 ids at once

@@ -118,11 +118,11 @@ def sample_vectors(sample: DataFrame) -> list:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [vector(t) for t in batch.column(1).to_pylist()]
-            index = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
-            value = pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))
+            index = pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary())
+            value = pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), index, value], names=["lang", "index", "value"])
 
-    return sample.select("lang", "text").mapInArrow(rows, "lang string, index array<int>, value array<float>").collect()
+    return sample.select("lang", "text").mapInArrow(rows, "lang string, index binary, value binary").collect()
 
 
 def languages(
@@ -137,8 +137,8 @@ def languages(
     columns are not read.
     """
     sample = sample_vectors(training_sample(docs, per_language, id_col, text_col, lang_col))
-    sample.sort(key=lambda r: (r["lang"], len(r["index"]), r["index"][:8]))
-    vectors = [(np.array(r["index"], dtype=np.int64), np.array(r["value"], dtype=float)) for r in sample]
+    sample.sort(key=lambda r: (r["lang"], r["index"], r["value"]))
+    vectors = [(np.frombuffer(r["index"], dtype=np.int32), np.frombuffer(r["value"], dtype=np.float32)) for r in sample]
     model = docs.sparkSession.sparkContext.broadcast(Hierarchy(vectors, [r["lang"] for r in sample]) if sample else None)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from tarifa.llm.ngrams import Presence, gram_blocks, logistic
 
 ORDERS, BITS = (4, 6, 8), 20
 #: Labelled rows of each class to learn from, and features kept.
-SAMPLE, FEATURES = 4_000, 8_192
+SAMPLE, FEATURES = 2_000, 8_192
 #: Length of the vector of a text with many features.
 SCALE = 5.0
 
@@ -79,16 +79,16 @@ class Model:
 
 
 def vectors(sample: DataFrame, model: Model) -> DataFrame:
-    """(label, index, value) of the rows."""
+    """(label, index, value) of the rows, packed: lists of numbers would fill the driver's memory."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.vector(t) for t in batch.column(1).to_pylist()]
-            index = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
-            value = pa.array([v for _, v in found], pa.list_(pa.float64()))
+            index = pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary())
+            value = pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), index, value], names=["label", "index", "value"])
 
-    return sample.select("label", "text").mapInArrow(rows, "label int, index array<int>, value array<double>")
+    return sample.select("label", "text").mapInArrow(rows, "label int, index binary, value binary")
 
 
 def fit(sample: DataFrame, zeros: int, ones: int) -> Model:
@@ -106,8 +106,8 @@ def fit(sample: DataFrame, zeros: int, ones: int) -> Model:
     kept = np.array([r["bucket"] for r in best], dtype=np.int64)
     ratio = np.log((np.array([r["ones"] for r in best]) + 1.0) / (n1 + 2.0)) - np.log((np.array([r["zeros"] for r in best]) + 1.0) / (n0 + 2.0))
     rows = vectors(sample, Model(kept, ratio, ratio, 0.0)).collect()
-    rows.sort(key=lambda r: (r["label"], r["index"]))
-    data = [(np.array(r["index"], dtype=np.int64), np.array(r["value"], dtype=float)) for r in rows]
+    rows.sort(key=lambda r: (r["label"], r["index"], r["value"]))
+    data = [(np.frombuffer(r["index"], dtype=np.int32), np.frombuffer(r["value"], dtype=np.float32)) for r in rows]
     w, b = logistic(data, np.array([r["label"] for r in rows], dtype=float), len(kept), l2=1e-4, rounds=400)
     return Model(kept, ratio, w, b + base - float(np.log(n1 / n0)))
 
