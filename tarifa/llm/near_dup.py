@@ -8,7 +8,7 @@ the full sets and confirmed links are contracted.
 What the neighbours leave open is settled by region, a run of classes with a common prefix in an order: regions whose
 classes are already one component need nothing more. In others all pairs of different components are candidates. A region
 that is too large is read deeper, where its classes part by further values, until its parts are small. At the greatest
-depth a part that is still large is compared within a window that moves over it. A sketch of the signature drops candidates
+depth a part that is still large is compared within a window that moves over it. A small sketch of each set drops candidates
 that are far from the threshold (over four standard deviations); the others are confirmed on the full sets like the first.
 
 With 24 orders, prefixes of 4 values and similarity 0.8 a pair shares no prefix with probability 3e-6.
@@ -40,8 +40,8 @@ ORDERS, DEPTHS = 24, (4, 6, 9, 14)
 VALUES = ORDERS * DEPTHS[0]
 #: Classes of a region that are compared with each other; larger regions are read deeper.
 REGION = 64
-#: Equal bytes of two sketches below which a pair is no candidate: 0.8 * 96 less 4.1 standard deviations.
-SKETCH = 61
+#: Bins of a sketch, and standard deviations below the threshold at which a pair is no candidate any more.
+BINS, DEVIATIONS = 192, 4.2
 
 SEPARATORS = [9, 10, 11, 12, 13, 32]
 NOT_SEPARATOR = np.array([b not in SEPARATORS for b in range(256)])
@@ -70,8 +70,33 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One permutation hashing: of the shingles that fall into a bin the least one, as four bits; 0 is an empty bin."""
+    with np.errstate(over="ignore"):
+        bins = ((shingles * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(32)) % np.uint64(BINS)
+        marks = np.uint64(1) + ((shingles * np.uint64(0x165667B19E3779F9)) >> np.uint64(32)) % np.uint64(15)
+    out = np.zeros(BINS, dtype=np.uint8)
+    out[bins[::-1].astype(np.int64)] = marks[::-1]  # shingles are sorted, so the least of a bin is written last
+    return out[::2] | (out[1::2] << 4)
+
+
+def near_enough(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> np.ndarray:
+    """For rows and columns of unpacked sketches: may the similarity reach the threshold?
+
+    The least shingle of a bin of the union is drawn from the union without replacement; it is in both sets with the
+    probability of their similarity, and then both sketches hold it.
+    """
+    equal = ((left[:, None, :] == right[None, :, :]) & (left[:, None, :] > 0)).sum(axis=2)
+    drawn = ((left[:, None, :] | right[None, :, :]) > 0).sum(axis=2)
+    share = percent / 100
+    union = (sizes[:, None] + others[None, :]) / (1 + share)
+    spread = drawn * share * (1 - share) * np.maximum(1 - drawn / np.maximum(union, 1), 0.05)
+    fits = np.minimum(sizes[:, None], others[None, :]) >= share * np.maximum(sizes[:, None], others[None, :])
+    return fits & (equal >= share * drawn - DEVIATIONS * np.sqrt(spread) - 1)
+
+
 def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, digest, shingles, signature) of each document; empty documents have NULL in the last three."""
+    """(doc_id, n, digest, shingles, signature, sketch) of each document; empty documents have NULL in the last four."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NOT_SEPARATOR)
@@ -85,22 +110,22 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
                     found = shingle_hashes(words[bounds[i] : bounds[i + 1]], shingle)
                     blob = found.tobytes()
                     rows.append(
-                        (len(found), hashlib.blake2b(blob, digest_size=16).digest(), blob, signature(found, factors).tobytes())
+                        (len(found), hashlib.blake2b(blob, digest_size=16).digest(), blob, signature(found, factors).tobytes(), sketch(found).tobytes())
                         if len(found)
-                        else (0, None, None, None)
+                        else (0, None, None, None, None)
                     )
-                n, digest, blob, marks = zip(*rows, strict=True)
+                n, *blobs = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
                         pa.array(n, pa.int64()),
-                        *(pa.array(x, pa.binary()) for x in (digest, blob, marks)),
+                        *(pa.array(x, pa.binary()) for x in blobs),
                     ],
-                    names=["doc_id", "n", "digest", "shingles", "signature"],
+                    names=["doc_id", "n", "digest", "shingles", "signature", "sketch"],
                 )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(sets, "doc_id long, n long, digest binary, shingles binary, signature binary")
+    return narrow.mapInArrow(sets, "doc_id long, n long, digest binary, shingles binary, signature binary, sketch binary")
 
 
 def prefixes(signatures: np.ndarray, order: int) -> list[np.ndarray]:
@@ -188,7 +213,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             found.append(100 * common >= percent * (len(x) + len(y) - common))
         return pd.Series(found, dtype=bool)
 
-    members = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    members = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     used = sets.join(small_or_plain(members), "rep", "left_semi")
     side = lambda name, blob: used.select(F.col("rep").alias(name), F.col("shingles").alias(blob))
     joined = pairs.join(side("a", "left"), "a").join(side("b", "right"), "b")
@@ -204,40 +229,41 @@ def mixed_runs(values: np.ndarray, component: np.ndarray, low: int, high: int) -
     return [*zip(starts[differ].tolist(), np.append(cut, high)[differ].tolist(), strict=True)]
 
 
-def region_pairs(keys: list[np.ndarray], component: np.ndarray, marks: np.ndarray, low: int, high: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def region_pairs(
+    keys: list[np.ndarray], component: np.ndarray, marks: np.ndarray, sizes: np.ndarray, percent: int, low: int, high: int
+) -> list[tuple[np.ndarray, np.ndarray]]:
     """Places of the pairs to confirm in a region: read deeper while it is large, and in overlapping parts at the end."""
     if high - low > REGION and len(keys) > 1:
         runs = mixed_runs(keys[1], component, low, high)
-        return [p for r in runs for p in region_pairs(keys[1:], component, marks, *r)]
+        return [p for r in runs for p in region_pairs(keys[1:], component, marks, sizes, percent, *r)]
     found = []
     for at in range(low, high - 1, REGION):
         end = min(at + 2 * REGION, high)
-        left = marks[at : min(at + REGION, end), None, :]
-        near = (left == marks[None, at:end, :]).sum(axis=2) >= SKETCH
-        near &= component[at : at + len(left), None] != component[None, at:end]
+        to = min(at + REGION, end)
+        near = near_enough(marks[at:to], marks[at:end], sizes[at:to], sizes[at:end], percent)
+        near &= component[at:to, None] != component[None, at:end]
         i, j = np.nonzero(np.triu(near, 1))
         found.append((i + at, j + at))
     return found
 
 
-def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a region, are not linked yet, and whose sketches are near enough.
 
     Rows are range partitioned by the whole key like before, so that large regions are split; a region at the border of two
     tasks is compared in two parts.
     """
-    names = ["tree", *KEYS, "rep", "component", "sketch"]
+    names = ["tree", *KEYS, "rep", "component", "n", "sketch"]
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            marks = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
-            sketch = pa.array([m.tobytes() for m in marks.astype(np.uint8)], pa.binary())
+            marks = np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
             for order in range(ORDERS):
                 keys = [pa.array(k) for k in prefixes(marks, order)]
                 which = pa.array(np.full(len(marks), order, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([which, *keys, batch.column(0), batch.column(1), sketch], names=names)
+                yield pa.RecordBatch.from_arrays([which, *keys, *batch.columns[:4]], names=names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -248,26 +274,27 @@ def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFr
             if not parts:
                 return
             rows = pa.concat_tables(parts).combine_chunks()
-            tree, *keys, rep, component = (rows.column(c).to_numpy() for c in names[:-1])
+            tree, *keys, rep, component, sizes = (rows.column(c).to_numpy() for c in names[:-1])
             first = keys[0] + tree  # prefix keys of different orders are different hashes
             whole = len(rep)
             if batch is not None:  # the last region may go on
                 whole = int(np.flatnonzero(np.append(True, first[1:] != first[:-1]))[-1])
                 held = rows.slice(whole)
             if whole:
-                marks = np.frombuffer(b"".join(rows.column("sketch").slice(0, whole).to_pylist()), dtype=np.uint8).reshape(-1, VALUES)
+                packed = np.frombuffer(b"".join(rows.column("sketch").slice(0, whole).to_pylist()), dtype=np.uint8).reshape(whole, -1)
+                marks = np.concatenate([packed & 15, packed >> 4], axis=1)
                 runs = mixed_runs(first, component, 0, whole)
-                pairs = [p for r in runs for p in region_pairs(keys, component, marks, *r)]
+                pairs = [p for r in runs for p in region_pairs(keys, component, marks, sizes, percent, *r)]
                 if pairs:
                     x, y = rep[np.concatenate([p[0] for p in pairs])], rep[np.concatenate([p[1] for p in pairs])]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     docs = reps.join(members.select("rep").distinct(), "rep", "left_semi").join(labels, "rep", "left")
-    docs = docs.select("rep", F.coalesce("component", "rep").alias("component"), "signature")
+    docs = docs.select("rep", F.coalesce("component", "rep").alias("component"), "n", "sketch", "signature")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = ", ".join(f"{k} long" for k in KEYS)
-    rows = docs.mapInArrow(expand, f"tree int, {fields}, rep long, component long, sketch binary")
-    order = names[:-2]
+    rows = docs.mapInArrow(expand, f"tree int, {fields}, rep long, component long, n long, sketch binary")
+    order = names[:-3]
     return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -287,7 +314,7 @@ def near_duplicates(
     named = base.where("doc_id is not null and n > 0")
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = named.join(classes.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
-    reps = written(reps.select("rep", "signature").dropDuplicates(["rep"]), "signatures")
+    reps = written(reps.select("rep", "n", "signature", "sketch").dropDuplicates(["rep"]), "signatures")
     members = written(with_neighbours(ordered(reps)), "forest")
 
     first = members.where("other is not null").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
@@ -295,14 +322,14 @@ def near_duplicates(
     links = written(confirmed(first.where("a <> b").distinct(), sets, percent), "links")
     # these labels only spare comparisons, so a few rounds will do
     labels = written(components(links, rounds=2).withColumnRenamed("node", "rep").groupBy("rep").agg(F.min("component").alias("component")), "labels")
-    more = written(open_pairs(members, labels, reps), "open-pairs")
+    more = written(open_pairs(members, labels, reps, percent), "open-pairs")
     links = links.union(confirmed(more, sets, percent))
     labels = components(links)
 
     rep_of = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("d"), F.coalesce("component", "rep").alias("component")
     )
-    joined = base.drop("shingles", "signature").join(rep_of, F.col("digest") == F.col("d"), "left")
+    joined = base.select("doc_id", "n", "digest").join(rep_of, F.col("digest") == F.col("d"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select(
         "doc_id",
