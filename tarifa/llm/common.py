@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarifa.session import scratch_folder
@@ -35,6 +35,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def lowest_hashes(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each of a few groups: those whose doc_id has the lowest hash.
+
+    The sizes of the groups tell below which hash they lie, with room to spare, so that few rows meet in the task of a group
+    however many tasks there were.
+    """
+    key = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
+    near = rows.withColumn("hash_key", key).join(F.broadcast(sizes), group)
+    near = near.where(F.col("hash_key") <= float(1 << 40) * (4.0 * most + 100) / F.col("group_size"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("hash_key", "doc_id"))
+    chosen = near.withColumn("hash_rank", rank).where(F.col("hash_rank") <= most)
+    return chosen.drop("hash_key", "hash_rank", "group_size")
+
+
 def small_or_plain(ids: DataFrame) -> DataFrame:
     """The ids with a broadcast hint where a count proves them few."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

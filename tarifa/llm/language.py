@@ -12,10 +12,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import held_out, written
+from tarifa.llm.common import held_out, lowest_hashes, written
 from tarifa.llm.ngrams import gram_blocks
 
 ORDERS, BITS = (1, 2, 3), 14
@@ -109,8 +109,7 @@ def training_sample(docs: DataFrame, per_language: int, id_col: str, text_col: s
     named = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)))
     named = named.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     ids = named.where(F.length("text") > 0).select("doc_id", "lang").distinct()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank")
+    chosen = lowest_hashes(ids, "lang", per_language)
     return written(named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text"), "language-sample")
 
 

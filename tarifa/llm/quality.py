@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import WordHasher, byte_groups, held_out, mix, written
+from tarifa.llm.common import WordHasher, byte_groups, held_out, lowest_hashes, mix, written
 from tarifa.llm.near_dup import NOT_SEPARATOR
 
 BUCKETS = 10_000
@@ -122,7 +122,8 @@ def resample(
     labels the good model is uniform. An empty table gives an empty result; other columns are not read.
     """
     good = labels.where((F.col(label_col) > 0) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    good = good.select(F.col(id_col).cast("long").alias("good_id")).distinct().orderBy(F.xxhash64("good_id"), "good_id").limit(target_rows)
+    good = good.select(F.col(id_col).cast("long").alias("doc_id"), F.lit(1).alias("one")).distinct()
+    good = lowest_hashes(good, "one", target_rows).select(F.col("doc_id").alias("good_id"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marked = rows.join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")
     ratios = log_ratios(bucket_counts(marked.select(F.col("good_id").isNotNull().alias("good"), "text")))

@@ -14,10 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import held_out, written
+from tarifa.llm.common import held_out, lowest_hashes, written
 from tarifa.llm.ngrams import Presence, gram_blocks, logistic
 
 ORDERS, BITS = (4, 6, 8), 20
@@ -31,13 +31,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, id_col:
     """(label, text) of at most ``per_class`` rows of each class, taken by a hash of the id, and the size of each class.
 
     Rows are labelled 1 if any of their labels is 1. Held-out rows are left out. The ids are few by their bound and
-    broadcast; the rank limit runs in the map tasks.
+    broadcast.
     """
     named = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     named = named.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg((F.max(label_col) > 0).cast("int").alias("label"))
     sizes = {r["label"]: r["n"] for r in named.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = named.withColumn("rank", rank).where(F.col("rank") <= per_class).drop("rank")
+    chosen = lowest_hashes(named, "label", per_class)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return written(texts.join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxic-sample"), sizes.get(0, 0), sizes.get(1, 0)
 
