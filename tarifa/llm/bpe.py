@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import byte_groups
+from tarifa.llm.common import text_groups
 
 #: Entries of the tables of arcs and of readings, and words held by a task; each is emptied when it is full.
 ARCS, READINGS, WORDS = 200_000, 150_000, 200_000
@@ -245,12 +245,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(spec.value)  # compiled for the task and gone with it
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in byte_groups(texts):
-                packed = [tokenizer.pack(t) for t in texts[start:end]]
+            for start, texts in text_groups(batch.column(1)):
+                packed = [tokenizer.pack(t) for t in texts]
                 offsets = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype=np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), ids], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), ids], names=["doc_id", "ids"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(rows, "doc_id long, ids array<int>")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,6 +136,19 @@ def byte_groups(texts: list[str | None], limit: int = BLOCK) -> Iterator[tuple[i
         yield start, len(texts)
 
 
+def text_groups(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, list[str | None]]]:
+    """The texts of a batch in groups of about ``limit`` bytes, each with its first row; only one group is in memory as text."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and size + n > limit:
+            yield start, column.slice(start, i - start).to_pylist()
+            start, size = i, 0
+        size += n
+    if start < len(column):
+        yield start, column.slice(start).to_pylist()
+
+
 def components(edges: DataFrame, purpose: str = "components", rounds: int | None = None) -> DataFrame:
     """(node, component): each linked node with the smallest node it reaches; ``edges`` has long columns a, b.
 

@@ -18,10 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import WordHasher, byte_groups, written
+from tarifa.llm.common import WordHasher, text_groups, written
 
-#: Characters of text in a shard (a longer document is a shard of its own), and distinct phrases sent out at once.
-SHARD, PHRASES = 8 << 20, 200_000
+#: Bytes of text in a shard (a longer document is a shard of its own), and distinct phrases sent out at once.
+SHARD, PHRASES = 4 << 20, 200_000
 #: Terms that are sent to the tasks that build the index (8 bytes each); beyond it all terms are indexed.
 TERMS = 4_000_000
 
@@ -39,9 +39,8 @@ def build_index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id
         hasher = WordHasher(WORD_BYTES)
         shard = (TaskContext.get().partitionId() << 32) - 1
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in byte_groups(texts, SHARD):
-                words, bounds = hasher(texts[start:end])
+            for start, texts in text_groups(batch.column(1), SHARD):
+                words, bounds = hasher(texts)
                 words = words.view(np.int64)
                 place = np.arange(len(words))
                 if terms is not None:
@@ -51,7 +50,7 @@ def build_index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id
                 found, first = np.unique(words[order], return_index=True)
                 blobs = [np.diff(x, prepend=0).astype(np.uint32).tobytes() for x in np.split(order, first[1:])] if len(order) else []
                 shard += 1
-                ids = batch.column(0).slice(start, end - start)
+                ids = batch.column(0).slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(found) + 1, shard)),
@@ -75,11 +74,10 @@ def phrases(items: DataFrame, width: int, id_col: str = "item_id", text_col: str
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(WORD_BYTES)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in byte_groups(texts):
-                words, bounds = hasher(texts[start:end])
+            for start, texts in text_groups(batch.column(1)):
+                words, bounds = hasher(texts)
                 words = words.view(np.int64)
-                for i in range(end - start):
+                for i in range(len(texts)):
                     own = words[bounds[i] : bounds[i + 1]]
                     if len(own):
                         size = min(width, len(own))

@@ -143,7 +143,7 @@ def languages(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hierarchy = model.value
         for batch in batches:
-            found = [hierarchy.predict(t) if hierarchy else ("und", 0.0) for t in batch.column(1).to_pylist()]
+            found = [hierarchy.predict(t.as_py()) if hierarchy else ("und", 0.0) for t in batch.column(1)]
             names, sure = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), names, sure], names=["doc_id", "lang_pred", "score"])
 

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from tarifa.llm.common import (
     WordHasher,
-    byte_groups,
     components,
     mix,
     small_or_plain,
     stream,
+    text_groups,
     written,
 )
 
@@ -102,11 +102,10 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
         hasher = WordHasher(NOT_SEPARATOR)
         factors = stream(11, VALUES) | np.uint64(1)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for start, end in byte_groups(texts):
-                words, bounds = hasher(texts[start:end])
+            for start, texts in text_groups(batch.column(1)):
+                words, bounds = hasher(texts)
                 rows = []
-                for i in range(end - start):
+                for i in range(len(texts)):
                     found = shingle_hashes(words[bounds[i] : bounds[i + 1]], shingle)
                     blob = found.tobytes()
                     rows.append(
@@ -117,7 +116,7 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
                 n, *blobs = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, end - start),
+                        batch.column(0).slice(start, len(texts)),
                         pa.array(n, pa.int64()),
                         *(pa.array(x, pa.binary()) for x in blobs),
                     ],

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarifa.llm.common import WordHasher, byte_groups, held_out, lowest_hashes, mix, written
+from tarifa.llm.common import WordHasher, byte_groups, held_out, lowest_hashes, mix, text_groups, written
 from tarifa.llm.near_dup import NOT_SEPARATOR
 
 BUCKETS = 10_000
@@ -39,10 +39,10 @@ def bucket_counts(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, total = WordHasher(NOT_SEPARATOR), np.zeros((2, BUCKETS), dtype=np.int64)
         for batch in batches:
-            good, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, end in byte_groups(texts):
-                words, bounds = hasher(texts[start:end])
-                for i in range(end - start):
+            good = batch.column(0).to_pylist()
+            for start, texts in text_groups(batch.column(1)):
+                words, bounds = hasher(texts)
+                for i in range(len(texts)):
                     found = np.bincount(grams(words, bounds, i), minlength=BUCKETS)
                     total[0] += found
                     if good[start + i]:
