@@ -11,6 +11,9 @@ that is too large is read deeper, where its classes part by further values, unti
 depth a part that is still large is compared within a window that moves over it. A small sketch of each set drops candidates
 that are far from the threshold (over four standard deviations); the others are confirmed on the full sets like the first.
 
+These links make most large regions one component. One that still holds several, or lies at the border of two tasks, is then
+compared completely: it is dealt into blocks, each two blocks meet in a task, and the full sets of all their pairs are compared.
+
 With 24 orders, prefixes of 4 values and similarity 0.8 a pair shares no prefix with probability 3e-6.
 """
 
@@ -40,6 +43,10 @@ ORDERS, DEPTHS = 24, (4, 6, 9, 14)
 VALUES = ORDERS * DEPTHS[0]
 #: Classes of a region that are compared with each other; larger regions are read deeper.
 REGION = 64
+#: Classes of a block where a region is compared completely, and shingles of its sets together.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Columns of the matrix by which common shingles are counted.
+COLUMNS = 4096
 #: Bins of a sketch, and standard deviations below the threshold at which a pair is no candidate any more.
 BINS, DEVIATIONS = 192, 4.2
 
@@ -247,10 +254,10 @@ def region_pairs(
 
 
 def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that share a region, are not linked yet, and whose sketches are near enough.
+    """(a, b, tree, p4): pairs of classes that share a region, are not linked yet, and whose sketches are near enough.
 
-    Rows are range partitioned by the whole key like before, so that large regions are split; a region at the border of two
-    tasks is compared in two parts.
+    Rows are range partitioned by the whole key like before, so that large regions are split. A region at the border of two
+    tasks is compared in two parts; the first and last region of each task are rows without a pair.
     """
     names = ["tree", *KEYS, "rep", "component", "n", "sketch"]
 
@@ -266,6 +273,7 @@ def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
+        begun = False
         for batch in chain(batches, [None]):
             if batch is not None and not batch.num_rows:
                 continue
@@ -274,6 +282,9 @@ def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent:
                 return
             rows = pa.concat_tables(parts).combine_chunks()
             tree, *keys, rep, component, sizes = (rows.column(c).to_numpy() for c in names[:-1])
+            if not begun or batch is None:
+                begun, at = True, [0, len(rep) - 1] if batch is None else [0]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64())] * 2 + [pa.array(tree[at]), pa.array(keys[0][at])], names=out)
             first = keys[0] + tree  # prefix keys of different orders are different hashes
             whole = len(rep)
             if batch is not None:  # the last region may go on
@@ -286,15 +297,105 @@ def open_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame, percent:
                 pairs = [p for r in runs for p in region_pairs(keys, component, marks, sizes, percent, *r)]
                 if pairs:
                     x, y = rep[np.concatenate([p[0] for p in pairs])], rep[np.concatenate([p[1] for p in pairs])]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                    none = [pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.int64())]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *none], names=out)
 
+    out = ["a", "b", "tree", KEYS[0]]
     docs = reps.join(members.select("rep").distinct(), "rep", "left_semi").join(labels, "rep", "left")
     docs = docs.select("rep", F.coalesce("component", "rep").alias("component"), "n", "sketch", "signature")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = ", ".join(f"{k} long" for k in KEYS)
     rows = docs.mapInArrow(expand, f"tree int, {fields}, rep long, component long, n long, sketch binary")
     order = names[:-3]
-    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long").distinct()
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, f"a long, b long, tree int, {KEYS[0]} long").distinct()
+
+
+def dealt(members: DataFrame, borders: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame | None:
+    """(tree, p4, low, high, own, rep, component): classes of regions to compare completely, in each pair of their blocks.
+
+    These are the regions of several components that are large or at the border of two tasks; None if there are none.
+    """
+
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint32).reshape(-1, VALUES)
+            for order in range(ORDERS):
+                which = pa.array(np.full(len(marks), order, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([which, pa.array(prefixes(marks, order)[0]), *batch.columns[:3]], names=names)
+
+    names = ["tree", KEYS[0], "rep", "component", "n"]
+    region = names[:2]
+    docs = reps.join(members.select("rep").distinct(), "rep", "left_semi").join(labels, "rep", "left")
+    docs = docs.select("rep", F.coalesce("component", "rep").alias("component"), "n", "signature")
+    rows = docs.mapInArrow(expand, f"tree int, {KEYS[0]} long, rep long, component long, n long")
+    facts = rows.groupBy(*region).agg(
+        F.count(F.lit(1)).alias("size"), F.min("component").alias("least"), F.max("component").alias("most"), F.max("n").alias("n")
+    )
+    facts = facts.where("least <> most").join(F.broadcast(borders.withColumn("border", F.lit(True))), region, "left")
+    facts = facts.where((F.col("size") > REGION) | F.col("border"))
+    fit = F.greatest(F.lit(2), F.least(F.lit(BLOCK), F.floor(BLOCK_SHINGLES / F.col("n"))))
+    regions = written(facts.select(*region, F.ceil(F.col("size") / fit).cast("int").alias("blocks")), "open-regions")
+    if regions.isEmpty():
+        return None
+    rows = rows.drop("n").join(small_or_plain(regions), region)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("own", "with")).withColumn("high", F.greatest("own", "with"))
+    return written(rows.drop("with", "blocks"), "open-rows")
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common values of each two sets."""
+    sets = left + right
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    place = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    owner, column = owner[shared], place[column[shared]]
+    by_column = np.argsort(column, kind="stable")
+    owner, column = owner[by_column], column[by_column]
+    common = np.zeros((len(left), len(right)), dtype=np.int64)
+    for at in range(0, int(place[-1]) + 1, COLUMNS):
+        low, high = np.searchsorted(column, [at, at + COLUMNS])
+        marks = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        marks[owner[low:high], column[low:high] - at] = 1
+        common += (marks[: len(left)] @ marks[len(left) :].T).astype(np.int64)
+    return common
+
+
+def region_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class linked with one of another component in a pair of blocks, and the least class that it reaches there."""
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        rep, component, own = (pdf[c].to_numpy() for c in ("rep", "component", "own"))
+        left, right = np.flatnonzero(own == pdf["low"].iloc[0]), np.flatnonzero(own == pdf["high"].iloc[0])
+        found = [np.frombuffer(x, dtype=np.uint64) for x in pdf["shingles"]]
+        if not len(left) or not len(right) or component.min() == component.max():
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        common = common_counts([found[i] for i in left], [found[i] for i in right])
+        size = np.array([len(x) for x in found])
+        linked = 100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)
+        linked &= component[left][:, None] != component[right][None, :]
+        i, j = np.nonzero(linked)
+        x, y = left[i], right[j]
+        root = np.arange(len(rep))
+        while True:
+            least = root.copy()
+            np.minimum.at(least, x, root[y])
+            np.minimum.at(least, y, root[x])
+            least = least[least]
+            if (least == root).all():
+                break
+            root = least
+        moved = root != np.arange(len(rep))
+        return pd.DataFrame({"a": rep[moved], "b": rep[root[moved]]})
+
+    used = small_or_plain(written(rows.select("rep").distinct(), "open-classes"))
+    rows = rows.join(sets.join(used, "rep", "left_semi").select("rep", "shingles"), "rep")
+    return rows.groupBy("tree", KEYS[0], "low", "high").applyInPandas(links, "a long, b long")
 
 
 def near_duplicates(
@@ -322,8 +423,13 @@ def near_duplicates(
     # these labels only spare comparisons, so a few rounds will do
     labels = written(components(links, rounds=2).withColumnRenamed("node", "rep").groupBy("rep").agg(F.min("component").alias("component")), "labels")
     more = written(open_pairs(members, labels, reps, percent), "open-pairs")
-    links = links.union(confirmed(more, sets, percent))
-    labels = components(links)
+    links = links.union(confirmed(more.where("a is not null").select("a", "b"), sets, percent))
+    labels = written(components(links), "labels")
+    borders = more.where("a is null").select("tree", KEYS[0]).distinct()
+    rows = dealt(members, borders, labels.withColumnRenamed("node", "rep"), reps)
+    if rows is not None:
+        last = region_links(rows, sets, percent)
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(last))
 
     rep_of = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("d"), F.coalesce("component", "rep").alias("component")

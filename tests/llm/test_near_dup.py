@@ -67,3 +67,13 @@ def test_components_of_a_long_chain(spark):
     chance.shuffle(links)
     result = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in result} == roots(names, links)
+
+
+def test_pairs_within_a_large_group_of_one_template(spark):
+    # all share a template at similarity 0.69, so regions are large; each is linked with one other row, far away by id
+    half, words = 500, [f"t{i}" for i in range(200)]
+    rows = []
+    for i in range(half):
+        own = words + [f"p{i}-{k}" for k in range(20)]
+        rows += [(i + side * half, " ".join(own + [f"r{i}-{side}-{k}" for k in range(25)])) for side in range(2)]
+    assert found(spark, rows, 5) == brute(rows, 5)
