@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and strings in a sensitive context that zstandard cannot explain.
 
-A candidate is a long string of key characters soon after a sensitive word on its line. Zstandard is primed with a
-dictionary of the text around it and of common identifiers; the bytes that it still needs for the candidate, beyond those of
+A candidate is a long string of key characters soon after a sensitive word, on its line or the next ones, one that goes on from
+such a string after a dot or a line break, or one in the body of a private key block. Zstandard is primed with a dictionary of the
+text around it, without other sensitive copies of it, and of common identifiers; the bytes that it still needs for the candidate, beyond those of
 an empty frame, are the candidate's marginal bytes. A string that the surroundings or the identifiers explain costs little; a
 random one costs about a byte per character and is reported.
 """
@@ -9,6 +10,7 @@ random one costs about a byte per character and is reported.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,8 +27,16 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 SENSITIVE = re.compile(r"(?ai)(?:pass|secret|token|credential|auth|bearer|private|api|access|key|signature)[a-z_]*")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Characters between a sensitive word and a candidate, characters of context on each side, least marginal bytes per character.
+#: A private key block: its body goes up to the END line, or to the end of a text that is cut off; its last line may be short.
+KEY_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----(.*?)(?:-----END|\Z)", re.DOTALL)
+LAST_LINE = re.compile(r"(?:\s|\\[nr])*([A-Za-z0-9+/]{1,15}={0,2})(?:\s|\\[nr])*(?:=[A-Za-z0-9+/]{4}\s*)?-----END")
+#: What may stand between the parts of one secret: a dot, or a line break with spaces, quotes and signs of continuation.
+JOINT = re.compile(r"""\.|["'\\+,\x20\t]*\r?\n["'+>|\x20\t]*""")
+#: Characters between a sensitive word and a candidate, white space not counted; characters of context on each side, least marginal bytes per character.
 REACH, CONTEXT, NOVELTY = 24, 512, 0.8
+WITHIN = re.compile(rf"(?:\s*\S){{0,{REACH}}}\s*")
+#: Characters measured at a time: a long string of random key characters would be packed to six bits each.
+PIECE = 64
 
 IDENTIFIERS = " ".join(
     """abstract access account action address admin algorithm application argument array assert async attribute authenticate
@@ -66,24 +76,61 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def candidates(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, whether in a private key block) of the strings in a sensitive context, by start."""
+    blocks = [m.span(1) for m in KEY_BLOCK.finditer(text)] if "PRIVATE KEY" in text else []
+    words = [(m.end(), WITHIN.match(text, m.end()).end()) for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    found, word, block, upto, joined = [], 0, 0, -1, -1
+    for m in CANDIDATE.finditer(text, words[0][0]):
+        while word < len(words) and words[word][0] <= m.start():  # reaches end in the order of their words
+            upto = words[word][1]
+            word += 1
+        while block < len(blocks) and blocks[block][1] <= m.start():
+            block += 1
+        inside = block < len(blocks) and blocks[block][0] <= m.start()
+        if inside or m.start() <= upto or m.start() == joined:
+            found.append((m.start(), m.end(), inside))
+            joint = JOINT.match(text, m.end())
+            joined = joint.end() if joint else -1
+    return found
+
+
+def without_copies(text: str, low: int, high: int, candidate: str, secret: list[tuple[int, int]], starts: list[int]) -> str:
+    """A part of the text without those copies of the candidate that lie in a sensitive string themselves."""
+    out, upto, at = [], low, text.find(candidate, low, high)
+    while at >= 0:
+        k = bisect_right(starts, at) - 1
+        if k >= 0 and at + len(candidate) <= secret[k][1]:
+            out.append(text[upto:at])
+            upto = at + len(candidate)
+        at = text.find(candidate, at + len(candidate), high)
+    return "".join([*out, text[upto:high]])
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Incompressible strings after sensitive words that no other span touches."""
-    found, tested, m = [], -1, CANDIDATE.search(text)
-    for word in SENSITIVE.finditer(text):
-        while m is not None and m.start() < word.end():
-            m = CANDIDATE.search(text, m.end())
-        if m is None:
-            break
-        line = text.find("\n", word.end(), word.end() + REACH + 1)
-        if m.start() > (line if line >= 0 else word.end() + REACH) or m.start() == tested:
-            continue
-        tested = m.start()
-        mixed = any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])
-        if not mixed or any(s < m.end() and m.start() < e for s, e, _ in taken):
+    """Incompressible strings in a sensitive context that no other span touches; key blocks count whatever else touches them."""
+    found, measured = [], candidates(text)
+    if not measured:
+        return found
+    secret = []  # sensitive strings, and for each the furthest end up to it
+    for start, end in sorted([(s, e) for s, e, _ in measured] + [(s, e) for s, e, _ in taken]):
+        secret.append((start, max(end, secret[-1][1] if secret else 0)))
+    starts = [s for s, _ in secret]
+    for start, end, inside in measured:
+        own = text[start:end]
+        mixed = any(c.isdigit() for c in own) and any(c.isalpha() for c in own)
+        if not inside and (not mixed or any(s < end and start < e for s, e, _ in taken)):
             continue
-        before, after = text[max(0, m.start() - CONTEXT) : m.start()], text[m.end() : m.end() + CONTEXT]
-        if marginal_bytes(m[0], before, after) >= NOVELTY * len(m[0]):
-            found.append((m.start(), m.end(), "novel"))
+        before = without_copies(text, max(0, start - CONTEXT), start, own, secret, starts)
+        after = without_copies(text, end, min(len(text), end + CONTEXT), own, secret, starts)
+        pieces = [own] if len(own) < 2 * PIECE else [own[i : i + PIECE] for i in range(0, len(own), PIECE)]
+        if sum(marginal_bytes(p, before, after) for p in pieces) >= NOVELTY * len(own):
+            found.append((start, end, "novel"))
+            last = LAST_LINE.match(text, end) if inside else None
+            if last:
+                found.append((*last.span(1), "novel"))
     return found
 
 

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -53,6 +55,34 @@ def test_novel_strings(spark):
     assert secrets.marginal_bytes(RANDOM, "", "") > secrets.marginal_bytes(RANDOM, RANDOM, "") + 10
 
 
+def test_novel_strings_in_a_wider_context(spark):
+    chance = random.Random(1)
+    key = lambda n: "".join(chance.choices(string.ascii_letters + string.digits, k=n))
+    lines = [key(64) for _ in range(25)] + ["Zk3q9=="]
+    token = [key(n) for n in (36, 900, 43)]
+    other = key(24)
+    cases = [
+        ("-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----\n", lines),
+        ("-----BEGIN PRIVATE KEY-----\\n" + lines[0] + "\\n-----END PRIVATE KEY-----", [lines[0]]),
+        (f"credential:\n    {RANDOM}\n", [RANDOM]),
+        (f"Authorization: Bearer {'.'.join(token)} sent", token),
+        (f"the bearer {RANDOM} {other} was sent", [RANDOM]),
+        (f"the bearer first_thing_of_them {other} was sent", [other]),
+        (f"the bearer {RANDOM} and the bearer {RANDOM} were sent", [RANDOM]),
+        (f"token={RANDOM} and the bearer {RANDOM} were sent", [RANDOM]),
+    ]
+    for text, parts in cases:
+        cleaned, at = [], 0
+        for start, end, _ in secrets.all_spans(text):
+            cleaned.append(text[at:start])
+            at = max(at, end)
+        left = "".join([*cleaned, text[at:]])
+        assert not any(p in left for p in parts), text
+    frame = docs_of(spark, [(1, cases[0][0])])
+    assert lines[3] not in frame.select(secrets.redacted(F.col("text"))).first()[0]
+    assert secrets.all_spans("the public words after the private\nkey of a long_identifier_name_here.\n") == []
+
+
 def test_redaction_and_rows(spark):
     rows = [(None, "a password=abcdefghijklmnop b"), (1, None), (1, "no"), (2, "key 0123456789abcdef0 end")]
     frame = docs_of(spark, rows)
