@@ -114,6 +114,77 @@ FROM numbered JOIN formatted f USING (conv_id) GROUP BY conv_id
 """
 
 
+def repair_sql() -> str:
+    """The damage, then row by row the least (cost, edits) of each state, and the least of those that may end."""
+    return r"""
+    WITH RECURSIVE crc AS (
+        SELECT list(c ORDER BY i) AS steps FROM (
+            SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+            FROM range(256) r(i))
+    ), original AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+        FROM conversations
+    ), kinds AS (
+        SELECT o.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda a, b: xor(steps[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS kind
+        FROM original o, crc
+    ), damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM kinds, range(2) t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+    ), facts AS (
+        SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+               row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+               regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS core
+        FROM placed
+    ), rows_ AS (
+        SELECT *, core = '' AS blank, core <> '' AND again AS duplicate,
+               core <> '' AND NOT again AND right(core, 1) NOT IN ('.', '!', '?') AS truncated
+        FROM facts
+    ), leads(state, initial, after) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    inserts(state, letters, after, lines) AS (VALUES
+        (0, '', 0, ''), (0, 'I', 2, 'user:' || chr(10)), (0, 'II', 3, 'user:' || chr(10) || 'assistant:' || chr(10)),
+        (1, '', 1, ''), (1, 'I', 2, 'user:' || chr(10)), (1, 'II', 3, 'user:' || chr(10) || 'assistant:' || chr(10)),
+        (2, '', 2, ''), (2, 'I', 3, 'assistant:' || chr(10)), (3, '', 3, ''), (3, 'I', 2, 'user:' || chr(10))
+    ), best AS (
+        SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, 0 AS cost, '' AS audit, '' AS lines FROM original
+        UNION ALL
+        SELECT conv_id, i, state, cost, audit, lines FROM (
+            SELECT r.conv_id, r.i, e.after AS state, b.cost + 2 * len(n.letters) + e.cost + (CASE WHEN e.edit <> 'D' AND truncated THEN 1 ELSE 0 END) AS cost,
+                   b.audit || n.letters || e.edit AS audit,
+                   b.lines || n.lines || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN r.role || ':' || r.text || chr(10)
+                       ELSE e.name || ':' || r.text || chr(10) END AS lines
+            FROM best b JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+            JOIN inserts n ON n.state = b.state
+            JOIN (
+                SELECT state, initial, after, 'K' AS edit, 0 AS cost, '' AS name FROM leads
+                UNION ALL SELECT state, NULL, after, 'R', 2, CASE initial WHEN 'u' THEN 'user' ELSE 'assistant' END FROM leads WHERE initial <> 's'
+                UNION ALL SELECT s, NULL, s, 'D', 3, '' FROM range(4) x(s)
+            ) e ON e.state = n.after AND (e.edit <> 'K' OR e.initial = r.initial) AND (e.edit = 'D' OR NOT (blank OR duplicate))
+        ) QUALIFY row_number() OVER (PARTITION BY conv_id, i, state ORDER BY cost, audit) = 1
+    ), sizes AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+               count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows_ GROUP BY conv_id
+    ), ends AS (
+        SELECT b.conv_id, b.cost + 2 * len(n.letters) AS cost, b.audit || n.letters AS audit, b.lines || n.lines AS lines
+        FROM best b LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM b.conv_id
+        JOIN inserts n ON n.state = b.state AND n.after IN (0, 3)
+        WHERE b.i = coalesce(s.n, 0)
+        QUALIFY row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + 2 * len(n.letters), b.audit || n.letters) = 1
+    )
+    SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, e.cost::BIGINT AS cost, audit,
+           sha256(left(lines, greatest(len(lines) - 1, 0))) AS repaired_sha256
+    FROM ends e LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+    """
+
+
 def oracle() -> dict[str, str]:
     return {
         "op2_near_dup": near_dup(4),
@@ -121,4 +192,5 @@ def oracle() -> dict[str, str]:
         "op5_embeddings": EMBEDDINGS,
         "op6_chat": CHAT,
         "op9_decontamination": decontamination(),
+        "op12_repair": repair_sql(),
     }
