@@ -114,6 +114,45 @@ FROM numbered JOIN formatted f USING (conv_id) GROUP BY conv_id
 """
 
 
+def divergence_sql(least: int = 10, top: int = 10) -> str:
+    return rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+        FROM documents
+    ), found AS (SELECT d, lang, source, unnest(ts) AS term FROM docs),
+    kept AS (SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT d) >= {least}),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    langs AS (
+        SELECT lang, (SELECT count(*) FROM kept k WHERE k.lang = l.lang) AS v,
+               (SELECT coalesce(sum(n), 0) FROM counts c WHERE c.lang = l.lang) AS total
+        FROM (SELECT DISTINCT lang FROM docs) l
+    ), groups_ AS (
+        SELECT g.lang, g.source, v, (SELECT coalesce(sum(n), 0) FROM counts c WHERE c.lang = g.lang AND c.source = g.source) AS total
+        FROM (SELECT DISTINCT lang, source FROM docs) g JOIN langs USING (lang)
+    ), shares AS (
+        SELECT g.lang, g.source, term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 2) // (g.total + 2 * v)::HUGEINT AS p
+        FROM groups_ g JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)
+    ), lang_shares AS (
+        SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 2)::HUGEINT // any_value(l.total + 2 * v)::HUGEINT AS q
+        FROM counts JOIN langs l USING (lang) GROUP BY ALL
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item,
+               coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) FROM shares x JOIN shares y USING (lang, term)
+                         WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+        FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+    ), terms AS (
+        SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares JOIN lang_shares USING (lang, term)
+        WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank
+    FROM terms QUALIFY rank <= {top}
+    """
+
+
 def repair_sql() -> str:
     """The damage, then row by row the least (cost, edits) of each state, and the least of those that may end."""
     return r"""
@@ -192,5 +231,6 @@ def oracle() -> dict[str, str]:
         "op5_embeddings": EMBEDDINGS,
         "op6_chat": CHAT,
         "op9_decontamination": decontamination(),
+        "op11_divergence": divergence_sql(),
         "op12_repair": repair_sql(),
     }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import bpe, chat, contamination, embeddings, language, near_dup, quality, repair, secrets, toxicity, warc
+from tarifa.llm import bpe, chat, contamination, divergence, embeddings, language, near_dup, quality, repair, secrets, toxicity, warc
 from tarifa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fraction=0.8)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least=10, top=10)
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
