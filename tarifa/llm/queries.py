@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarifa.llm import bpe, chat, contamination, divergence, embeddings, language, near_dup, quality, repair, secrets, toxicity, warc
+from tarifa.llm import bpe, chat, contamination, divergence, embeddings, language, near_dup, neighbours, quality, repair, secrets, toxicity, warc
 from tarifa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,5 +77,9 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
