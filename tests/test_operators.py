@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tarifa.config import Settings
 from tarifa.functions.time import clock_day, utc_minute_text
 from tarifa.operators import in_force, retention, staging
-from tarifa.operators.changes import price_changes
+from tarifa.operators.changes import end_state, price_changes
 from tests.lakes import lake, prices, report, station
 
 SETTINGS = Settings()
@@ -63,6 +63,18 @@ def test_price_changes(spark, seed):
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
 
 
+@pytest.mark.parametrize("cut", [dt.datetime(2025, 1, 1), dt.datetime(2025, 6, 17, 12)])
+def test_price_changes_in_two_parts(spark, cut):
+    """What a state tells of the first part makes the second part go on as if it had seen all."""
+    rows = random_history(7)
+    first, second = (staged_frame(spark, [r for r in rows if (r[3] >= cut) == late]) for late in (False, True))
+    state = end_state(first)
+    parts = price_changes(first, SETTINGS).unionByName(price_changes(second, SETTINGS, state))
+    whole = staged_frame(spark, rows)
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, price_changes(whole, SETTINGS).collect()))
+    assert sorted(map(repr, end_state(second, state).collect())) == sorted(map(repr, end_state(whole).collect()))
+
+
 def test_repeats_are_not_changes(spark):
     days = [dt.datetime(2025, 1, d) for d in (1, 2, 3, 4)]
     rows = [(1, 1, "x", d, Decimal(p)) for d, p in zip(days, ["1.5", "1.5", "1.6", "1.5"])]

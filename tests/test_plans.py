@@ -33,9 +33,16 @@ def test_conflicts_are_limited_before_the_shuffle(stored):
     assert [bool(re.search(r", 1, Partial$", line.strip())) for line in limits] == [False, True]
 
 
+def executed(frame) -> str:
+    """The final plan of adaptive execution, in which exchanges are reused."""
+    frame.write.format("noop").mode("overwrite").save()
+    frame.collect()
+    return plan(frame).split("== Initial Plan ==")[0]
+
+
 def test_scan_reads_only_what_is_needed(spark, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
-    (scan,) = lines(stored.price_changes, "FileScan")
+    (scan,) = [line for line in executed(stored.price_changes).splitlines() if "FileScan" in line]
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     read = scan.split("ReadSchema: ")[1]
     assert "PushedFilters: [IsNotNull(prix_id)]" in scan
@@ -44,14 +51,15 @@ def test_scan_reads_only_what_is_needed(spark, stored):
     }
 
 
-def test_shuffles(stored):
-    """Conflicts, months and timelines each cost one shuffle of a change history."""
-    keys = [re.findall(r"hashpartitioning\((.*?), \d+\)", line)[0] for line in lines(stored.price_changes, "Exchange")]
-    assert [re.sub(r"#\d+L?", "", key) for key in keys] == [
-        "station_id, fuel_id, tranche",
-        "station_id, fuel_id, mois",
-        "maj_at, _pdv_id, _prix_id, _maj",
-    ]
+def test_reports_are_shuffled_twice_and_summaries_once(stored):
+    """A change history costs one exchange for conflicts and one for months; what goes to a pair is one row a month."""
+    found = executed(stored.price_changes).splitlines()
+    exchanges = [i for i, line in enumerate(found) if "+- Exchange hashpartitioning" in line]
+    keys = [re.sub(r"#\d+L?", "", re.findall(r"hashpartitioning\((.*?), \d+\)", found[i])[0]) for i in exchanges]
+    assert sorted(keys) == ["_station, _fuel", "_station, _fuel, _mois", "maj_at, _pdv_id, _prix_id, _maj"]
+    assert sum("ReusedExchange" in line for line in found) == 1
+    to_pair = exchanges[keys.index("_station, _fuel")]
+    assert next("HashAggregate" in line for line in found[to_pair + 1 :] if "Codegen" not in line)
 
 
 def test_current_prices_use_hash_tables(stored):
