@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarifa.config import Settings
@@ -66,6 +66,28 @@ def expand_periods(periods: DataFrame, settings: Settings) -> DataFrame:
     ).withColumn("est_prix_suspect", is_suspect(F.col("fuel_id"), F.col("prix_litre"), settings))
 
 
+def day_blocks(periods: DataFrame, length: int) -> DataFrame:
+    """Each period with the block of ``length`` days it lies in (``bloc``) and its first and last day there, counted from 0.
+
+    A period over the border of two blocks is a row of both. Periods are at most ``length`` days long, unless a defect makes
+    them longer, so a report gives two rows at most, where a row per day would be up to ``length``.
+    """
+    first, last = F.unix_date("jour"), F.unix_date("fin")
+    blocks = F.sequence(F.floor(first / length), F.floor(last / length))
+    start = F.col("bloc") * length
+    return (
+        periods.where(F.col("fin") >= F.col("jour"))
+        .withColumn("bloc", F.explode(blocks))
+        .withColumn("du", F.greatest(first - start, F.lit(0)).cast("int"))
+        .withColumn("au", F.least(last - start, F.lit(length - 1)).cast("int"))
+    )
+
+
+def block_day(length: int) -> Column:
+    """The day of a block, counted from 0 (``rang``)."""
+    return F.date_from_unix_date((F.col("bloc") * length + F.col("rang")).cast("int"))
+
+
 def prices_in_force(
     staged: DataFrame, settings: Settings, reports: DataFrame | None = None
 ) -> DataFrame:

@@ -1,7 +1,8 @@
-"""Daily medians and the motorway gap, on the prices in force.
+"""Daily medians and the motorway gap, on the periods in which prices are in force.
 
-Exact percentiles stay small because prices are few: the expanded rows are first counted per distinct
-price with map-side combine, and the percentile runs on (price, count).
+Days are taken in blocks as long as the longest period. A period adds one to the count of its price on a run of days of a block;
+a row holds the counts of a price on all days of a block, side by side. Reports are therefore never multiplied by their days:
+what is shuffled is a price of a block, and the exact percentiles of all days of a block are taken in one pass over its prices.
 """
 
 from __future__ import annotations
@@ -10,32 +11,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarifa.config import Settings
-from tarifa.functions.numbers import decimal_percentile
-from tarifa.operators.in_force import report_days
+from tarifa.functions.numbers import decimal_percentile, is_suspect
+from tarifa.operators.in_force import block_day, day_blocks, report_days
 
 
-def from_first_full_day(prices: DataFrame, days: DataFrame, settings: Settings) -> DataFrame:
-    """Drop the first days, whose window of past reports is not complete yet."""
-    start = days.select(F.date_add("premier_jour", settings.days_in_force).alias("debut"))
-    return prices.crossJoin(F.broadcast(start)).where(F.col("jour") >= F.col("debut")).drop("debut")
+def usable_periods(periods: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
+    """Periods without suspect prices, from the first day whose window of past reports is complete."""
+    start = report_days(reports).select(F.date_add("premier_jour", settings.days_in_force).alias("debut"))
+    trusted = periods.where(~is_suspect(F.col("fuel_id"), F.col("prix_litre"), settings))
+    return trusted.crossJoin(F.broadcast(start)).withColumn("jour", F.greatest("jour", "debut")).drop("debut")
 
 
-def daily_medians(in_force: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
+def counted_prices(blocks: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """Per key and price, the number of stations on each day of the block (n0, n1, ...)."""
+    days = [F.count_if((F.col("du") <= k) & (F.col("au") >= k)).alias(f"n{k}") for k in range(length)]
+    return blocks.groupBy("bloc", *keys, "prix_litre").agg(*days)
+
+
+def per_day(counted: DataFrame, keys: list[str], length: int, values: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Median (``<name>``) and number of stations (``n_<name>``) of each day and key.
+
+    ``values`` gives for each name the price, and the condition under which a row counts.
+    """
+    found = []
+    for k in range(length):
+        for name, (price, counts) in values.items():
+            found.append(decimal_percentile(price, 0.5, F.col(f"n{k}")).alias(f"{name}_{k}"))
+            found.append(F.sum(F.when(counts, F.col(f"n{k}")).otherwise(F.lit(0))).alias(f"n_{name}_{k}"))
+    day = [
+        F.struct(F.lit(k).alias("rang"), *[F.col(f"{p}{n}_{k}").alias(f"{p}{n}") for n in values for p in ("", "n_")])
+        for k in range(length)
+    ]
+    blocks = counted.groupBy("bloc", *keys).agg(*found)
+    return blocks.select("bloc", *keys, F.inline(F.array(*day))).withColumn("jour", block_day(length)).drop("bloc", "rang")
+
+
+def daily_medians(periods: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
     """Median price and number of stations per day and fuel; each station counts once a day."""
-    per_price = (
-        from_first_full_day(in_force.where(~F.col("est_prix_suspect")), report_days(reports), settings)
-        .groupBy("jour", "fuel_id", "fuel", "prix_litre")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return per_price.groupBy("jour", "fuel_id", "fuel").agg(
-        decimal_percentile(F.col("prix_litre"), 0.5, F.col("n")).alias("prix_median"),
-        F.sum("n").alias("nombre_stations"),
+    length, keys = settings.days_in_force + 1, ["fuel_id", "fuel"]
+    blocks = day_blocks(usable_periods(periods, reports, settings), length)
+    always = (F.col("prix_litre"), F.lit(True))
+    found = per_day(counted_prices(blocks, keys, length), keys, length, {"prix": always})
+    return found.where("n_prix > 0").select(
+        "jour", *keys, F.col("prix").alias("prix_median"), F.col("n_prix").alias("nombre_stations")
     )
 
 
-def motorway_gap(
-    in_force: DataFrame, stations: DataFrame, reports: DataFrame, settings: Settings
-) -> DataFrame:
+def motorway_gap(periods: DataFrame, stations: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
     """Median on motorways minus median on roads, per day, area and fuel, where both exist.
 
     ``stations`` joins by station id; Spark broadcasts it while its size is below the session's
@@ -46,33 +68,23 @@ def motorway_gap(
         "est_autoroute",
         F.left(F.col("code_postal"), F.lit(2)).alias("departement"),
     )
-    usable = from_first_full_day(
-        in_force.where(~F.col("est_prix_suspect")), report_days(reports), settings
-    )
-    cell = ["jour", "departement", "fuel_id", "fuel"]
-    per_price = (
-        usable.join(dimension, "station_id")
-        .groupBy(*cell, "est_autoroute", "prix_litre")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    motorway, road = F.col("est_autoroute"), ~F.col("est_autoroute")
-
-    def median(kind: Column) -> Column:
-        return decimal_percentile(F.when(kind, F.col("prix_litre")), 0.5, F.col("n"))
-
-    def stations_of(kind: Column) -> Column:
-        return F.sum(F.when(kind, F.col("n")).otherwise(F.lit(0)))
-
-    return (
-        per_price.groupBy(*cell)
-        .agg(
-            median(motorway).alias("prix_median_autoroute"),
-            median(road).alias("prix_median_route"),
-            stations_of(motorway).alias("nombre_stations_autoroute"),
-            stations_of(road).alias("nombre_stations_route"),
-        )
-        .where((F.col("nombre_stations_autoroute") > 0) & (F.col("nombre_stations_route") > 0))
-        .withColumn("ecart", F.col("prix_median_autoroute") - F.col("prix_median_route"))
+    length, cell = settings.days_in_force + 1, ["departement", "fuel_id", "fuel"]
+    blocks = day_blocks(usable_periods(periods, reports, settings).join(dimension, "station_id"), length)
+    counted = counted_prices(blocks, [*cell, "est_autoroute"], length)
+
+    def side(condition: Column) -> tuple[Column, Column]:
+        return F.when(condition, F.col("prix_litre")), condition
+
+    sides = {"autoroute": side(F.col("est_autoroute")), "route": side(~F.col("est_autoroute"))}
+    found = per_day(counted, cell, length, sides)
+    return found.where((F.col("n_autoroute") > 0) & (F.col("n_route") > 0)).select(
+        "jour",
+        *cell,
+        F.col("autoroute").alias("prix_median_autoroute"),
+        F.col("route").alias("prix_median_route"),
+        F.col("n_autoroute").alias("nombre_stations_autoroute"),
+        F.col("n_route").alias("nombre_stations_route"),
+        (F.col("autoroute") - F.col("route")).alias("ecart"),
     )
 
 

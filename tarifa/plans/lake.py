@@ -57,11 +57,18 @@ class PriceLake:
     def staged_stations(self) -> DataFrame:
         return self._get("staged_stations", lambda: staging.staged_stations(self.raw_stations))
 
+    @property
+    def validity_periods(self) -> DataFrame:
+        return self._get(
+            "validity_periods",
+            lambda: in_force.validity_periods(self.staged_prices, self.settings, self.reports),
+        )
+
     @property
     def prices_in_force(self) -> DataFrame:
         return self._get(
             "prices_in_force",
-            lambda: in_force.prices_in_force(self.staged_prices, self.settings, self.reports),
+            lambda: in_force.expand_periods(self.validity_periods, self.settings),
         )
 
     @property
@@ -99,7 +106,7 @@ class PriceLake:
     def daily_medians(self) -> DataFrame:
         return self._get(
             "daily_medians",
-            lambda: medians.daily_medians(self.prices_in_force, self.reports, self.settings),
+            lambda: medians.daily_medians(self.validity_periods, self.reports, self.settings),
         )
 
     @property
@@ -107,7 +114,7 @@ class PriceLake:
         return self._get(
             "motorway_gap",
             lambda: medians.motorway_gap(
-                self.prices_in_force, self.station_attributes, self.reports, self.settings
+                self.validity_periods, self.station_attributes, self.reports, self.settings
             ),
         )
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tarifa.functions.text import trim_spaces
 from tarifa.functions.time import clock_day, days_between, instant_to_clock
 from tarifa.operators import staging
-from tarifa.operators.in_force import expand_periods, validity_periods
+from tarifa.operators.in_force import validity_periods
 from tarifa.operators.staging import PAIR
 from tarifa.plans.lake import PriceLake
 from tarifa.quality.checks import CHECKS
@@ -201,7 +201,7 @@ def period_too_long(lake: PriceLake) -> PriceLake:
     longer = periods.withColumn("nxt", nxt).withColumn(
         "fin", F.when(F.col("nxt").isNotNull(), F.least("nxt", longest)).otherwise(F.col("fin"))
     )
-    return lake.with_relations(prices_in_force=expand_periods(longer, lake.settings))
+    return lake.with_relations(validity_periods=longer)
 
 
 def all_suspect(lake: PriceLake) -> PriceLake:

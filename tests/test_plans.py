@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tarifa.operators.in_force import day_blocks
 from tarifa.plans.lake import PriceLake
 
 
@@ -87,6 +88,18 @@ def test_only_single_rows_are_crossed(stored):
         assert text.count("keys=[], functions=[m") >= text.count("IdentityBroadcastMode")
 
 
+@pytest.mark.parametrize("name", ["daily_medians", "motorway_gap"])
+def test_medians_never_expand_reports_to_days(stored, name):
+    """A report is at most two rows (blocks of days); days appear above the last aggregate only."""
+    text = plan(getattr(stored, name)).splitlines()
+    generates = [i for i, line in enumerate(text) if "Generate explode" in line]
+    assert len(generates) == 1 and "floor" in text[generates[0]].lower()
+    days = [i for i, line in enumerate(text) if "Generate inline" in line]
+    assert days and days[0] < min(i for i, line in enumerate(text) if "Aggregate" in line)
+    blocks = day_blocks(stored.validity_periods, stored.settings.days_in_force + 1)
+    assert blocks.count() <= 2 * stored.validity_periods.count()
+
+
 def test_no_python_in_the_tables(stored):
     for name in ("staged_prices", "price_changes", "stations", "motorway_gap"):
         assert "Python" not in plan(getattr(stored, name))
