@@ -9,8 +9,11 @@ How many leaves a query visits is calibrated: for ``TRIALS`` queries the exact n
 and the visits are widened until ``RECALL`` of these neighbours lie in visited leaves. A query also goes on until its leaves hold
 enough rows.
 
+Leaves that follow each other in the tree make a shelf of ``BLOCK_BYTES`` of vectors. A query goes to each shelf it visits once,
+with its leaves there, and brings back ``k + 1`` rows at most; a leaf larger than a shelf is dealt into blocks.
+
 Of rows with equal vectors only the ``k + 1`` smallest ids can be among the nearest of anything, so a group of copies, however
-large, is that many rows in the index, and equal queries are searched once. Rows and queries of a leaf meet in blocks.
+large, is that many rows in the index, and equal queries are searched once.
 """
 
 from __future__ import annotations
@@ -27,9 +30,9 @@ from tarifa.llm.common import written
 
 SAMPLE, SAMPLE_BYTES = 20_000, 1 << 26
 BRANCHES, LEAF, LEAST, ROUNDS = 8, 128, 6, 8
-TRIALS, RECALL = 256, 0.99
-#: Bytes of vectors of a block, queries of a block, and tasks that give out the result of a group of equal queries.
-BLOCK_BYTES, BLOCK_QUERIES, SALTS = 1 << 24, 2048, 16
+TRIALS, RECALL = 256, 0.97
+#: Bytes of vectors of a shelf, queries that meet it in one task, and tasks that give out the result of a group of equal queries.
+BLOCK_BYTES, BLOCK_QUERIES, SALTS = 1 << 25, 4096, 16
 
 
 def distances(rows: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -196,7 +199,8 @@ def calibrated(rows: DataFrame, trials: list[bytes], trees: dict[int, Tree], k:
     found = rows.select("vec_id", "blob", "leaf").mapInArrow(near, "trial int, gap double, vec_id long, leaf long")
     rank = F.row_number().over(Window.partitionBy("trial").orderBy("gap", "vec_id"))
     wanted: dict[int, list[int]] = {}
-    for row in found.withColumn("rank", rank).where(F.col("rank") <= k + 1).collect():  # TRIALS times k + 1
+    ranked = found.withColumn("rank", rank).where((F.col("rank") > 1) & (F.col("rank") <= k + 1))  # the first is the trial itself
+    for row in ranked.collect():  # TRIALS times k
         wanted.setdefault(row["trial"], []).append(row["leaf"])
     needed = []
     for trial, leaves in wanted.items():
@@ -208,36 +212,56 @@ def calibrated(rows: DataFrame, trials: list[bytes], trees: dict[int, Tree], k:
     return visits
 
 
-def visited(queries: DataFrame, trees: dict[int, Tree], sizes: dict[int, int], visits: int, enough: int) -> DataFrame:
-    """(leaf, digest, blob): the leaves that each query visits; at least so many that they hold ``enough`` rows."""
+def shelved(sizes: dict[int, int], lengths: dict[int, int]) -> dict[int, int]:
+    """The shelf of each leaf. Leaves of one length that follow each other share one while they fit."""
+    shelves: dict[int, int] = {}
+    shelf, held, before = -1, 0, 0
+    for leaf in sorted(sizes):
+        need = sizes[leaf] * lengths[leaf] * 8
+        if held + need > BLOCK_BYTES or lengths[leaf] != before or shelf < 0:
+            shelf, held = shelf + 1, 0
+        held, before = held + need, lengths[leaf]
+        shelves[leaf] = shelf
+    return shelves
+
+
+def visited(queries: DataFrame, trees: dict[int, Tree], sizes: dict[int, int], shelves: dict[int, int], visits: int, enough: int) -> DataFrame:
+    """(shelf, digest, blob, leaves): the leaves that each query visits, by shelf; at least so many that they hold ``enough`` rows."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, leaf = [], []
+            row, shelf, leaves = [], [], []
             for i, blob in enumerate(batch.column(1).to_pylist()):
                 point = np.frombuffer(blob, dtype=np.float64)
-                held = 0
+                held, taken = 0, {}
                 order = trees[len(point)].best_first(point) if len(point) in trees else [-len(point)]
                 for n, at in enumerate(order):
                     if n >= visits and held >= enough:
                         break
-                    held += sizes.get(at, 0)
+                    if at in sizes:
+                        held += sizes[at]
+                        taken.setdefault(shelves[at], []).append(at)
+                for at, own in taken.items():
                     row.append(i)
-                    leaf.append(at)
+                    shelf.append(at)
+                    leaves.append(np.array(sorted(own), dtype=np.int64).tobytes())
             rows = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), *rows.columns], names=["leaf", "digest", "blob"])
+            columns = [pa.array(shelf, pa.int32()), *rows.columns, pa.array(leaves, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["shelf", "digest", "blob", "leaves"])
 
-    return queries.select("digest", "blob").mapInArrow(walk, "leaf long, digest binary, blob binary")
+    return queries.select("digest", "blob").mapInArrow(walk, "shelf int, digest binary, blob binary, leaves binary")
 
 
-def compared(rows: DataFrame, visits: DataFrame, sizes: dict[int, int], lengths: dict[int, int], k: int) -> DataFrame:
-    """(digest, vec_id, score): the nearest ``k`` rows of each query in each block of its leaves."""
+def compared(rows: DataFrame, visits: DataFrame, sizes: dict[int, int], lengths: dict[int, int], shelves: dict[int, int], k: int) -> DataFrame:
+    """(digest, vec_id, score): the nearest ``k`` rows of each query on each shelf, or block of a shelf with one large leaf."""
     spark = rows.sparkSession
-    asked = {r["leaf"]: r["n"] for r in visits.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each leaf
-    facts = [
-        (leaf, -(-n // max(64, BLOCK_BYTES // (8 * lengths[leaf]))), -(-asked[leaf] // BLOCK_QUERIES)) for leaf, n in sizes.items() if leaf in asked
-    ]
-    blocks = F.broadcast(spark.createDataFrame(facts, "leaf long, row_blocks int, query_blocks int"))
+    asked = {r["shelf"]: r["n"] for r in visits.groupBy("shelf").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each shelf
+    held: dict[int, int] = {}
+    for leaf, shelf in shelves.items():
+        held[shelf] = held.get(shelf, 0) + sizes[leaf] * lengths[leaf] * 8
+    facts = [(shelf, -(-n // BLOCK_BYTES), -(-asked[shelf] // BLOCK_QUERIES)) for shelf, n in held.items() if shelf in asked]
+    places = spark.createDataFrame(list(shelves.items()), "leaf long, shelf int")
+    blocks = spark.createDataFrame(facts, "shelf int, row_blocks int, query_blocks int")
 
     def block(key: Column, blocks: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(blocks)).cast("int")
@@ -245,25 +269,29 @@ def compared(rows: DataFrame, visits: DataFrame, sizes: dict[int, int], lengths:
     def every(blocks: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
-    left = rows.join(blocks, "leaf").withColumn("b", block(F.col("vec_id"), "row_blocks")).withColumn("q", every("query_blocks"))
-    right = visits.join(blocks, "leaf").withColumn("q", block(F.col("digest"), "query_blocks")).withColumn("b", every("row_blocks"))
+    left = rows.join(F.broadcast(places.join(blocks, "shelf")), "leaf")  # a row for each leaf
+    left = left.withColumn("b", block(F.col("vec_id"), "row_blocks")).withColumn("q", every("query_blocks"))
+    right = visits.join(F.broadcast(blocks), "shelf").withColumn("q", block(F.col("digest"), "query_blocks")).withColumn("b", every("row_blocks"))
 
     def search(own: pa.Table, queries: pa.Table) -> pa.Table:
         digests, ids, scores = [], [], []
         if len(own) and len(queries):
-            vec_ids, vectors = own["vec_id"].to_numpy(), matrix(own["blob"].to_pylist())
-            for digest, blob in zip(queries["digest"].to_pylist(), queries["blob"].to_pylist(), strict=True):
-                score = distances(vectors, np.frombuffer(blob, dtype=np.float64))
+            own = own.sort_by("leaf")
+            leaf, vec_ids, vectors = own["leaf"].to_numpy(), own["vec_id"].to_numpy(), matrix(own["blob"].to_pylist())
+            for query in queries.select(["digest", "blob", "leaves"]).to_pylist():
+                wanted = np.frombuffer(query["leaves"], dtype=np.int64)
+                use = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, leaf), len(wanted) - 1)] == leaf)
+                score = distances(vectors[use], np.frombuffer(query["blob"], dtype=np.float64))
                 some = np.flatnonzero(score <= np.partition(score, k - 1)[k - 1]) if len(score) > k else np.arange(len(score))
-                some = some[np.lexsort((vec_ids[some], score[some]))][:k]
-                digests += [digest] * len(some)
-                ids.append(vec_ids[some])
+                some = some[np.lexsort((vec_ids[use[some]], score[some]))][:k]
+                digests += [query["digest"]] * len(some)
+                ids.append(vec_ids[use[some]])
                 scores.append(score[some])
         columns = [pa.array(digests, pa.binary()), pa.array(np.concatenate([*ids, np.zeros(0, dtype=np.int64)]))]
         return pa.table([*columns, pa.array(np.concatenate([*scores, np.zeros(0)]))], names=["digest", "vec_id", "score"])
 
-    grouped = left.select("leaf", "b", "q", "vec_id", "blob").groupBy("leaf", "b", "q")
-    return grouped.cogroup(right.select("leaf", "b", "q", "digest", "blob").groupBy("leaf", "b", "q")).applyInArrow(
+    grouped = left.select("shelf", "b", "q", "leaf", "vec_id", "blob").groupBy("shelf", "b", "q")
+    return grouped.cogroup(right.select("shelf", "b", "q", "digest", "blob", "leaves").groupBy("shelf", "b", "q")).applyInArrow(
         search, "digest binary, vec_id long, score double"
     )
 
@@ -291,8 +319,9 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     once = F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))
     distinct = written(asked.withColumn("place", once).where(F.col("place") == 1).select("digest", "blob"), "ann-queries")
     visits = calibrated(leaves, sampled(distinct, TRIALS), trees, k)
-    walked = written(visited(distinct, trees, sizes, visits, k + 1), "ann-visits")
-    found = compared(leaves, walked, sizes, lengths, k + 1)
+    shelves = shelved(sizes, lengths)
+    walked = written(visited(distinct, trees, sizes, shelves, visits, k + 1), "ann-visits")
+    found = compared(leaves, walked, sizes, lengths, shelves, k + 1)
     rank = F.row_number().over(Window.partitionBy("digest").orderBy("score", "vec_id"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k + 1).groupBy("digest")
     best = best.agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("near"))  # k + 1 at most

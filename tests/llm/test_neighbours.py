@@ -47,7 +47,7 @@ def test_recall_on_whole_table(spark, sf_dir):
 
 
 def test_recall_over_many_leaves_and_blocks(spark, monkeypatch):
-    for name, value in (("LEAF", 20), ("BLOCK_BYTES", 1), ("BLOCK_QUERIES", 3), ("SAMPLE", 1500)):
+    for name, value in (("LEAF", 20), ("BLOCK_BYTES", 3000), ("BLOCK_QUERIES", 3), ("SAMPLE", 1500)):
         monkeypatch.setattr(neighbours, name, value)
     rows = clustered(1, 6000)
     got, want = found(spark, rows, step=50), brute(rows, step=50)
