@@ -28,20 +28,15 @@ def daily_last_prices(staged: DataFrame) -> DataFrame:
     )
 
 
-def validity_periods(
-    staged: DataFrame, settings: Settings, reports: DataFrame | None = None
-) -> DataFrame:
-    """From the report's day to the day before the next report, at most the days in force.
+def periods_of(daily: DataFrame, settings: Settings, bounds: DataFrame) -> DataFrame:
+    """Periods of daily last prices; ``bounds`` is one row with the last day of all reports (``dernier_jour``).
 
-    The window runs over days, not reports: a pair has at most one row per day and fuel name there,
-    however often it reports. ``reports`` gives the bounds without the conflict-resolution shuffle.
+    The window runs over days, not reports: a pair has at most one row per day and fuel name there, however often it reports.
     """
     history = Window.partitionBy(*PAIR).orderBy("jour", "fuel")
-    bounds = report_days(staged if reports is None else reports).select("dernier_jour")
     return (
-        daily_last_prices(staged)
-        .withColumn("suivant", F.lead("jour").over(history))
-        .crossJoin(F.broadcast(bounds))
+        daily.withColumn("suivant", F.lead("jour").over(history))
+        .crossJoin(F.broadcast(bounds.select("dernier_jour")))
         .withColumn(
             "fin",
             F.least(
@@ -54,6 +49,16 @@ def validity_periods(
     )
 
 
+def validity_periods(
+    staged: DataFrame, settings: Settings, reports: DataFrame | None = None
+) -> DataFrame:
+    """From the report's day to the day before the next report, at most the days in force.
+
+    ``reports`` gives the bounds without the conflict-resolution shuffle.
+    """
+    return periods_of(daily_last_prices(staged), settings, report_days(staged if reports is None else reports))
+
+
 def expand_periods(periods: DataFrame, settings: Settings) -> DataFrame:
     """One row per day of each period; a period that ends before it starts gives none."""
     days = F.when(F.col("fin") >= F.col("jour"), F.sequence("jour", "fin"))

@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.functions.numbers import decimal_percentile, is_suspect
-from tarifa.operators.in_force import block_day, day_blocks, report_days
+from tarifa.operators.in_force import block_day, day_blocks
 
 
-def usable_periods(periods: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
-    """Periods without suspect prices, from the first day whose window of past reports is complete."""
-    start = report_days(reports).select(F.date_add("premier_jour", settings.days_in_force).alias("debut"))
+def usable_periods(periods: DataFrame, days: DataFrame, settings: Settings) -> DataFrame:
+    """Periods without suspect prices, from the first day whose window of past reports is complete.
+
+    ``days`` is one row with the first day of all reports (``premier_jour``).
+    """
+    start = days.select(F.date_add("premier_jour", settings.days_in_force).alias("debut"))
     trusted = periods.where(~is_suspect(F.col("fuel_id"), F.col("prix_litre"), settings))
     return trusted.crossJoin(F.broadcast(start)).withColumn("jour", F.greatest("jour", "debut")).drop("debut")
 
@@ -46,10 +49,10 @@ def per_day(counted: DataFrame, keys: list[str], length: int, values: dict[str,
     return blocks.select("bloc", *keys, F.inline(F.array(*day))).withColumn("jour", block_day(length)).drop("bloc", "rang")
 
 
-def daily_medians(periods: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
+def daily_medians(periods: DataFrame, days: DataFrame, settings: Settings) -> DataFrame:
     """Median price and number of stations per day and fuel; each station counts once a day."""
     length, keys = settings.days_in_force + 1, ["fuel_id", "fuel"]
-    blocks = day_blocks(usable_periods(periods, reports, settings), length)
+    blocks = day_blocks(usable_periods(periods, days, settings), length)
     always = (F.col("prix_litre"), F.lit(True))
     found = per_day(counted_prices(blocks, keys, length), keys, length, {"prix": always})
     return found.where("n_prix > 0").select(
@@ -57,7 +60,7 @@ def daily_medians(periods: DataFrame, reports: DataFrame, settings: Settings) ->
     )
 
 
-def motorway_gap(periods: DataFrame, stations: DataFrame, reports: DataFrame, settings: Settings) -> DataFrame:
+def motorway_gap(periods: DataFrame, stations: DataFrame, days: DataFrame, settings: Settings) -> DataFrame:
     """Median on motorways minus median on roads, per day, area and fuel, where both exist.
 
     ``stations`` joins by station id; Spark broadcasts it while its size is below the session's
@@ -69,7 +72,7 @@ def motorway_gap(periods: DataFrame, stations: DataFrame, reports: DataFrame, se
         F.left(F.col("code_postal"), F.lit(2)).alias("departement"),
     )
     length, cell = settings.days_in_force + 1, ["departement", "fuel_id", "fuel"]
-    blocks = day_blocks(usable_periods(periods, reports, settings).join(dimension, "station_id"), length)
+    blocks = day_blocks(usable_periods(periods, days, settings).join(dimension, "station_id"), length)
     counted = counted_prices(blocks, [*cell, "est_autoroute"], length)
 
     def side(condition: Column) -> tuple[Column, Column]:

@@ -37,25 +37,31 @@ def latest_versions(reports: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame | None = None) -> DataFrame:
-    """One row per station with at least one price, with its activity.
-
-    Activity is first reduced to one row per (station, fuel) with map-side combine, which makes the
-    number of fuels a plain count and leaves no busy station whole.
-    """
-    by_fuel = staged.groupBy("station_id", "fuel_id").agg(
+def pair_activity(staged: DataFrame) -> DataFrame:
+    """First and last report and number of reports of each (station, fuel), reduced in the map tasks."""
+    return staged.groupBy("station_id", "fuel_id").agg(
         F.min("maj_at").alias("premier"),
         F.max("maj_at").alias("dernier"),
         F.count(F.lit(1)).alias("releves"),
     )
-    activity = by_fuel.groupBy("station_id").agg(
+
+
+def merged_activity(parts: DataFrame) -> DataFrame:
+    """The activity of several parts of the history as one."""
+    return parts.groupBy("station_id", "fuel_id").agg(
+        F.min("premier").alias("premier"), F.max("dernier").alias("dernier"), F.sum("releves").alias("releves")
+    )
+
+
+def dimension_of(activity: DataFrame, versions: DataFrame) -> DataFrame:
+    """The versions with the activity of their station. One row per (station, fuel) makes the number of fuels a plain count."""
+    by_station = activity.groupBy("station_id").agg(
         F.min("premier").alias("premier_releve_at"),
         F.max("dernier").alias("dernier_releve_at"),
         F.count("fuel_id").alias("nombre_fuels"),
         F.sum("releves").alias("nombre_releves"),
     )
-    versions = latest_versions(staged if reports is None else reports, stations)
-    return versions.join(activity, "station_id").select(
+    return versions.join(by_station, "station_id").select(
         *ATTRIBUTES,
         "premier_releve_at",
         "dernier_releve_at",
@@ -63,3 +69,9 @@ def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame
         "nombre_releves",
         "annee_version",
     )
+
+
+def station_dimension(staged: DataFrame, stations: DataFrame, reports: DataFrame | None = None) -> DataFrame:
+    """One row per station with at least one price, with its activity."""
+    versions = latest_versions(staged if reports is None else reports, stations)
+    return dimension_of(pair_activity(staged), versions)

@@ -106,7 +106,7 @@ class PriceLake:
     def daily_medians(self) -> DataFrame:
         return self._get(
             "daily_medians",
-            lambda: medians.daily_medians(self.validity_periods, self.reports, self.settings),
+            lambda: medians.daily_medians(self.validity_periods, in_force.report_days(self.reports), self.settings),
         )
 
     @property
@@ -114,7 +114,7 @@ class PriceLake:
         return self._get(
             "motorway_gap",
             lambda: medians.motorway_gap(
-                self.validity_periods, self.station_attributes, self.reports, self.settings
+                self.validity_periods, self.station_attributes, in_force.report_days(self.reports), self.settings
             ),
         )
 

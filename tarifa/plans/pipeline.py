@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-import uuid
+from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.plans.exports import export_findings, write_exports
 from tarifa.plans.lake import TABLES, PriceLake, write_tables
+from tarifa.plans.snapshots import SnapshotLog
+from tarifa.plans.years import derive_years, stored_lake
 from tarifa.quality.checks import CHECKS, run_checks
 from tarifa.sources import archives as arc
 from tarifa.sources import raw
@@ -47,17 +48,14 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
 
 
 def wanted_years(spark: SparkSession, folder: str, settings: Settings, today: dt.date) -> list[int]:
-    """Years to load: the current one, the previous one in early January, and those the lake lacks."""
-    frames = {}
-    for entity in raw.ENTITIES:
-        try:
-            frames[entity] = raw.read_raw(spark, f"{folder}/{entity}", entity=entity)
-        except AnalysisException:  # nothing has been loaded yet
-            continue
-    present = raw.present_years(frames) if len(frames) == len(raw.ENTITIES) else None
-    if present is None:
-        present = spark.createDataFrame([], "entite string, annee int")
-    return [row["annee"] for row in raw.years_to_load(present, settings, today).collect()]
+    """Years to load: the current one, the previous one in early January, and those the lake lacks.
+
+    Which years there are is known from the latest snapshot; no row is read.
+    """
+    snapshot = SnapshotLog(spark, folder).read()
+    present = [(entity, year) for entity in raw.ENTITIES for year in snapshot.years(entity)]
+    years = raw.years_to_load(spark.createDataFrame(present, "entite string, annee int"), settings, today)
+    return [row["annee"] for row in years.collect()]
 
 
 def load(
@@ -67,42 +65,63 @@ def load(
     loaded_at: dt.datetime,
     settings: Settings,
     years: list[int] | None = None,
+    absent: str = "error",
 ) -> DataFrame:
-    """Load the newest copy of each year; returns the findings. A year that fails its rules stays as it was.
+    """Load the newest copy of each year; returns the findings. Years that fail their rules stay as they were.
 
-    Without ``years`` the current year, in early January the one before, and years that the lake lacks are loaded. A file
-    whose name is none of an archive is an error: nothing below the path is passed over in silence.
+    Without ``years`` the current year, in early January the one before, and years that the lake lacks are loaded. A year
+    without an archive is a finding of the level ``absent``; as an error it stops the load before anything is read. A file whose
+    name is none of an archive is an error: nothing below the path is passed over in silence. Prices and stations become visible
+    together, by the snapshot that names both.
     """
+    log = SnapshotLog(spark, folder)
+    base = log.read()
+    run = f"{folder}/{log.new_run(base).removeprefix('/')}"
     listed = listed_archives(spark, archive_path)
     unused = [arc.source_file(F.col("path")).alias("f")]
     strangers = sorted(r["f"] for r in listed.where(F.col("jour") == "").select(*unused).collect())
     if strangers:
         raise arc.SourceError(f"no archive names: {', '.join(strangers)}")
-    chosen = newest_copies(listed, wanted_years(spark, folder, settings, loaded_at.date()) if years is None else years)
+    wanted = sorted(wanted_years(spark, folder, settings, loaded_at.date()) if years is None else set(years))
+    chosen = newest_copies(listed, wanted)
     if not chosen:
         raise arc.SourceError(f"no archive below {archive_path}")
+    found = [year for year, _ in chosen]
+    missing = raw.archive_findings(year_frame(spark, wanted), year_frame(spark, found), absent)
+    raw.require_load(missing)
     files = spark.createDataFrame([(path,) for _, path in chosen], "path string")
-    loading = spark.createDataFrame([(year,) for year, _ in chosen], "annee int")
     by_path = all(re.match(r"(?:file|hdfs|s3|gs|gcs):", path) for _, path in chosen)
     archives = files if by_path else spark.read.format("binaryFile").load([path for _, path in chosen])
-    landed = raw.land_archives(archives, F.lit(loaded_at), f"{folder}/landed", by_path)
-    prices, stations = raw.raw_prices(landed), raw.raw_stations(landed)
-    findings = raw.price_load_findings(
-        raw.price_stats(prices), settings, loaded_at.date(), loading
-    ).unionByName(raw.station_load_findings(raw.station_stats(stations), loading))
-    findings.write.mode("overwrite").parquet(f"{folder}/findings")
-    findings = spark.read.schema(findings.schema).parquet(f"{folder}/findings")
-    raw.require_load(findings)
-    raw.write_raw(prices, f"{folder}/prix")
-    raw.write_raw(stations, f"{folder}/stations")
-    remove_folder(spark, f"{folder}/landed")
+    try:
+        landed = raw.land_archives(archives, F.lit(loaded_at), f"{run}/landed", by_path)
+        prices, stations = raw.raw_prices(landed), raw.raw_stations(landed)
+        loading = year_frame(spark, found)
+        findings = (
+            raw.price_load_findings(raw.price_stats(prices), settings, loaded_at.date(), loading)
+            .unionByName(raw.station_load_findings(raw.station_stats(stations), loading))
+            .unionByName(missing)
+        )
+        findings.write.parquet(f"{run}/findings")
+        findings = spark.read.schema(findings.schema).parquet(f"{run}/findings")
+        raw.require_load(findings)
+        written = {}
+        for entity, rows in (("prix", prices), ("stations", stations)):
+            raw.write_raw(rows, f"{run}/{entity}")
+            written[entity] = log.partitions(f"{run.removeprefix(folder + '/')}/{entity}")
+        log.commit(base.with_raw(written))
+    finally:
+        remove_folder(spark, f"{run}/landed")
     return findings
 
 
+def year_frame(spark: SparkSession, years: list[int]) -> DataFrame:
+    return spark.createDataFrame([(year,) for year in years], "annee int")
+
+
 def open_lake(spark: SparkSession, folder: str, settings: Settings | None = None) -> PriceLake:
-    return PriceLake(
-        raw.read_raw(spark, f"{folder}/prix"), raw.read_raw(spark, f"{folder}/stations", entity="stations"), settings
-    )
+    """The raw years of the latest snapshot, both entities of one version."""
+    log = SnapshotLog(spark, folder)
+    return stored_lake(spark, log, replace(log.read(), tables={}), settings)
 
 
 #: Checks of the raw layer, which must hold before its values are read as times and numbers.
@@ -120,25 +139,49 @@ def checked(lake: PriceLake, names: list[str], folder: str, mode: str) -> DataFr
 
 
 def build(lake: PriceLake, folder: str) -> tuple[PriceLake, DataFrame]:
-    """Check the raw layer, write the tables into a folder of this run, check them, and only then switch to them.
+    """Check the raw layer, write the tables of the whole lake, check them, and only then make them visible in a snapshot.
 
     A failed check leaves the tables of the last good run in place; ``open_tables`` reads those.
     """
-    spark = lake.raw_prices.sparkSession
-    run = f"tables-{uuid.uuid4().hex}"
+    log = SnapshotLog(lake.raw_prices.sparkSession, folder)
+    base = log.read()
+    run = log.new_run(base)
     checked(lake, SOURCE_CHECKS, f"{folder}/checks", "overwrite")
     stored = write_tables(lake, f"{folder}/{run}")
     results = checked(stored, [name for name in CHECKS if name not in SOURCE_CHECKS], f"{folder}/checks", "append")
-    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(f"{folder}/current")
+    names = ["staged_prices", "staged_stations", *TABLES]
+    log.commit(replace(base, tables={name: {"all": f"{run}/{name}"} for name in names}, keys={}))
     return stored, results
 
 
+def refresh(spark: SparkSession, folder: str, settings: Settings | None = None) -> tuple[PriceLake, list[str]]:
+    """Bring the tables up to date by year; returns the lake and the parts that were derived.
+
+    The raw checks run on the years whose folders are new, the other checks on the tables; as in ``build``, nothing is visible
+    before all hold.
+    """
+    settings = settings or Settings()
+    log = SnapshotLog(spark, folder)
+    base = log.read()
+    new = {
+        entity: {year: path for year, path in base.raw.get(entity, {}).items() if base.keys.get(f"{table}/{year}") != path}
+        for entity, table in (("prix", "staged_prices"), ("stations", "staged_stations"))
+    }
+    if new["prix"]:
+        checked(stored_lake(spark, log, replace(base, raw=new, tables={}), settings), SOURCE_CHECKS, f"{folder}/checks", "overwrite")
+    parts = derive_years(log, base, settings)
+    after = replace(base, tables=parts.tables, keys=parts.keys)
+    stored = stored_lake(spark, log, after, settings)
+    checked(stored, [name for name in CHECKS if name not in SOURCE_CHECKS], f"{folder}/checks", "append" if new["prix"] else "overwrite")
+    log.commit(after)
+    return stored, parts.written
+
+
 def open_tables(lake: PriceLake, folder: str) -> PriceLake:
     """The lake with the tables of the last run that passed its checks."""
-    spark = lake.raw_prices.sparkSession
-    run = spark.read.schema("run string").json(f"{folder}/current").first()["run"]
-    names = ["staged_prices", "staged_stations", *TABLES]
-    return lake.with_relations(**{name: spark.read.parquet(f"{folder}/{run}/{name}") for name in names})
+    log = SnapshotLog(lake.raw_prices.sparkSession, folder)
+    tables = log.read().tables
+    return lake.with_relations(**{name: log.frame(tables[name]) for name in ["staged_prices", "staged_stations", *TABLES]})
 
 
 def publish(

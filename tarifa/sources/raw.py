@@ -217,6 +217,16 @@ def station_load_findings(stats: DataFrame, years: DataFrame | None = None) -> D
     )
 
 
+def archive_findings(wanted: DataFrame, found: DataFrame, level: str = "error") -> DataFrame:
+    """A finding for each year (column annee) that is to be loaded and has no archive."""
+    return wanted.distinct().join(found, "annee", "left_anti").select(
+        F.col("annee").cast("smallint").alias("_source_year"),
+        F.lit(level).alias("niveau"),
+        F.lit("no_archive").alias("regle"),
+        F.lit(0).cast("bigint").alias("valeur"),
+    )
+
+
 def require_load(findings: DataFrame) -> None:
     """Stop when a finding is an error. All failed rules are named, each with its years (one row per rule)."""
     errors = findings.where(F.col("niveau") == "error").groupBy("regle")

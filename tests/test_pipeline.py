@@ -2,17 +2,21 @@
 
 import datetime as dt
 import zipfile
+from dataclasses import replace
 
 import pytest
 
 from tarifa.config import FUELS, Settings
 from tarifa.plans import pipeline
+from tarifa.plans.lake import TABLES
+from tarifa.plans.snapshots import SnapshotConflict, SnapshotLog
+from tarifa.plans.years import derive_years, stored_lake
 from tarifa.sources import archives as arc
 
 LOADED = dt.datetime(2025, 2, 10, 6, 0, tzinfo=dt.timezone.utc)
 
 
-def write_archive(folder, year, day, bad_price=None):
+def write_archive(folder, year, day, bad_price=None, late=False):
     stations = []
     for pdv in range(1, 5):
         kind = "A" if pdv % 2 else "R"
@@ -21,6 +25,8 @@ def write_archive(folder, year, day, bad_price=None):
             for step in range(10):
                 at = dt.datetime(year, 1, 1, 8) + dt.timedelta(days=4 * step, minutes=pdv)
                 price = bad_price or f"{0.8 + (fuel not in (3, 4)) + 0.01 * ((pdv + step) % 3):.3f}"
+                if late and step == 9 and year < 2026:  # a price that holds beyond the end of the year
+                    at = dt.datetime(year, 12, 28, 9, pdv)
                 tags.append(f'<prix nom="{name}" id="{fuel}" maj="{at.isoformat()}" valeur="{price}"/>')
         stations.append(
             f'<pdv id="{pdv}" latitude="4620100" longitude="519800" cp="0100{pdv}" pop="{kind}">'
@@ -110,3 +116,95 @@ def test_unreadable_time_is_a_failed_check_and_the_old_tables_stay(spark, tmp_pa
     stored = {r["controle"]: r["statut"] for r in spark.read.parquet(f"{folder}/checks").collect()}
     assert stored["maj_parsable"] == "fail"
     assert pipeline.open_tables(lake, folder).current_prices.collect() == before
+
+
+def test_year_without_archive_stops_the_load(spark, tmp_path):
+    source, folder = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    write_archive(source, 2026, "20260215")
+    with pytest.raises(arc.SourceError, match="no_archive: 2024, 2025"):
+        pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2024, 2025, 2026])
+    assert SnapshotLog(spark, folder).read().number == 0
+    found = pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2025, 2026], absent="warn")
+    assert ("warn", "no_archive", 2025) in {(r["niveau"], r["regle"], r["_source_year"]) for r in found.collect()}
+
+
+def test_failure_between_the_entities_leaves_the_old_pair(spark, tmp_path, monkeypatch):
+    source, folder = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    write_archive(source, 2025, "20250210")
+    pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2025])
+    before = [sorted(map(repr, f.collect())) for f in raw_frames(spark, folder)]
+    write_archive(source, 2025, "20250211", bad_price="1.999")
+    write_raw = pipeline.raw.write_raw
+
+    def broken(rows, target):
+        if target.endswith("/stations"):
+            raise OSError("disk")
+        write_raw(rows, target)
+
+    monkeypatch.setattr(pipeline.raw, "write_raw", broken)
+    with pytest.raises(OSError, match="disk"):
+        pipeline.load(spark, str(source), folder, LOADED, Settings(), years=[2025])
+    assert [sorted(map(repr, f.collect())) for f in raw_frames(spark, folder)] == before
+    assert not list((tmp_path / "lake").glob("data/*/landed"))
+
+
+def raw_frames(spark, folder):
+    lake = pipeline.open_lake(spark, folder)
+    return lake.raw_prices, lake.raw_stations
+
+
+def test_snapshots_conflict_and_clean_up(spark, tmp_path):
+    log = SnapshotLog(spark, str(tmp_path / "lake"))
+    start = log.read()
+    for n in range(4):
+        run = log.new_run(log.read())
+        spark.range(n + 1).write.parquet(f"{log.folder}/{run}/t")
+        log.commit(replace(log.read(), tables={"t": {"all": f"{run}/t"}}))
+    with pytest.raises(SnapshotConflict):
+        log.commit(start)
+    lost = log.new_run(start)  # of a run that failed
+    spark.range(1).write.parquet(f"{log.folder}/{lost}/t")
+    going_on = log.new_run(log.read())
+    spark.range(1).write.parquet(f"{log.folder}/{going_on}/t")
+    removed = log.clean(keep=2)
+    assert log.numbers() == [3, 4] and len(removed) == 3 and lost in removed and going_on not in removed
+    assert [log.frame(log.read(n).tables["t"]).count() for n in (3, 4)] == [3, 4]
+
+
+def table_rows(lake):
+    return {name: sorted(map(repr, getattr(lake, name).collect())) for name in TABLES}
+
+
+def test_refresh_derives_only_replaced_years(spark, tmp_path):
+    """The middle one of three years is replaced: raw folders of the others and reports of the first are gone by then."""
+    replaced = 2025
+    source, folder = tmp_path / "in", str(tmp_path / "lake")
+    source.mkdir()
+    settings = Settings(first_year=2024)
+    later = dt.datetime(2026, 3, 1, tzinfo=dt.timezone.utc)
+    for year in (2024, 2025, 2026):
+        write_archive(source, year, "20260210", late=True)
+    pipeline.load(spark, str(source), folder, later, settings)
+    whole = pipeline.open_lake(spark, folder, settings)
+    stored, written = pipeline.refresh(spark, folder, settings)
+    assert table_rows(stored) == table_rows(whole)
+    assert pipeline.refresh(spark, folder, settings)[1] == []
+    write_archive(source, replaced, "20260211", bad_price="1.234", late=True)
+    pipeline.load(spark, str(source), folder, later, settings, years=[replaced])
+    expected = table_rows(pipeline.open_lake(spark, folder, settings))
+    log = SnapshotLog(spark, folder)
+    for year, path in log.read().raw["prix"].items():
+        others = [path] if int(year) != replaced else []
+        if int(year) < replaced:
+            others.append(log.read().tables["staged_prices"][year])
+        for other in others:
+            for file in (tmp_path / "lake" / other).glob("*.parquet"):
+                file.write_bytes(b"not to be read")
+    base = log.read()
+    parts = derive_years(log, base, settings)
+    lake = stored_lake(spark, log, replace(base, tables={name: parts.tables[name] for name in TABLES}), settings)
+    assert table_rows(lake) == expected
+    assert {name.split("/")[1] for name in parts.written if name.startswith("staged_prices")} == {str(replaced)}
+    assert not [name for name in parts.written if name.split("/")[1] != "all" and int(name.split("/")[1]) < replaced]
