@@ -366,16 +366,13 @@ GAP_SERIES = f"""
           GROUP BY fuel_id) AS d
       ON d.fuel_id = s.fuel_id"""
 
-FIGURES = {
-    "prix_actuels": "current_prices", "prix_suspects": "current_prices WHERE est_prix_suspect",
-    "prix_actuels_recents": "current_prices WHERE nombre_jours_depuis_maj < 8",
-    "changements_de_prix": "price_changes", "stations": "stations",
-}
-MARKED = " UNION ALL ".join(f"SELECT '{name}' AS figure FROM {rows}" for name, rows in FIGURES.items())
 VOLUMES = f"""
-    SELECT (SELECT DISTINCT {stamp("reference_at")} FROM current_prices) AS reference_at,
-        {", ".join(f"CAST(len(list_filter(f, lambda x: x = '{name}')) AS BIGINT) AS {name}" for name in FIGURES)}
-    FROM (SELECT list(figure) AS f FROM ({MARKED}))"""
+    SELECT (SELECT {stamp("max(reference_at)")} FROM current_prices) AS reference_at,
+        (SELECT count(*) FROM current_prices) AS prix_actuels,
+        (SELECT count(*) FROM current_prices WHERE est_prix_suspect) AS prix_suspects,
+        (SELECT count(*) FROM current_prices WHERE nombre_jours_depuis_maj <= 7) AS prix_actuels_recents,
+        (SELECT count(*) FROM price_changes) AS changements_de_prix,
+        (SELECT count(*) FROM stations) AS stations"""
 
 # Fuels, the header of the station export, and the constant tail of the metadata.
 FUEL_ROWS = "(VALUES (1, 'Gazole'), (2, 'SP95'), (3, 'E85'), (4, 'GPLc'), (5, 'E10'), (6, 'SP98'))"
@@ -386,9 +383,7 @@ HEADER_TAIL = (
 
 
 def metadata() -> str:
-    from tarifa.plans.exports import READING_RULES
-
-    rules = ",".join(f'"{rule}"' for rule in READING_RULES).replace("'", "''")
+    rules = '"First rule of the caller.","A \\"second\\" one."'
     tail = (
         '},"source":{"producteur":"test tables","licence":"none"},"fuels":{"1":"Gazole","2":"SP95",'
         '"3":"E85","4":"GPLc","5":"E10","6":"SP98"},"regles_de_lecture":[' + rules + "],"
@@ -445,7 +440,7 @@ def figures(relation: str, total: str, others: dict[str, str]) -> str:
         f" LEFT JOIN (SELECT _source_year, count(*) AS {name} FROM ({rows}) GROUP BY _source_year) USING (_source_year)"
         for name, rows in others.items()
     )
-    whole = f"(SELECT _source_year, count(*) AS {total} FROM {relation} GROUP BY _source_year)"
+    whole = f"(SELECT _source_year, count(*) AS {total} FROM {relation} GROUP BY _source_year) AS y"
     return f"SELECT _source_year, {total}{names}{{more}} FROM {whole}{sides}"
 
 
@@ -463,7 +458,6 @@ PRICE_STATS = figures(
     more=", (SELECT min(maj) FROM raw_prices AS r WHERE r._source_year = y._source_year) AS premier,"
     " (SELECT max(maj) FROM raw_prices AS r WHERE r._source_year = y._source_year) AS dernier"
 )
-PRICE_STATS = f"SELECT * FROM ({PRICE_STATS.replace('GROUP BY _source_year) LEFT', 'GROUP BY _source_year) AS y LEFT', 1)})"
 STATION_STATS = figures(
     "raw_stations",
     "stations",
@@ -472,7 +466,7 @@ STATION_STATS = figures(
         "sans_adresse": "SELECT _source_year FROM raw_stations WHERE length(trim(coalesce(adresse, ''))) = 0",
         "sans_ville": "SELECT _source_year FROM raw_stations WHERE length(trim(coalesce(ville, ''))) = 0",
         "sans_coordonnees": "SELECT _source_year FROM raw_stations"
-        " WHERE length(coalesce(latitude, '')) * length(coalesce(longitude, '')) = 0",
+        " WHERE coalesce(latitude, '') = '' OR coalesce(longitude, '') = ''",
     },
 ).format(more="")
 DAMAGED_STATIONS = f"""
@@ -555,16 +549,16 @@ def checks() -> dict[str, str]:
         "maj_parsable": on_reports(
             pick(RAW_REPORT, "raw_prices")
             + " WHERE prix_id IS NOT NULL AND try_cast(maj AS TIMESTAMP) IS NULL",
-            "5", "1.200", maj="'2025-13-45T25:00:00'",
+            "5", "1.200", maj="'2024-02-30T08:61:00'",
         ),
         "maj_in_file_year": on_reports(
             pick(RAW_REPORT, "raw_prices") + " WHERE year(CAST(maj AS TIMESTAMP)) <> _source_year",
-            "4", "1.300", maj="'1990-06-01T10:00:00'",
+            "4", "1.300", maj="'1987-11-05T07:15:00'",
         ),
         "not_in_future": on_reports(
             pick("station_id fuel maj_at _loaded_at _source_file", "staged_prices")
             + " WHERE maj_at > _loaded_at",
-            "4", "1.300", maj="'2099-12-31T12:00:00'",
+            "4", "1.300", maj="'2051-07-14T09:30:00'",
         ),
         "empty_tags_alone": lake(
             """SELECT * FROM (SELECT pdv_id, _source_year, count(*) - count(prix_id) AS balises_vides,
@@ -695,78 +689,142 @@ CLEAN_LAKE = {
 }
 
 
-# Check and defect of each row.
-DEFECTS = [
-    ("maj_parsable", "unreadable time"), ("maj_in_file_year", "report of another year"),
-    ("empty_tags_alone", "empty tag beside prices"), ("spring_gap_hour", "report in the missing hour"),
-    ("conflicts_rare", "too many conflicts"), ("staging_keeps_reports", "fuel lost in staging"),
-    ("unique_staging", "conflicts not resolved"), ("price_range", "price in thousandths"),
-    ("unique_station_year", "station listed twice"), ("stations_in_bounds", "coordinates swapped"),
-    ("mart_stations_in_bounds", "coordinates at zero"), ("changes_differ", "repeats kept"),
-    ("one_first_report", "history by station only"), ("unique_current", "two last prices kept"),
-    ("current_equals_last_change", "first price taken"), ("age_not_negative", "reference at the first report"),
-    ("not_in_future", "report after its load"), ("no_mojibake", "repair removed"),
-    ("medians_station_bound", "period one day too long"), ("suspect_share", "E85 at petrol price"),
-]
-
-
-def defects() -> str:
-    """Offending rows of each check after its own defect; a defect in one row or total gives one."""
-    first = """concat_ws('|', pdv_id, prix_id, maj) = (SELECT concat_ws('|', pdv_id, prix_id, maj)
-        FROM raw_prices_0 ORDER BY pdv_id, prix_id, maj LIMIT 1)"""
-
-    def rows(query: str, **changed: str) -> str:
-        return lake(f"SELECT count(*) AS n FROM ({query})", CLEAN_LAKE, **changed)
-
-    def on_first(query: str, **values: str) -> str:
-        return rows(query, raw_prices=where("raw_prices", first, **values))
-
-    one = "SELECT 1 AS n"
-    counts = [
-        on_first("SELECT * FROM raw_prices WHERE try_cast(maj AS TIMESTAMP) IS NULL", maj="'2025-13-45T25:00:00'"),
-        on_first("SELECT * FROM raw_prices WHERE year(CAST(maj AS TIMESTAMP)) <> _source_year", maj="'1990-06-01T10:00:00'"),
-        one,
-        on_first("SELECT * FROM raw_prices WHERE maj LIKE '2025-03-30T02:%'", maj="'2025-03-30T02:30:00'"),
-        one,
-        one,
-        rows("SELECT 1 FROM reports GROUP BY station_id, fuel_id, maj_at HAVING count(*) > 1"),
-        on_first("SELECT * FROM staged_prices WHERE prix_litre > 4", valeur="'1638'"),
-        one,
-        one,
-        one,
-        rows("SELECT * FROM price_changes WHERE NOT est_premier_releve"),
-        lake(
-            "SELECT count(DISTINCT (station_id, fuel_id)) - count(DISTINCT station_id) AS n FROM staged_prices",
-            CLEAN_LAKE,
-        ),
-        rows("SELECT 1 FROM staged_prices GROUP BY station_id, fuel_id HAVING count(*) > 1"),
-        rows(
-            """SELECT 1 FROM staged_prices GROUP BY station_id, fuel_id
-               HAVING arg_min(prix_litre, maj_at) <> arg_max(prix_litre, maj_at)"""
-        ),
-        rows(
-            f"""SELECT 1 FROM current_prices WHERE CAST({paris("maj_at")} AS DATE) > (
-                SELECT CAST({paris("min(maj_at)")} AS DATE) FROM staged_prices)"""
-        ),
-        on_first("SELECT * FROM staged_prices WHERE maj_at > _loaded_at", maj="'2099-12-31T12:00:00'"),
-        one,
-        rows(
+# The pair whose rows are damaged.
+STATION = f"(SELECT min(CAST(pdv_id AS INTEGER)) FROM ({EVENT_REPORTS}))"
+PRODUCT = f"(SELECT min(CAST(prix_id AS INTEGER)) FROM ({EVENT_REPORTS}) WHERE CAST(pdv_id AS INTEGER) = {STATION})"
+RAW_HIT = f"CAST(pdv_id AS INTEGER) = {STATION} AND CAST(prix_id AS INTEGER) = {PRODUCT}"
+HIT = f"station_id = {STATION} AND fuel_id = {PRODUCT}"
+PLACE_HIT = f"station_id = {STATION}"
+
+
+def proofs() -> str:
+    """What each check counts on the clean relations and on one damaged relation."""
+
+    def more(relation: str, condition: str, copies: int = 1) -> str:
+        return f"""SELECT * FROM {relation}_0 UNION ALL
+            SELECT r.* FROM {relation}_0 AS r, range({copies}) WHERE {condition}"""
+
+    def double(relation: str, keys: str) -> str:
+        return f"SELECT {keys} FROM {relation} GROUP BY ALL HAVING count(*) > 1"
+
+    distinct = "SELECT DISTINCT pdv_id, prix_id, maj FROM raw_prices WHERE prix_id IS NOT NULL"
+    last_change = "SELECT station_id, fuel_id, arg_max(prix_litre, maj_at) AS p FROM price_changes GROUP BY ALL"
+    tags = f"""SELECT * FROM raw_prices_0 UNION ALL
+        SELECT * REPLACE (NULL AS prix_id, NULL AS prix_nom, NULL AS maj, NULL AS valeur) FROM raw_prices_0 WHERE {RAW_HIT}"""
+    found: dict[str, tuple[str, str, str]] = {
+        "maj_parsable": (
+            "raw_prices", where("raw_prices", RAW_HIT, maj="reverse(maj)"),
+            "SELECT 1 FROM raw_prices WHERE prix_id IS NOT NULL AND try_cast(maj AS TIMESTAMP) IS NULL",
+        ),
+        "maj_in_file_year": (
+            "raw_prices", where("raw_prices", RAW_HIT, _source_year="_source_year + 1"),
+            "SELECT 1 FROM raw_prices WHERE year(CAST(maj AS TIMESTAMP)) <> _source_year",
+        ),
+        "not_in_future": (
+            "staged_prices", where("staged_prices", HIT, _loaded_at="maj_at - INTERVAL 1 DAY"),
+            "SELECT 1 FROM staged_prices WHERE maj_at > _loaded_at",
+        ),
+        "empty_tags_alone": (
+            "raw_prices", tags,
+            """SELECT 1 FROM raw_prices GROUP BY pdv_id, _source_year
+               HAVING count(*) > count(prix_id) AND (count(*) - count(prix_id) > 1 OR count(prix_id) > 0)""",
+        ),
+        "spring_gap_hour": (
+            "raw_prices", where("raw_prices", RAW_HIT, maj="'2024-03-31T02' || substr(maj, 14, 6)"),
+            "SELECT 1 FROM raw_prices WHERE maj LIKE '2024-03-31T02:%'",
+        ),
+        "conflicts_rare": (
+            "raw_prices", more("raw_prices", RAW_HIT, 11),
+            f"SELECT 1 FROM raw_prices WHERE prix_id IS NOT NULL HAVING count(*) - (SELECT count(*) FROM ({distinct})) > 10",
+        ),
+        "staging_keeps_reports": (
+            "staged_prices", f"SELECT * FROM staged_prices_0 WHERE NOT ({HIT})",
+            f"SELECT 1 FROM staged_prices HAVING count(*) <> (SELECT count(*) FROM ({distinct}))",
+        ),
+        "unique_staging": ("staged_prices", more("staged_prices", HIT), double("staged_prices", "station_id, fuel_id, maj_at")),
+        "price_range": (
+            "staged_prices", where("staged_prices", HIT, prix_litre="4.001"),
+            "SELECT 1 FROM staged_prices WHERE prix_litre NOT BETWEEN 0.30 AND 4",
+        ),
+        "unique_station_year": (
+            "staged_stations", more("staged_stations", PLACE_HIT), double("staged_stations", "station_id, _source_year")
+        ),
+        "stations_in_bounds": (
+            "staged_stations", where("staged_stations", PLACE_HIT, latitude="52.5"),
+            """SELECT 1 FROM staged_stations SEMI JOIN staged_prices USING (station_id, _source_year)
+               WHERE (latitude BETWEEN 41 AND 51.5 AND longitude BETWEEN -5.5 AND 10) IS NOT TRUE""",
+        ),
+        "mart_stations_in_bounds": (
+            "stations", where("stations", PLACE_HIT, longitude="-6.5"),
+            "SELECT 1 FROM stations WHERE latitude NOT BETWEEN 41 AND 51.5 OR longitude NOT BETWEEN -5.5 AND 10",
+        ),
+        "changes_differ": (
+            "price_changes", where("price_changes", HIT, prix_precedent="prix_litre", est_premier_releve="FALSE"),
+            "SELECT 1 FROM price_changes WHERE NOT est_premier_releve AND (prix_precedent IS NULL OR prix_precedent = prix_litre)",
+        ),
+        "one_first_report": (
+            "price_changes", where("price_changes", HIT, est_premier_releve="FALSE"),
+            """SELECT 1 FROM (SELECT DISTINCT station_id, fuel_id, 0 AS n FROM staged_prices
+                   UNION ALL SELECT station_id, fuel_id, 1 FROM price_changes WHERE est_premier_releve)
+               GROUP BY station_id, fuel_id HAVING sum(n) <> 1""",
+        ),
+        "unique_current": ("current_prices", more("current_prices", HIT), double("current_prices", "station_id, fuel_id")),
+        "current_equals_last_change": (
+            "current_prices", where("current_prices", HIT, prix_litre="prix_litre + 0.001"),
+            f"SELECT 1 FROM current_prices LEFT JOIN ({last_change}) USING (station_id, fuel_id) WHERE p IS NULL OR p <> prix_litre",
+        ),
+        "age_not_negative": (
+            "current_prices", where("current_prices", HIT, nombre_jours_depuis_maj="-1 - nombre_jours_depuis_maj"),
+            "SELECT 1 FROM current_prices WHERE nombre_jours_depuis_maj < 0",
+        ),
+        "medians_station_bound": (
+            "daily_medians", where("daily_medians", f"fuel_id = {PRODUCT}", nombre_stations="nombre_stations + 1099511627776"),
             """SELECT 1 FROM daily_medians AS m JOIN (
                    SELECT c.jour, d.fuel_id, count(DISTINCT d.station_id) AS n
                    FROM calendar AS c JOIN daily AS d ON d.jour >= c.jour - 7 AND d.jour <= c.jour
                    GROUP BY c.jour, d.fuel_id) AS p
                  ON p.jour = m.jour AND p.fuel_id = m.fuel_id
                WHERE m.nombre_stations > p.n""",
-            prices_in_force=TOO_LONG,
         ),
-        one,
-    ]
-    parts = [
-        f"""SELECT '{check}' AS controle, '{defect}' AS defaut, CAST(0 AS BIGINT) AS temoin,
-            CAST(n AS BIGINT) AS violations, '{"warn" if check == "suspect_share" else "fail"}' AS statut,
-            n > 0 AS detecte FROM ({count})"""
-        for (check, defect), count in zip(DEFECTS, counts, strict=True)
-    ]
+        "no_mojibake": (
+            "staged_stations", where("staged_stations", PLACE_HIT, adresse="'Ã' || chr(169) || adresse"),
+            "SELECT 1 FROM staged_stations WHERE regexp_matches(coalesce(adresse, '') || ' ' || coalesce(ville, ''), 'Ã[\\x{80}-\\x{BF}]')",
+        ),
+        "suspect_share": (
+            "current_prices", where("current_prices", f"fuel_id = {PRODUCT}", est_prix_suspect="TRUE"),
+            "SELECT 1 FROM current_prices HAVING count(*) FILTER (est_prix_suspect) > 0.01 * count(*)",
+        ),
+        "not_null": ("staged_prices", where("staged_prices", HIT, fuel="NULL"), not_null()),
+        "accepted_values": (
+            "staged_prices", where("staged_prices", HIT, fuel_id="7"),
+            " UNION ALL ".join([
+                unexpected("raw_prices", "prix_id", "'1', '2', '3', '4', '5', '6'"),
+                unexpected("raw_stations", "pop", "'R', 'A', 'N'"),
+                unexpected("staged_prices", "fuel_id", "1, 2, 3, 4, 5, 6"),
+                unexpected("staged_prices", "fuel", NAMES),
+            ]),
+        ),
+        "relationships": (
+            "current_prices", where("current_prices", PLACE_HIT, station_id="-station_id"),
+            " UNION ALL ".join([
+                childless("staged_prices", "staged_stations"),
+                childless("price_changes", "stations"),
+                childless("current_prices", "stations"),
+            ]),
+        ),
+        "unique_station": ("stations", more("stations", PLACE_HIT), double("stations", "station_id")),
+    }
+    # A damaged relation is a stored one: what derives from it keeps its old rows.
+    parts = []
+    for name, (relation, damaged, query) in found.items():
+        counted = f"SELECT count(*) AS n FROM ({query})"
+        on_damaged = re.sub(rf"\b{relation}\b", "damaged", counted)
+        broken = lake(on_damaged, CLEAN_LAKE, damaged=damaged.replace(f"{relation}_0", relation))
+        parts.append(
+            f"""SELECT '{name}' AS controle, '{relation}' AS relation, a.n AS temoin, b.n AS violations,
+                CASE WHEN b.n = 0 THEN 'pass' ELSE '{"warn" if name == "suspect_share" else "fail"}' END AS statut, b.n > a.n AS detecte
+            FROM ({lake(counted, CLEAN_LAKE)}) AS a, ({broken}) AS b"""
+        )
     return " UNION ALL ".join(parts)
 
 
@@ -844,7 +902,9 @@ def oracle() -> dict[str, str]:
                 UNION ALL SELECT 'warn', 'empty_price_tags', s.prix_vides WHERE s.prix_vides > 0
                 UNION ALL SELECT 'warn', 'outside_year', s.hors_annee WHERE s.hors_annee > 0
                 UNION ALL SELECT 'warn', 'stale', DATE '2024-12-31' - CAST(left(s.dernier, 10) AS DATE)
-                    WHERE DATE '2024-12-31' - CAST(left(s.dernier, 10) AS DATE) > 2)""",
+                    WHERE DATE '2024-12-31' - CAST(left(s.dernier, 10) AS DATE) > 2)
+                WHERE _source_year = 2024
+                UNION ALL VALUES (2022, 'error', 'no_dated_report', 0), (2021, 'error', 'no_archive', 0)""",
             years,
         ),
         "raw_station_stats": lake(STATION_STATS, {"raw_stations": DAMAGED_STATIONS}),
@@ -853,7 +913,8 @@ def oracle() -> dict[str, str]:
                 CROSS JOIN LATERAL (SELECT 'duplicated_ids' AS regle, s.stations - s.identifiants AS valeur
                 UNION ALL SELECT 'sans_adresse', s.sans_adresse
                 UNION ALL SELECT 'sans_ville', s.sans_ville
-                UNION ALL SELECT 'sans_coordonnees', s.sans_coordonnees) WHERE valeur > 0""",
+                UNION ALL SELECT 'sans_coordonnees', s.sans_coordonnees) WHERE valeur > 0
+                UNION ALL VALUES (2023, 'error', 'no_station', 0)""",
             {"raw_stations": DAMAGED_STATIONS},
         ),
         "missing_years": """SELECT CAST(y AS INTEGER) AS annee, 'missing' AS raison FROM range(1992, 2000) AS t(y)
@@ -934,6 +995,6 @@ def oracle() -> dict[str, str]:
         ),
         "missing_fuels": lake(MISSING_FUELS),
         "unknown_fuels": lake(UNKNOWN_FUELS, **BROKEN),
-        "defect_injection": defects(),
+        "defect_injection": proofs(),
         **{f"dq_{name}": sql for name, sql in checks().items()},
     }

@@ -22,7 +22,7 @@ from tarifa.functions.time import (
 from tarifa.operators import medians, retention, sampling
 from tarifa.plans import exports
 from tarifa.plans.lake import TABLES, PriceLake, write_tables
-from tarifa.quality import defects
+from tarifa.quality import defects, proofs
 from tarifa.quality.checks import CHECKS
 from tarifa.session import scratch_folder
 from tarifa.sources import archives as arc
@@ -31,6 +31,7 @@ from tarifa.sources import raw, run_results
 TODAY = dt.date(2001, 1, 10)
 NOW = dt.datetime(2024, 2, 15, 12, 0, 0)
 SOURCE = {"producteur": "test tables", "licence": "none"}
+RULES = ["First rule of the caller.", "A \"second\" one."]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,8 +129,12 @@ def raw_price_stats_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_price_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of a load of 2021 to 2025, with an archive for each year but 2021 and no record in that of 2022."""
     stats = raw.price_stats(m.event_prices(spark, sf_dir, days=340))
-    return raw.price_load_findings(stats, m.SETTINGS, dt.date(2024, 12, 31))
+    wanted = spark.range(2021, 2026).select(F.col("id").cast("int").alias("annee"))
+    found = wanted.where("annee <> 2021")
+    loaded = raw.price_load_findings(stats, m.SETTINGS, dt.date(2024, 12, 31), found.where("annee in (2022, 2024)"))
+    return loaded.unionByName(raw.archive_findings(wanted, found))
 
 
 def damaged_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +152,9 @@ def raw_station_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_station_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.station_load_findings(raw.station_stats(damaged_stations(spark, sf_dir)))
+    """The stations' year, and a year whose archive has no record."""
+    years = spark.createDataFrame([(2024,), (2023,)], "annee int")
+    return raw.station_load_findings(raw.station_stats(damaged_stations(spark, sf_dir)), years)
 
 
 def missing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +325,7 @@ def export_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports.metadata_document(m.event_lake(spark, sf_dir), NOW, SOURCE)
+    return exports.metadata_document(m.event_lake(spark, sf_dir), NOW, SOURCE, rules=RULES)
 
 
 def broken_lake(spark: SparkSession, sf_dir: str) -> PriceLake:
@@ -416,7 +423,7 @@ def unchanged(lake: PriceLake) -> PriceLake:
     return lake
 
 
-BAD_TIME = "2025-13-45T25:00:00"
+BAD_TIME = "2024-02-30T08:61:00"
 
 
 def swapped_towns(lake: PriceLake) -> PriceLake:
@@ -434,8 +441,8 @@ def zero_towns(lake: PriceLake) -> PriceLake:
 # Check, lake options, damage.
 DAMAGED = {
     "maj_parsable": (m.event_lake, {}, on_reports("5", "1.200", maj=BAD_TIME)),
-    "maj_in_file_year": (m.event_lake, {}, on_reports("4", "1.300", maj="1990-06-01T10:00:00")),
-    "not_in_future": (m.event_lake, {}, on_reports("4", "1.300", maj="2099-12-31T12:00:00")),
+    "maj_in_file_year": (m.event_lake, {}, on_reports("4", "1.300", maj="1987-11-05T07:15:00")),
+    "not_in_future": (m.event_lake, {}, on_reports("4", "1.300", maj="2051-07-14T09:30:00")),
     "empty_tags_alone": (m.event_lake, {}, tags_beside_prices),
     "spring_gap_hour": (m.event_lake, {"days": 80}, unchanged),
     "conflicts_rare": (m.event_lake, {}, unchanged),
@@ -473,7 +480,7 @@ def check_query(name: str) -> Query:
 
 
 def defect_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return defects.run_scenarios(m.clean_lake(spark, sf_dir))
+    return proofs.run_proofs(write_tables(m.clean_lake(spark, sf_dir), scratch_folder(spark, "proofs")))
 
 
 def registry() -> dict[str, Query]:

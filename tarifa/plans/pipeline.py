@@ -190,13 +190,14 @@ def publish(
     generated_at: dt.datetime,
     source: dict[str, str],
     run: DataFrame | None = None,
+    rules: list[str] | None = None,
 ) -> DataFrame:
-    """Check the export rules, then write the exports; returns the findings."""
+    """Check the export rules, then write the exports, with the reading ``rules`` of the caller; returns the findings."""
     findings = export_findings(lake, generated_at)
     errors = [r["regle"] for r in findings.where(F.col("niveau") == "error").collect()]
     if errors:
         raise CheckError(", ".join(sorted(errors)))
-    write_exports(lake, folder, generated_at, source, run)
+    write_exports(lake, folder, generated_at, source, run, rules)
     return findings
 
 

@@ -1,15 +1,7 @@
-"""Known defects, each with the check that must notice it.
-
-A check that never fires proves nothing. A scenario changes the lake in one way, in its data or in one
-derived relation, and names the check that has to return rows; the untouched lake is the control.
-"""
+"""Damage for the checks: rows changed or repeated, and relations derived in a wrong way."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,11 +11,6 @@ from tarifa.operators import staging
 from tarifa.operators.in_force import validity_periods
 from tarifa.operators.staging import PAIR
 from tarifa.plans.lake import PriceLake
-from tarifa.quality.checks import CHECKS
-
-
-def filled() -> Column:
-    return F.col("prix_id").isNotNull()
 
 
 def replaced(frame: DataFrame, where: Column, **values: Column) -> DataFrame:
@@ -38,65 +25,6 @@ def with_copies(frame: DataFrame, of: DataFrame, **values: Column) -> DataFrame:
     return frame.unionByName(of.withColumns(values) if values else of)
 
 
-def first_report(lake: PriceLake, year: int | None = None) -> DataFrame:
-    """The first report in natural order, as one row (there is no stable row number to go by)."""
-    reports = lake.raw_prices.where(filled())
-    if year is not None:
-        reports = reports.where(F.col("_source_year") == year)
-    key = F.min(F.struct("pdv_id", "prix_id", "maj"))
-    return reports.agg(key.alias("k")).select(
-        F.col("k.pdv_id").alias("_p"), F.col("k.prix_id").alias("_f"), F.col("k.maj").alias("_m")
-    )
-
-
-def on_first_report(lake: PriceLake, **values: Column) -> DataFrame:
-    """Raw prices with the first report changed."""
-    hit = (
-        F.col("pdv_id").eqNullSafe(F.col("_p"))
-        & F.col("prix_id").eqNullSafe(F.col("_f"))
-        & F.col("maj").eqNullSafe(F.col("_m"))
-    )
-    target = F.broadcast(first_report(lake))
-    return replaced(lake.raw_prices.crossJoin(target), hit, **values).drop("_p", "_f", "_m")
-
-
-def on_last_version(lake: PriceLake, **values: Column) -> DataFrame:
-    """Raw stations with the newest version of the first priced station changed."""
-    target = (
-        lake.raw_prices.where(filled())
-        .agg(F.max("_source_year").alias("_y"))
-        .crossJoin(F.broadcast(first_report(lake).select("_p")))
-    )
-    hit = (F.col("pdv_id") == F.col("_p")) & (F.col("_source_year") == F.col("_y"))
-    return replaced(lake.raw_stations.crossJoin(F.broadcast(target)), hit, **values).drop("_p", "_y")
-
-
-def on_prices(**values: str) -> Callable[[PriceLake], PriceLake]:
-    """Change the first report; columns are built late, as they need a running session."""
-
-    def inject(lake: PriceLake) -> PriceLake:
-        columns = {name: F.lit(value) for name, value in values.items()}
-        return lake.with_relations(raw_prices=on_first_report(lake, **columns))
-
-    return inject
-
-
-def empty_tag_added(lake: PriceLake) -> PriceLake:
-    nothing = F.lit(None).cast("string")
-    one = lake.raw_prices.where(filled()).orderBy("pdv_id", "prix_id", "maj", "valeur").limit(1)
-    changed = with_copies(
-        lake.raw_prices, one, prix_id=nothing, prix_nom=nothing, maj=nothing, valeur=nothing
-    )
-    return lake.with_relations(raw_prices=changed)
-
-
-def conflicts_added(lake: PriceLake) -> PriceLake:
-    first = lake.raw_prices.where(filled()).orderBy("pdv_id", "prix_id", "maj", "valeur")
-    dearer = (F.col("valeur").cast("decimal(8,3)") + F.lit("0.100").cast("decimal(4,3)")).cast("string")
-    copies = first.limit(lake.settings.max_conflicts + 1)
-    return lake.with_relations(raw_prices=with_copies(lake.raw_prices, copies, valeur=dearer))
-
-
 def fuel_lost(lake: PriceLake) -> PriceLake:
     """Staging drops the fuel with the highest code."""
     lost = lake.raw_prices.agg(F.max("prix_id").alias("_lost"))
@@ -108,22 +36,6 @@ def conflicts_kept(lake: PriceLake) -> PriceLake:
     return lake.with_relations(staged_prices=staging.typed_reports(lake.raw_prices, lake.settings))
 
 
-def station_twice(lake: PriceLake) -> PriceLake:
-    first = lake.raw_stations.orderBy("pdv_id", "_source_year").limit(1)
-    return lake.with_relations(raw_stations=with_copies(lake.raw_stations, first))
-
-
-def coordinates_swapped(lake: PriceLake) -> PriceLake:
-    # Both columns are replaced at once, so each reads the other's old value.
-    changed = on_last_version(lake, latitude=F.col("longitude"), longitude=F.col("latitude"))
-    return lake.with_relations(raw_stations=changed)
-
-
-def coordinates_zero(lake: PriceLake) -> PriceLake:
-    changed = on_last_version(lake, latitude=F.lit("0"), longitude=F.lit("0"))
-    return lake.with_relations(raw_stations=changed)
-
-
 def repeats_kept(lake: PriceLake) -> PriceLake:
     """Every change is followed by a report that repeats its price."""
     changes = lake.price_changes
@@ -187,12 +99,6 @@ def repair_removed(lake: PriceLake) -> PriceLake:
     return lake.with_relations(staged_stations=changed.join(texts, ["station_id", "_source_year"]))
 
 
-def address_damaged(lake: PriceLake) -> PriceLake:
-    """The repair must have something to miss: one address as the source writes it, encoded twice."""
-    changed = on_last_version(lake, adresse=F.concat(F.lit("Ã\u0089 "), F.col("adresse")))
-    return lake.with_relations(raw_stations=changed)
-
-
 def period_too_long(lake: PriceLake) -> PriceLake:
     """A price still in force on the day of its successor: the station counts twice that day."""
     periods = validity_periods(lake.staged_prices, lake.settings, lake.reports)
@@ -207,64 +113,3 @@ def period_too_long(lake: PriceLake) -> PriceLake:
 def all_suspect(lake: PriceLake) -> PriceLake:
     changed = replaced(lake.raw_prices, F.col("prix_id") == "3", valeur=F.lit("1.990"))
     return lake.with_relations(raw_prices=changed)
-
-
-@dataclass(frozen=True)
-class Scenario:
-    check: str
-    defect: str
-    inject: Callable[[PriceLake], PriceLake]
-    expected: str = "fail"
-
-
-SCENARIOS = [
-    Scenario("maj_parsable", "unreadable time", on_prices(maj="2025-13-45T25:00:00")),
-    Scenario("maj_in_file_year", "report of another year", on_prices(maj="1990-06-01T10:00:00")),
-    Scenario("empty_tags_alone", "empty tag beside prices", empty_tag_added),
-    Scenario("spring_gap_hour", "report in the missing hour", on_prices(maj="2025-03-30T02:30:00")),
-    Scenario("conflicts_rare", "too many conflicts", conflicts_added),
-    Scenario("staging_keeps_reports", "fuel lost in staging", fuel_lost),
-    Scenario("unique_staging", "conflicts not resolved", conflicts_kept),
-    Scenario("price_range", "price in thousandths", on_prices(valeur="1638")),
-    Scenario("unique_station_year", "station listed twice", station_twice),
-    Scenario("stations_in_bounds", "coordinates swapped", coordinates_swapped),
-    Scenario("mart_stations_in_bounds", "coordinates at zero", coordinates_zero),
-    Scenario("changes_differ", "repeats kept", repeats_kept),
-    Scenario("one_first_report", "history by station only", history_by_station),
-    Scenario("unique_current", "two last prices kept", two_last_kept),
-    Scenario("current_equals_last_change", "first price taken", first_price_taken),
-    Scenario("age_not_negative", "reference at the first report", reference_at_start),
-    Scenario("not_in_future", "report after its load", on_prices(maj="2099-12-31T12:00:00")),
-    Scenario("no_mojibake", "repair removed", lambda lake: repair_removed(address_damaged(lake))),
-    Scenario("medians_station_bound", "period one day too long", period_too_long),
-    Scenario("suspect_share", "E85 at petrol price", all_suspect, "warn"),
-]
-
-
-def run_scenarios(lake: PriceLake, checks: list[str] | None = None) -> DataFrame:
-    """Inject each defect and run its check: one row per scenario, with the control's result.
-
-    All scenarios are one lazy result: a union of two counts each, which Spark runs side by side.
-    """
-
-    def counted(frame: DataFrame, name: str) -> DataFrame:
-        return frame.agg(F.count(F.lit(1)).alias(name))
-
-    def row(scenario: Scenario) -> DataFrame:
-        check = CHECKS[scenario.check]
-        noticed = "fail" if check.severity == "error" else "warn"
-        both = counted(check.find(lake), "temoin").crossJoin(
-            F.broadcast(counted(check.find(scenario.inject(lake)), "violations"))
-        )
-        status = F.when(F.col("violations") > 0, noticed).otherwise("pass")
-        return both.select(
-            F.lit(scenario.check).alias("controle"),
-            F.lit(scenario.defect).alias("defaut"),
-            "temoin",
-            "violations",
-            status.alias("statut"),
-            ((F.col("temoin") == 0) & (status == scenario.expected)).alias("detecte"),
-        )
-
-    wanted = [s for s in SCENARIOS if checks is None or s.check in checks]
-    return reduce(DataFrame.unionByName, map(row, wanted))

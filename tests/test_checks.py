@@ -1,6 +1,7 @@
 import pytest
 
-from tarifa.quality import defects
+from tarifa.plans.lake import write_tables
+from tarifa.quality.proofs import BREAKS, run_proofs
 from tarifa.quality.checks import CHECKS, REQUIRED, run_checks
 from tests.lakes import lake, report, sample_lake, station
 
@@ -14,7 +15,7 @@ def test_inventory():
     """52 generic rules and 20 single ones."""
     assert sum(map(len, REQUIRED.values())) == 44
     assert len(CHECKS) == 20 + 4
-    assert {s.check for s in defects.SCENARIOS} == set(list(CHECKS)[:20])
+    assert set(BREAKS) == set(CHECKS)
 
 
 def test_every_check_passes_on_clean_data(clean):
@@ -23,10 +24,11 @@ def test_every_check_passes_on_clean_data(clean):
     assert {r["statut"] for r in report_.values()} == {"pass"}
 
 
-@pytest.mark.parametrize("scenario", defects.SCENARIOS, ids=lambda s: s.check)
-def test_each_defect_is_noticed(clean, scenario):
-    row = defects.run_scenarios(clean, [scenario.check]).first()
-    assert (row["temoin"], row["statut"], row["detecte"]) == (0, scenario.expected, True)
+def test_each_check_notices_its_counterexample(clean, tmp_path):
+    rows = run_proofs(write_tables(clean, str(tmp_path))).collect()
+    assert [r["controle"] for r in rows] == list(CHECKS)
+    assert {r["controle"]: (r["temoin"], r["detecte"]) for r in rows} == dict.fromkeys(CHECKS, (0, True))
+    assert {r["controle"] for r in rows if r["statut"] == "warn"} == {"suspect_share"}
 
 
 def test_generic_checks_fire(spark):

@@ -96,11 +96,11 @@ def test_every_quarter_hour_around_the_clock_changes(spark):
 
 
 def test_unreadable_time(spark):
-    rows = [("2025-13-45T25:00:00",), ("2025-01-02T00:37:00",)]
+    rows = [("2024-02-30T08:61:00",), ("2025-01-02T00:37:00",)]
     found = column(spark, rows, "t string", time.try_clock(F.col("t")))
     assert found == [None, dt.datetime(2025, 1, 2, 0, 37)]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        utc_texts(spark, ["2025-13-45T25:00:00"])
+        utc_texts(spark, ["2024-02-30T08:61:00"])
 
 
 def test_repair_double_encoding(spark):

@@ -131,11 +131,11 @@ def test_conflicts_keep_the_highest_price(spark):
         report(1, 1, "2025-01-02T08:00:00", None),
         report(1, 1, "2025-01-02T08:00:00", "1.700"),
         report(1, None, None, None, 2025),
-        report(2, 1, "2025-01-02T08:00:00", "1638"),
+        report(2, 1, "2025-01-02T08:00:00", "9876"),
     ]
     staged = staging.staged_prices(prices(spark, raw), SETTINGS).orderBy("station_id")
     found = staged.select("*", utc_minute_text(F.col("maj_at")).alias("t")).collect()
-    assert [(r["station_id"], str(r["prix_litre"])) for r in found] == [(1, "1.700"), (2, "1638.000")]
+    assert [(r["station_id"], str(r["prix_litre"])) for r in found] == [(1, "1.700"), (2, "9876.000")]
     assert found[0]["t"] == "2025-01-02T07:00Z"
 
 

@@ -40,7 +40,7 @@ def write_archive(folder, year, day, bad_price=None, late=False):
 def test_whole_run(spark, tmp_path):
     source, folder = tmp_path / "in", str(tmp_path / "lake")
     source.mkdir()
-    write_archive(source, 2025, "20250209", bad_price="1638")
+    write_archive(source, 2025, "20250209", bad_price="9876")
     write_archive(source, 2025, "20250210")
     settings = Settings()
     findings = pipeline.load(spark, str(source), folder, LOADED, settings)
@@ -56,7 +56,7 @@ def test_whole_run(spark, tmp_path):
 
 
 def test_failed_check_stops_the_run(spark, tmp_path):
-    write_archive(tmp_path, 2025, "20250209", bad_price="1638")
+    write_archive(tmp_path, 2025, "20250209", bad_price="9876")
     folder = str(tmp_path / "lake")
     pipeline.load(spark, str(tmp_path), folder, LOADED, Settings())
     with pytest.raises(pipeline.CheckError, match="price_range"):
@@ -110,7 +110,7 @@ def test_unreadable_time_is_a_failed_check_and_the_old_tables_stay(spark, tmp_pa
     lake = pipeline.open_lake(spark, folder)
     pipeline.build(lake, folder)
     before = pipeline.open_tables(lake, folder).current_prices.collect()
-    damaged = lake.with_relations(raw_prices=lake.raw_prices.replace("2025-01-01T08:01:00", "2025-13-45T25:00:00", ["maj"]))
+    damaged = lake.with_relations(raw_prices=lake.raw_prices.replace("2025-01-01T08:01:00", "2025-02-30T08:61:00", ["maj"]))
     with pytest.raises(pipeline.CheckError, match="maj_parsable"):
         pipeline.build(damaged, folder)
     stored = {r["controle"]: r["statut"] for r in spark.read.parquet(f"{folder}/checks").collect()}
