@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,25 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def release_memory(spark: SparkSession) -> None:
+    """Let the Python workers that wait for tasks give freed memory back to the system.
+
+    Workers are reused from job to job and keep what they once needed, beside the heap of their executor. Short tasks, several
+    for each core, reach the waiting workers; where the C library cannot trim, nothing happens.
+    """
+
+    def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batches
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if malloc_trim is not None:
+            malloc_trim(0)
+
+    tasks = 8 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(trim, "id long").agg(F.count(F.lit(1))).collect()
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows kept from learning: crc32 of the id as text leaves 2 modulo 4. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
