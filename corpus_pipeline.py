@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.llm import bpe, contamination, near_dup, secrets, toxicity
-from tarifa.llm.common import small_or_plain, table, written
+from tarifa.llm.common import release_memory, small_or_plain, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -71,8 +71,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written to the shared folder and read again."""
+    """The stages applied to ``documents``, each written to the shared folder and read again; workers start each with little memory."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        release_memory(spark)
     return docs
