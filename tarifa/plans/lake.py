@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from tarifa.config import Settings
 from tarifa.operators import changes, current, in_force, medians, staging, stations
@@ -27,6 +28,8 @@ class PriceLake:
         self.settings = settings or Settings()
         self._given = dict(given)
         self._derived: dict[str, DataFrame] = {}
+        #: Counts by name, observed while the given relations were written (``write_tables``).
+        self.observed: dict[str, int] = {}
 
     def with_relations(self, **given: DataFrame) -> PriceLake:
         raw_prices = given.pop("raw_prices", self.raw_prices)
@@ -123,17 +126,26 @@ class PriceLake:
 TABLES = ["stations", "price_changes", "current_prices", "daily_medians", "motorway_gap"]
 
 
-def write_tables(lake: PriceLake, folder: str) -> PriceLake:
+def write_tables(lake: PriceLake, folder: str, rules: dict[str, dict[str, Column]] | None = None) -> PriceLake:
     """Materialise staging once, then each analytic table; returns the lake that reads them.
 
     Conflict resolution is the one shuffle all tables share, so its result is written first and the
-    tables read it back. Written tables also survive the loss of executors.
+    tables read it back. Written tables also survive the loss of executors. ``rules`` has for a relation the conditions whose
+    rows are counted while it is written; the counts are the lake's ``observed``.
     """
     spark = lake.raw_prices.sparkSession
+    observed: dict[str, int] = {}
 
     def store(name: str, frame: DataFrame) -> DataFrame:
         target = f"{folder}/{name}"
+        conditions = (rules or {}).get(name, {})
+        seen = Observation(f"rows of {name}")
+        if conditions:
+            counts = [F.count_if(condition).alias(rule) for rule, condition in conditions.items()]
+            frame = frame.observe(seen, *counts)
         frame.write.mode("overwrite").parquet(target)
+        if conditions:
+            observed.update(seen.get)
         return spark.read.parquet(target)
 
     lake = lake.with_relations(
@@ -142,4 +154,5 @@ def write_tables(lake: PriceLake, folder: str) -> PriceLake:
     )
     for name in TABLES:
         lake = lake.with_relations(**{name: store(name, getattr(lake, name))})
+    lake.observed = observed
     return lake

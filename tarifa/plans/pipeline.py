@@ -14,7 +14,7 @@ from tarifa.plans.exports import export_findings, write_exports
 from tarifa.plans.lake import TABLES, PriceLake, write_tables
 from tarifa.plans.snapshots import SnapshotLog
 from tarifa.plans.years import derive_years, stored_lake
-from tarifa.quality.checks import CHECKS, run_checks
+from tarifa.quality.checks import CHECKS, rules_by_relation, run_checks
 from tarifa.sources import archives as arc
 from tarifa.sources import raw
 
@@ -147,7 +147,7 @@ def build(lake: PriceLake, folder: str) -> tuple[PriceLake, DataFrame]:
     base = log.read()
     run = log.new_run(base)
     checked(lake, SOURCE_CHECKS, f"{folder}/checks", "overwrite")
-    stored = write_tables(lake, f"{folder}/{run}")
+    stored = write_tables(lake, f"{folder}/{run}", rules_by_relation(lake.settings))
     results = checked(stored, [name for name in CHECKS if name not in SOURCE_CHECKS], f"{folder}/checks", "append")
     names = ["staged_prices", "staged_stations", *TABLES]
     log.commit(replace(base, tables={name: {"all": f"{run}/{name}"} for name in names}, keys={}))

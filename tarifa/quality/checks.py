@@ -6,10 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarifa.config import ROAD_TYPES
+from tarifa.config import ROAD_TYPES, Settings
 from tarifa.functions.text import has_double_encoding
 from tarifa.functions.time import try_clock
 from tarifa.operators.staging import PAIR
@@ -28,6 +28,44 @@ def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+# --- rules on single rows ------------------------------------------------------------------------
+
+
+def _placed_outside(settings: Settings) -> Column:
+    return outside(F.col("latitude"), *settings.latitude_range) | outside(F.col("longitude"), *settings.longitude_range)
+
+
+def _no_change(settings: Settings) -> Column:
+    before = F.col("prix_precedent")
+    return ~F.col("est_premier_releve") & (before.isNull() | (F.col("prix_litre") == before))
+
+
+#: Checks that a row fails by itself: the relation, and the condition of an offending row. They can be counted while a relation
+#: is written, and then need no scan of their own.
+ROW_RULES: dict[str, tuple[str, Callable[[Settings], Column]]] = {
+    "price_range": ("staged_prices", lambda s: outside(F.col("prix_litre"), F.lit(s.price_range[0]), F.lit(s.price_range[1]))),
+    "not_in_future": ("staged_prices", lambda s: F.col("maj_at") > F.col("_loaded_at")),
+    "no_mojibake": ("staged_stations", lambda s: has_double_encoding(F.col("adresse")) | has_double_encoding(F.col("ville"))),
+    "mart_stations_in_bounds": ("stations", _placed_outside),
+    "changes_differ": ("price_changes", _no_change),
+    "age_not_negative": ("current_prices", lambda s: F.col("nombre_jours_depuis_maj") < 0),
+}
+
+
+def offending(lake: PriceLake, check: str) -> DataFrame:
+    relation, offends = ROW_RULES[check]
+    rows = lake.station_attributes if relation == "stations" else getattr(lake, relation)
+    return rows.where(offends(lake.settings))
+
+
+def rules_by_relation(settings: Settings) -> dict[str, dict[str, Column]]:
+    """For each relation the conditions that ``write_tables`` can count while writing it."""
+    found: dict[str, dict[str, Column]] = {}
+    for check, (relation, offends) in ROW_RULES.items():
+        found.setdefault(relation, {})[check] = offends(settings)
+    return found
+
+
 # --- raw layer -----------------------------------------------------------------------------------
 
 
@@ -98,16 +136,11 @@ def unique_staging(lake: PriceLake) -> DataFrame:
 
 
 def price_range(lake: PriceLake) -> DataFrame:
-    low, high = lake.settings.price_range
-    return lake.staged_prices.where(outside(F.col("prix_litre"), F.lit(low), F.lit(high))).select(
-        "station_id", "fuel", "maj_at", "prix_litre"
-    )
+    return offending(lake, "price_range").select("station_id", "fuel", "maj_at", "prix_litre")
 
 
 def not_in_future(lake: PriceLake) -> DataFrame:
-    return lake.staged_prices.where(F.col("maj_at") > F.col("_loaded_at")).select(
-        "station_id", "fuel", "maj_at", "_loaded_at", "_source_file"
-    )
+    return offending(lake, "not_in_future").select("station_id", "fuel", "maj_at", "_loaded_at", "_source_file")
 
 
 def unique_station_year(lake: PriceLake) -> DataFrame:
@@ -130,29 +163,18 @@ def stations_in_bounds(lake: PriceLake) -> DataFrame:
 
 
 def no_mojibake(lake: PriceLake) -> DataFrame:
-    damaged = has_double_encoding(F.col("adresse")) | has_double_encoding(F.col("ville"))
-    return lake.staged_stations.where(damaged).select(
-        "station_id", "_source_year", "adresse", "ville"
-    )
+    return offending(lake, "no_mojibake").select("station_id", "_source_year", "adresse", "ville")
 
 
 # --- analytic tables -----------------------------------------------------------------------------
 
 
 def mart_stations_in_bounds(lake: PriceLake) -> DataFrame:
-    misplaced = outside(F.col("latitude"), *lake.settings.latitude_range) | outside(
-        F.col("longitude"), *lake.settings.longitude_range
-    )
-    return lake.station_attributes.where(misplaced).select(
-        "station_id", "code_postal", "latitude", "longitude"
-    )
+    return offending(lake, "mart_stations_in_bounds").select("station_id", "code_postal", "latitude", "longitude")
 
 
 def changes_differ(lake: PriceLake) -> DataFrame:
-    before, price = F.col("prix_precedent"), F.col("prix_litre")
-    return lake.price_changes.where(
-        ~F.col("est_premier_releve") & (before.isNull() | (price == before))
-    ).select(*PAIR, "maj_at", "prix_precedent", "prix_litre")
+    return offending(lake, "changes_differ").select(*PAIR, "maj_at", "prix_precedent", "prix_litre")
 
 
 def one_first_report(lake: PriceLake) -> DataFrame:
@@ -195,9 +217,7 @@ def current_equals_last_change(lake: PriceLake) -> DataFrame:
 
 
 def age_not_negative(lake: PriceLake) -> DataFrame:
-    return lake.current_prices.where(F.col("nombre_jours_depuis_maj") < 0).select(
-        *PAIR, "maj_at", "reference_at", "nombre_jours_depuis_maj"
-    )
+    return offending(lake, "age_not_negative").select(*PAIR, "maj_at", "reference_at", "nombre_jours_depuis_maj")
 
 
 def suspect_share(lake: PriceLake) -> DataFrame:
@@ -330,14 +350,20 @@ CHECKS = {
 
 
 def run_checks(lake: PriceLake, names: list[str] | None = None) -> DataFrame:
-    """Number of offending rows and status per check, as one lazy result."""
+    """Number of offending rows and status per check, as one lazy result.
+
+    What was counted while the lake's tables were written is taken from there.
+    """
+    spark = lake.raw_prices.sparkSession
 
     def report(check: Check) -> DataFrame:
         failed = F.when(F.col("violations") > 0, F.lit("fail" if check.severity == "error" else "warn"))
+        if check.name in lake.observed:
+            counted = spark.range(1).select(F.lit(lake.observed[check.name]).cast("bigint").alias("violations"))
+        else:
+            counted = check.find(lake).agg(F.count(F.lit(1)).alias("violations"))
         return (
-            check.find(lake)
-            .agg(F.count(F.lit(1)).alias("violations"))
-            .select(
+            counted.select(
                 F.lit(check.name).alias("controle"),
                 F.lit(check.severity).alias("severite"),
                 "violations",

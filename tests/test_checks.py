@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tarifa.plans.lake import write_tables
 from tarifa.quality.proofs import BREAKS, run_proofs
-from tarifa.quality.checks import CHECKS, REQUIRED, run_checks
+from tarifa.quality.checks import CHECKS, REQUIRED, ROW_RULES, rules_by_relation, run_checks
+from tarifa.quality.defects import replaced
 from tests.lakes import lake, report, sample_lake, station
 
 
@@ -31,6 +33,20 @@ def test_each_check_notices_its_counterexample(clean, tmp_path):
     assert {r["controle"] for r in rows if r["statut"] == "warn"} == {"suspect_share"}
 
 
+def test_row_rules_are_counted_while_writing(spark, clean, tmp_path):
+    """What is observed equals what a scan finds, and a report of these checks reads no table."""
+    hit = (F.col("pdv_id") == "1") & (F.col("prix_id") == "1")
+    places = replaced(clean.raw_stations, F.col("pdv_id") == "2", latitude=F.lit("9900000"))
+    broken = clean.with_relations(raw_prices=replaced(clean.raw_prices, hit, valeur=F.lit("7.5")), raw_stations=places)
+    stored = write_tables(broken, str(tmp_path), rules_by_relation(clean.settings))
+    assert set(stored.observed) == set(ROW_RULES)
+    assert stored.observed == {name: CHECKS[name].find(broken).count() for name in ROW_RULES}
+    assert stored.observed["price_range"] > 0 and stored.observed["mart_stations_in_bounds"] > 0
+    results = run_checks(stored, list(ROW_RULES))
+    assert "Scan parquet" not in results._jdf.queryExecution().executedPlan().toString()
+    assert {r["controle"]: r["violations"] for r in results.collect()} == stored.observed
+
+
 def test_generic_checks_fire(spark):
     rows = [
         report(1, 1, "2025-01-02T08:00:00", None),
