@@ -33,6 +33,18 @@ def pick(columns: str, source: str) -> str:
     return f"SELECT {', '.join(items)} FROM {source}"
 
 
+def row_digests(relation: str, columns: str) -> str:
+    """The name and a digest of each row: all columns by name, decimals in thousandths, degrees in hundred-thousandths."""
+    texts = []
+    for name in sorted(columns.split()):
+        if name in DOUBLES:
+            name = f"CAST({name} * 1000 AS BIGINT)"
+        elif name in ("latitude", "longitude"):
+            name = f"CAST(round({name} * 100000) AS BIGINT)"
+        texts.append(f"coalesce(CAST({name} AS VARCHAR), '~')")
+    return f"SELECT '{relation}' AS relation, md5(concat_ws('|', {', '.join(texts)})) AS empreinte FROM {relation}"
+
+
 # --- raw layer ---------------------------------------------------------------------------------------
 
 
@@ -838,8 +850,7 @@ def oracle() -> dict[str, str]:
         "CAST(CAST(floor(l_discount * 1000) - floor(l_tax * 1000) * 2 + l_linenumber AS BIGINT) "
         "* CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(8,3))"
     )
-    counted = "SELECT '{0}' AS relation, count(*) AS lignes FROM {0}"
-    tables = ["stations", "price_changes", "current_prices", "daily_medians", "motorway_gap"]
+    tables = {"stations": STATIONS, "price_changes": CHANGES, "current_prices": CURRENT, "daily_medians": MEDIANS, "motorway_gap": GAP}
     kept_after = "(_source_year <> 1998 OR prix_id = '1')"
     return {
         "stg_prices": lake(pick(STAGED, "staged_prices")),
@@ -882,7 +893,7 @@ def oracle() -> dict[str, str]:
         "source_hash": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
         "raw_lineage": f"""SELECT CAST(2024 AS SMALLINT) AS _source_year, {ARCHIVE} AS _source_file,
             '2024-12-31 06:00:00' AS _loaded_at, count(*) AS lignes,
-            CAST(64 AS BIGINT) AS longueur_empreinte FROM ({TAGS}) GROUP BY lot""",
+            TRUE AS empreinte_exacte FROM ({TAGS}) GROUP BY lot""",
         "raw_union": f"""SELECT pdv_id, cp, CASE WHEN _source_year > 1996 THEN pop END AS pop, ville,
             _source_year FROM ({YEARLY_STATIONS})""",
         "raw_counts": f"""SELECT 'prix' AS entite, _source_year, count(*) AS lignes
@@ -925,7 +936,7 @@ def oracle() -> dict[str, str]:
             count(*) AS noeuds FROM events GROUP BY ALL""",
         "run_summary": """SELECT 'build' AS commande, 'tout le projet' AS selection, '2024-12-31T06:00:00Z' AS genere_le,
             round(event_id // 500 + 0.26, 1)::DOUBLE AS duree_s FROM events GROUP BY event_id // 500""",
-        "mart_write": lake(" UNION ALL ".join(counted.format(name) for name in tables)),
+        "mart_write": lake(" UNION ALL ".join(row_digests(name, columns) for name, columns in tables.items())),
         "suspect_flag": lake(
             f"""SELECT fuel_id, CAST(prix_litre AS DOUBLE) AS prix_litre, {suspect()} AS est_prix_suspect,
             count(*) AS releves FROM reports GROUP BY fuel_id, reports.prix_litre"""

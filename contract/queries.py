@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,17 +84,14 @@ def source_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.table(spark, sf_dir, "documents").select("doc_id", arc.source_hash(content).alias("sha256"))
 
 
-def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = m.event_archives(spark, sf_dir)
-    return raw.land_archives(archives, m.loaded_at(), scratch_folder(spark, "landed"))
-
-
 def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = raw.raw_prices(landed(spark, sf_dir))
-    return prices.groupBy("_source_year", "_source_file", "_loaded_at").agg(
-        F.count(F.lit(1)).alias("lignes"),
-        F.max(F.length("_source_sha256")).cast("bigint").alias("longueur_empreinte"),
-    )
+    """Lineage of the rows, and whether their hash is the one of the archive's bytes."""
+    archives = m.event_archives(spark, sf_dir)
+    whole = archives.select(arc.source_file(F.col("path")).alias("_source_file"), F.sha2("content", 256).alias("attendue"))
+    prices = raw.raw_prices(raw.land_archives(archives, m.loaded_at(), scratch_folder(spark, "landed")))
+    by_file = prices.groupBy("_source_year", "_source_file", "_source_sha256", "_loaded_at").agg(F.count(F.lit(1)).alias("lignes"))
+    same = (F.col("_source_sha256") == F.col("attendue")).alias("empreinte_exacte")
+    return by_file.join(whole, "_source_file", "left").select("_source_year", "_source_file", "_loaded_at", "lignes", same)
 
 
 def raw_write(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,14 +287,25 @@ def stg_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.event_lake(spark, sf_dir).staged_stations.drop("_source_sha256")
 
 
+def row_digests(frame: DataFrame, name: str) -> DataFrame:
+    """The name and a digest of each row: all columns by name, decimals in thousandths, degrees in hundred-thousandths."""
+    texts = []
+    for field in sorted(frame.schema, key=lambda f: f.name):
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.DecimalType):
+            column = (column * 1000).cast("bigint")
+        elif isinstance(field.dataType, T.DoubleType):
+            column = F.round(column * 100_000).cast("bigint")
+        elif isinstance(field.dataType, T.TimestampType):
+            column = utc_clock(column)
+        texts.append(F.coalesce(column.cast("string"), F.lit("~")))
+    return frame.select(F.lit(name).alias("relation"), F.md5(F.concat_ws("|", *texts)).alias("empreinte"))
+
+
 def mart_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of every row of every table, as read back from what was written."""
     lake = write_tables(m.event_lake(spark, sf_dir), scratch_folder(spark, "tables"))
-    counts = None
-    for name in TABLES:
-        rows = getattr(lake, name).agg(F.count(F.lit(1)).alias("lignes"))
-        rows = rows.select(F.lit(name).alias("relation"), "lignes")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+    return reduce(DataFrame.unionAll, [row_digests(getattr(lake, name), name) for name in TABLES])
 
 
 def export_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
