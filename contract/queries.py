@@ -113,9 +113,12 @@ def raw_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = m.order_lake(spark, sf_dir)
-    counts = raw.raw_counts({"prix": lake.raw_prices, "stations": lake.raw_stations})
-    return counts.orderBy("entite", "_source_year")
+    """Both entities written by year, and counted from the footers of their files."""
+    lake, folder = m.order_lake(spark, sf_dir), scratch_folder(spark, "raw")
+    raw.write_raw(lake.raw_prices, f"{folder}/prix")
+    raw.write_raw(lake.raw_stations, f"{folder}/stations")
+    counts = [raw.partition_counts(spark, f"{folder}/{entity}", entity) for entity in raw.ENTITIES]
+    return counts[0].unionByName(counts[1]).orderBy("entite", "_source_year")
 
 
 def raw_price_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,6 +78,14 @@ def read_raw(spark: SparkSession, folder: str, years: list[int] | None = None, e
     return frame.drop("annee")
 
 
+def partition_counts(spark: SparkSession, folder: str, entity: str = "prix") -> DataFrame:
+    """Rows per entity and year of a written layer. The year is the folder's and no column is read, so that the row counts come
+    from the footers of the files alone."""
+    frame = spark.read.schema(SCHEMAS[entity]).parquet(folder)
+    counts = frame.groupBy(F.col("annee").cast("smallint").alias("_source_year")).agg(F.count(F.lit(1)).alias("lignes"))
+    return counts.select(F.lit(entity).alias("entite"), "_source_year", "lignes")
+
+
 def raw_counts(frames: dict[str, DataFrame]) -> DataFrame:
     """Rows per entity and year."""
     counts = None

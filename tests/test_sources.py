@@ -16,6 +16,7 @@ from tarifa.sources.run_results import (
     run_summary,
     status_counts,
 )
+from tests.lakes import prices, report
 
 HEAD = '<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n'
 SAMPLE = HEAD + """  <pdv id="1" latitude="4620100" longitude="519800" cp="01000" pop="R">
@@ -170,3 +171,11 @@ def test_two_runs_keep_their_own_counts(spark, tmp_path):
         (tmp_path / f"{hour}.json").write_text(json.dumps(run))
     found = execution_document(read_run_results(spark, str(tmp_path))).collect()
     assert {r["genere_le"][11:13]: json.loads(r["execution"])["tests"] for r in found} == {"10": {"pass": 1}, "11": {"fail": 1, "pass": 1}}
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    rows = [report(p, 1, f"{year}-01-02T08:00:00", "1.5") for year in (2024, 2025) for p in range(year - 2020)]
+    raw.write_raw(prices(spark, rows), str(tmp_path))
+    counts = raw.partition_counts(spark, str(tmp_path))
+    assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, counts.collect())) == [("prix", 2024, 4), ("prix", 2025, 5)]
