@@ -29,6 +29,8 @@ from tarifa.llm.common import small_or_plain, written
 TABLE_BYTES, PART_TERMS = 1 << 25, 1 << 18
 #: Bytes of text that are cut into tokens at once; one longer text is cut on its own.
 SLICE = 1 << 21
+#: Counts that a task merges before it hands them on.
+HELD = 1 << 20
 #: Places and sources of a block of comparisons, and tasks that share a range of a large vocabulary.
 PLACES, SOURCES, SALTS = 2048, 64, 8
 SCALE = 1_000_000_000
@@ -52,10 +54,31 @@ def coded(batch: pa.RecordBatch, names: list[str]) -> tuple[np.ndarray, list[tup
     return np.array([known.setdefault(r, len(known)) for r in rows], dtype=np.int64), list(known)
 
 
+def merged(parts: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The counts ``n`` of parts added up by their keys, in pieces that a task can hold."""
+    held: list[pa.RecordBatch] = []
+
+    def added() -> pa.Table:
+        sums = pa.Table.from_batches(held).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns([*keys, "n"]).combine_chunks()
+
+    for part in parts:
+        held.append(part)
+        if sum(map(len, held)) > HELD:
+            sums = added()
+            if len(sums) > HELD // 2:
+                yield from sums.to_batches(max_chunksize=1 << 16)
+                held = []
+            else:
+                held = sums.to_batches()
+    if held:
+        yield from added().to_batches(max_chunksize=1 << 16)
+
+
 def counted(names: list[str], once: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Terms of each group of a batch with their number of occurrences, or of documents, if ``once``."""
+    """Terms of each group of the texts of a task with their number of occurrences, or of documents, if ``once``."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes, groups = coded(batch, names)
             for first, part in sliced(batch.column(batch.schema.get_field_index("text"))):
@@ -71,7 +94,7 @@ def counted(names: list[str], once: bool) -> Callable[[Iterator[pa.RecordBatch]]
                 terms = words.dictionary.take(pa.array(keys % width)).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*columns, terms, pa.array(n.astype(np.int64))], names=[*names, "term", "n"])
 
-    return count
+    return lambda batches: merged(parts(batches), [*names, "term"])
 
 
 def kept_terms(docs: DataFrame, least: int) -> DataFrame:
@@ -188,7 +211,7 @@ def recounted(docs: DataFrame, parts: DataFrame) -> DataFrame:
                     names = [pa.array([groups[g][i] for g in code[new].tolist()], pa.string()) for i in range(2)]
                     yield pa.RecordBatch.from_arrays([*names, pa.array(place[new]), pa.array(n.astype(np.int64))], names=[*GROUP, "place", "n"])
 
-        places = docs.select(*GROUP, "text").mapInArrow(stream, "lang string, source string, place long, n long")
+        places = docs.select(*GROUP, "text").mapInArrow(lambda batches: merged(stream(batches), [*GROUP, "place"]), "lang string, source string, place long, n long")
     return places.groupBy(*GROUP, "place").agg(F.sum("n").alias("n"))
 
 
