@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,9 @@ from pyspark.sql import functions as F
 from tarifa.llm import bpe, contamination, near_dup, secrets, toxicity
 from tarifa.llm.common import release_memory, small_or_plain, table, written
 
+#: Rows of an Arrow batch: whole texts travel in batches, in the executor's memory and in its workers'.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -58,12 +64,24 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def lean(stage: Stage) -> Stage:
+    """The stage with small Python workers: those of the stage before give their memory back, and batches have fewer rows."""
+
+    @wraps(stage)
+    def started(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_memory(spark)
+        spark.conf.set(BATCH_CONF, str(min(BATCH_ROWS, int(spark.conf.get(BATCH_CONF)))))
+        return stage(spark, docs, sf_dir)
+
+    return started
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near duplicates", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("secrets", remove_secrets),
-    ("tokens", tokenized),
+    ("toxicity", lean(drop_toxic)),
+    ("near duplicates", lean(drop_near_duplicates)),
+    ("decontamination", lean(drop_contaminated)),
+    ("secrets", lean(remove_secrets)),
+    ("tokens", lean(tokenized)),
 ]
 
 #: A trained classifier, zstandard and a tokenizer have no SQL; the stages are tested against brute force.
@@ -71,9 +89,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written to the shared folder and read again; workers start each with little memory."""
+    """The stages applied to ``documents``, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-        release_memory(spark)
     return docs
