@@ -13,10 +13,13 @@ def decimal_percentile(value: Column, share: float, frequency: Column | None = N
 
     Works on whole thousandths, so that interpolation is exact; the cast to bigint drops the half.
     """
-    thousandths = (value * 1000).cast("bigint")
     weights = [] if frequency is None else [frequency]
-    found = F.percentile(thousandths, F.lit(share), *weights)
-    return (found.cast("bigint").cast("decimal(20,0)") / 1000).cast(f"decimal({precision},3)")
+    return cut_thousandths(F.percentile((value * 1000).cast("bigint"), F.lit(share), *weights), precision)
+
+
+def cut_thousandths(value: Column, precision: int = 8) -> Column:
+    """A number of thousandths, which may have a half, as a decimal cut toward zero."""
+    return (value.cast("bigint").cast("decimal(20,0)") / 1000).cast(f"decimal({precision},3)")
 
 
 def is_suspect(fuel: Column, price: Column, settings: Settings) -> Column:

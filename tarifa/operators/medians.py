@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarifa.config import Settings
-from tarifa.functions.numbers import decimal_percentile, is_suspect
+from tarifa.functions.numbers import cut_thousandths, decimal_percentile, is_suspect
 from tarifa.operators.in_force import block_day, day_blocks
 
 
@@ -26,35 +26,34 @@ def usable_periods(periods: DataFrame, days: DataFrame, settings: Settings) -> D
 
 
 def counted_prices(blocks: DataFrame, keys: list[str], length: int) -> DataFrame:
-    """Per key and price, the number of stations on each day of the block (n0, n1, ...)."""
-    days = [F.count_if((F.col("du") <= k) & (F.col("au") >= k)).alias(f"n{k}") for k in range(length)]
-    return blocks.groupBy("bloc", *keys, "prix_litre").agg(*days)
+    """Per key and price in thousandths, the number of stations on each day of the block (n0, n1, ...)."""
+    days = [F.expr(f"count_if(du <= {k} AND au >= {k}) AS n{k}") for k in range(length)]
+    return blocks.groupBy("bloc", *keys, F.expr("CAST(prix_litre * 1000 AS BIGINT) AS milliemes")).agg(*days)
 
 
-def per_day(counted: DataFrame, keys: list[str], length: int, values: dict[str, tuple[Column, Column]]) -> DataFrame:
+def per_day(counted: DataFrame, keys: list[str], length: int, sides: dict[str, str]) -> DataFrame:
     """Median (``<name>``) and number of stations (``n_<name>``) of each day and key.
 
-    ``values`` gives for each name the price, and the condition under which a row counts.
+    ``sides`` gives for each name the condition under which a row counts. The expressions of all days are texts: built column by
+    column they would take longer than the query on a small table.
     """
-    found = []
+    found, days = [], []
     for k in range(length):
-        for name, (price, counts) in values.items():
-            found.append(decimal_percentile(price, 0.5, F.col(f"n{k}")).alias(f"{name}_{k}"))
-            found.append(F.sum(F.when(counts, F.col(f"n{k}")).otherwise(F.lit(0))).alias(f"n_{name}_{k}"))
-    day = [
-        F.struct(F.lit(k).alias("rang"), *[F.col(f"{p}{n}_{k}").alias(f"{p}{n}") for n in values for p in ("", "n_")])
-        for k in range(length)
-    ]
+        for name, condition in sides.items():
+            found.append(F.expr(f"percentile(CASE WHEN {condition} THEN milliemes END, 0.5D, n{k}) AS {name}_{k}"))
+            found.append(F.expr(f"sum(CASE WHEN {condition} THEN n{k} ELSE 0 END) AS n_{name}_{k}"))
+        days.append(f"struct({k} AS rang, {', '.join(f'{name}_{k} AS {name}, n_{name}_{k} AS n_{name}' for name in sides)})")
     blocks = counted.groupBy("bloc", *keys).agg(*found)
-    return blocks.select("bloc", *keys, F.inline(F.array(*day))).withColumn("jour", block_day(length)).drop("bloc", "rang")
+    by_day = blocks.select("bloc", *keys, F.expr(f"inline(array({', '.join(days)}))"))
+    medians = [cut_thousandths(F.col(name)).alias(name) for name in sides]
+    return by_day.select(block_day(length).alias("jour"), *keys, *medians, *[f"n_{name}" for name in sides])
 
 
 def daily_medians(periods: DataFrame, days: DataFrame, settings: Settings) -> DataFrame:
     """Median price and number of stations per day and fuel; each station counts once a day."""
     length, keys = settings.days_in_force + 1, ["fuel_id", "fuel"]
     blocks = day_blocks(usable_periods(periods, days, settings), length)
-    always = (F.col("prix_litre"), F.lit(True))
-    found = per_day(counted_prices(blocks, keys, length), keys, length, {"prix": always})
+    found = per_day(counted_prices(blocks, keys, length), keys, length, {"prix": "TRUE"})
     return found.where("n_prix > 0").select(
         "jour", *keys, F.col("prix").alias("prix_median"), F.col("n_prix").alias("nombre_stations")
     )
@@ -75,10 +74,7 @@ def motorway_gap(periods: DataFrame, stations: DataFrame, days: DataFrame, setti
     blocks = day_blocks(usable_periods(periods, days, settings).join(dimension, "station_id"), length)
     counted = counted_prices(blocks, [*cell, "est_autoroute"], length)
 
-    def side(condition: Column) -> tuple[Column, Column]:
-        return F.when(condition, F.col("prix_litre")), condition
-
-    sides = {"autoroute": side(F.col("est_autoroute")), "route": side(~F.col("est_autoroute"))}
+    sides = {"autoroute": "est_autoroute", "route": "NOT est_autoroute"}
     found = per_day(counted, cell, length, sides)
     return found.where((F.col("n_autoroute") > 0) & (F.col("n_route") > 0)).select(
         "jour",
