@@ -69,7 +69,10 @@ def build_index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id
 
 
 def phrases(items: DataFrame, width: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(terms, items): the distinct windows of ``width`` words of all items; a shorter item is one window."""
+    """(terms, items): the distinct windows of ``width`` words of all items; a shorter item is one window.
+
+    Items without id give windows too but are not listed.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(WORD_BYTES)
@@ -85,8 +88,8 @@ def phrases(items: DataFrame, width: int, id_col: str = "item_id", text_col: str
                         item = [batch.column(0)[start + i].as_py()] * len(rows)
                         yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(list(rows), pa.list_(pa.int64()))], names=["item", "terms"])
 
-    named = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    found = named.mapInArrow(windows, "item string, terms array<long>").distinct()
+    narrow = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    found = narrow.mapInArrow(windows, "item string, terms array<long>").distinct()
     return written(found.groupBy("terms").agg(F.collect_set("item").alias("items")), "phrases")
 
 
@@ -194,8 +197,8 @@ def contamination(
 
     Words are runs of a-z (A-Z lowered), digits and all characters beyond ASCII; they are compared by 64-bit hashes. A
     word is hit inside any occurrence of a window of ``width`` consecutive words of an item. NULL and empty texts have no
-    words. Items with equal windows are all reported; items that repeat an item_id count once, those without item_id are
-    not searched. Repeated documents and those without doc_id each give their row. Without items nothing is hit, an empty
+    words. Items with equal windows are all reported; items that repeat an item_id count once; the words of those without
+    item_id are hit as well, but they are not among ``items``. Repeated documents and those without doc_id each give their row. Without items nothing is hit, an empty
     ``docs`` gives an empty result, and other columns are not read. Phrases go out in blocks of bounded size.
     """
     found = phrases(items, width, item_col, item_text)

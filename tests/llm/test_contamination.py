@@ -65,7 +65,8 @@ def test_terms_that_are_too_many_index_everything(spark, monkeypatch):
 
 def test_missing_ids_repeated_rows_and_empty_tables(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d")]
-    assert sorted(x[1:3] for x in found(spark, rows, [(1, "b c"), (None, "a b")], 4)) == [(4, 2)] * 3
+    assert sorted(x[1:3] for x in found(spark, rows, [(1, "b c"), (None, "a b")], 4)) == [(4, 3)] * 3
+    assert [x[3] for x in found(spark, rows, [(1, "b c"), (None, "a b"), (None, "b c")], 4)] == [["1"]] * 3
     assert found(spark, rows, [], 4) == [(d, 4, 0, []) for d in [None, 5, 5]]
     assert con.contamination(docs_of(spark, rows).limit(0), items_of(spark, ITEMS)).count() == 0
 
