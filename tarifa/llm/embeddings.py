@@ -169,7 +169,8 @@ def near_vectors(
     Equal vectors are one class and are linked with each other without comparing them. ``n_links`` counts the other rows linked
     directly, ``component_id`` is the smallest id reachable, ``kept`` marks the rows that have it. Rows without label, vector
     or id, with a zero vector or a component that is NULL or not finite link with nothing; vectors of different lengths do not
-    link. A row without id has no component and is kept. Repeated rows are equal vectors; each counts the others. An empty
+    link. A row without id has no component and is kept. Repeated rows are equal vectors; each counts the others. Each row goes
+    by its own vector, so rows of one id with different vectors are linked only if these are. An empty
     table gives an empty result; other columns are not read.
     """
     rows = vectors.select(
@@ -178,24 +179,26 @@ def near_vectors(
     finite = F.forall("v", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     nonzero = F.exists("v", lambda x: x != 0)
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(finite & nonzero, F.lit(False))
-    good = written(packed(rows.where(usable)).withColumn("digest", F.sha2("blob", 256)), "vectors")
-    sizes = good.groupBy("label", "digest").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    good = packed(rows.where(usable)).withColumn("digest", F.sha2("blob", 256)).withColumn("row", F.monotonically_increasing_id())
+    good = written(good, "vectors")
+    sizes = good.groupBy("label", "digest").agg(F.min("row").alias("rep"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("size"))
     sizes = written(sizes, "vector-classes")
     largest = sizes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    named = sizes.withColumnRenamed("label", "l").withColumnRenamed("digest", "d")
-    classes = good.join(named, (F.col("vec_id") == F.col("rep")) & (F.col("label") == F.col("l")) & (F.col("digest") == F.col("d")))
-    classes = classes.select("label", "rep", "size", "blob").dropDuplicates(["label", "rep"])
+    classes = good.join(sizes.select("rep", "size"), F.col("row") == F.col("rep"))
     found = written(compared(dealt(met(classes, filter_share(largest))), cosine), "vector-links")
     labels = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vector-components")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    facts = sizes.join(counts, "rep", "left").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    labels = labels.select(F.col("node").alias("rep"), F.col("component").alias("root"))
+    smallest = sizes.join(labels, "rep").groupBy("root").agg(F.min("least").alias("component"))
+    labels = labels.join(small_or_plain(written(smallest, "vector-component-ids")), "root")
+    facts = sizes.join(counts, "rep", "left").join(labels, "rep", "left")
     facts = facts.select(
         F.col("label").alias("l"),
         F.col("digest").alias("d"),
         (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "rep").alias("component"),
+        F.coalesce("component", "least").alias("component"),
     )
-    keyed = good.drop("blob").join(facts, (F.col("label") == F.col("l")) & (F.col("digest") == F.col("d")))
+    keyed = good.drop("blob", "row").join(facts, (F.col("label") == F.col("l")) & (F.col("digest") == F.col("d")))
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component"))
     every = keyed.select("vec_id", "n_links", "component").union(alone)
     return every.select(

@@ -68,3 +68,11 @@ def test_missing_ids_and_no_rows(spark):
     result = embeddings.near_vectors(frame_of(spark, rows)).collect()
     assert sorted((r["vec_id"] or -1, r["n_links"], r["component_id"] or -1, r["kept"]) for r in result) == [(-1, 0, -1, True)] * 2 + [(4, 1, 4, True)] * 2
     assert embeddings.near_vectors(frame_of(spark, rows).limit(0)).count() == 0
+
+
+def test_one_id_on_several_vectors(spark):
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, a, 1), (1, b, 1), (2, [1.0, 0.1, 0.0, 0.0], 1), (3, [0.1, 1.0, 0.0, 0.0], 1), (9, a, 2), (9, b, 2), (9, b, 2)]
+    result = embeddings.near_vectors(frame_of(spark, rows)).collect()
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in result)
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (9, 0, 9, True), (9, 1, 9, True), (9, 1, 9, True)]
