@@ -102,8 +102,9 @@ def near_enough(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, others:
     return fits & (equal >= share * drawn - DEVIATIONS * np.sqrt(spread) - 1)
 
 
-def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, digest, shingles, signature, sketch) of each document; empty documents have NULL in the last four."""
+def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n, digest, shingles, signature, sketch) of each document and the columns to carry; empty documents have NULL in
+    digest to sketch."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(NOT_SEPARATOR)
@@ -126,12 +127,14 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
                         batch.column(0).slice(start, len(texts)),
                         pa.array(n, pa.int64()),
                         *(pa.array(x, pa.binary()) for x in blobs),
+                        *(c.slice(start, len(texts)) for c in batch.columns[2:]),
                     ],
-                    names=["doc_id", "n", "digest", "shingles", "signature", "sketch"],
+                    names=["doc_id", "n", "digest", "shingles", "signature", "sketch", *carry],
                 )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(sets, "doc_id long, n long, digest binary, shingles binary, signature binary, sketch binary")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
+    fields = "".join(f", `{c}` {narrow.schema[c].dataType.simpleString()}" for c in carry)
+    return narrow.mapInArrow(sets, f"doc_id long, n long, digest binary, shingles binary, signature binary, sketch binary{fields}")
 
 
 def prefixes(signatures: np.ndarray, order: int) -> list[np.ndarray]:
@@ -399,7 +402,7 @@ def region_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 
@@ -407,18 +410,19 @@ def near_duplicates(
     smallest doc_id reachable by links, ``kept`` marks the rows that have it. Words are what stands between the ASCII
     separators, A-Z lowered; a text with fewer words than a shingle is one shingle. NULL and empty texts and texts
     without words have 0 shingles and form their own component. Repeated rows are equal texts and so linked; rows that
-    repeat the kept doc_id are all kept. A row without doc_id links with nothing, has no component and is kept.
-    An empty table gives an empty result; other columns of ``docs`` are not read.
+    repeat the kept doc_id are all kept. Each row goes by its own text, so rows of one doc_id with different texts are
+    linked only if their texts are. A row without doc_id links with nothing, has no component and is kept.
+    An empty table gives an empty result; other columns of ``docs`` are not read but for those to ``carry``, which follow.
     """
-    base = written(document_sets(docs, shingle, id_col, text_col), "sets")
+    base = written(document_sets(docs, shingle, id_col, text_col, carry).withColumn("row", F.monotonically_increasing_id()), "sets")
     named = base.where("doc_id is not null and n > 0")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = named.join(classes.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
-    reps = written(reps.select("rep", "n", "signature", "sketch").dropDuplicates(["rep"]), "signatures")
+    classes = named.groupBy("digest").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"))
+    reps = named.join(classes.select("rep"), F.col("row") == F.col("rep"))
+    reps = written(reps.select("rep", "n", "signature", "sketch"), "signatures")
     members = written(with_neighbours(ordered(reps)), "forest")
 
     first = members.where("other is not null").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-    sets = named.select(F.col("doc_id").alias("rep"), "shingles")
+    sets = named.select(F.col("row").alias("rep"), "shingles")
     links = written(confirmed(first.where("a <> b").distinct(), sets, percent), "links")
     # these labels only spare comparisons, so a few rounds will do
     labels = written(components(links, rounds=2).withColumnRenamed("node", "rep").groupBy("rep").agg(F.min("component").alias("component")), "labels")
@@ -431,14 +435,16 @@ def near_duplicates(
         last = region_links(rows, sets, percent)
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(last))
 
-    rep_of = classes.join(labels, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("d"), F.coalesce("component", "rep").alias("component")
-    )
-    joined = base.select("doc_id", "n", "digest").join(rep_of, F.col("digest") == F.col("d"), "left")
+    linked = labels.select(F.col("node").alias("rep"), F.col("component").alias("root"))
+    smallest = classes.join(linked, "rep").groupBy("root").agg(F.min("least").alias("component"))
+    linked = linked.join(small_or_plain(written(smallest, "component-ids")), "root")
+    rep_of = classes.join(linked, "rep", "left").select(F.col("digest").alias("d"), F.coalesce("component", "least").alias("component"))
+    joined = base.select("doc_id", "n", "digest", *carry).join(rep_of, F.col("digest") == F.col("d"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
+        *carry,
     )

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tarifa.llm.common import components
 from tarifa.llm.near_dup import near_duplicates
 from tests.llm.tables import docs_of, needs_tables, roots, texts
@@ -77,3 +79,13 @@ def test_pairs_within_a_large_group_of_one_template(spark):
         own = words + [f"p{i}-{k}" for k in range(20)]
         rows += [(i + side * half, " ".join(own + [f"r{i}-{side}-{k}" for k in range(25)])) for side in range(2)]
     assert found(spark, rows, 5) == brute(rows, 5)
+
+
+def test_one_id_on_several_texts_and_many_repeated_rows(spark):
+    long = [" ".join(f"{k}{i}" for i in range(60)) for k in "ab"]
+    near = [t + " more" for t in long]
+    rows = [(1, long[0]), (1, long[1]), (2, near[0]), (3, near[1]), (7, long[0] + " x"), (7, "another text of its own here")] + [(5, near[0])] * 1000
+    result = near_duplicates(docs_of(spark, rows).withColumn("mark", F.substring("text", 1, 2)), carry=("mark",)).collect()
+    assert len(result) == len(rows)
+    got = {(r["doc_id"], r["mark"], r["component_id"], r["kept"]) for r in result}
+    assert got == {(1, "a0", 1, True), (1, "b0", 1, True), (2, "a0", 1, False), (3, "b0", 1, False), (5, "a0", 1, False), (7, "a0", 1, False), (7, "an", 7, True)}
