@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 from tarifa.llm import bpe, contamination, near_dup, secrets, toxicity
 from tarifa.llm.common import release_memory, small_or_plain, table, written
 
-#: Rows of an Arrow batch: whole texts travel in batches, in the executor's memory and in its workers'.
-BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+#: Upper bounds for what a task holds of whole texts, besides Spark's own defaults: rows and bytes of an Arrow batch, rows of a
+#: batch read from Parquet, bytes of a row group before it is written.
+BOUNDS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20,
+    "spark.sql.parquet.columnarReaderBatchSize": 512,
+    "parquet.block.size": 16 << 20,
+}
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,9 +28,9 @@ def documents_of(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not among the ids; documents without id stay."""
-    return documents_of(docs).join(small_or_plain(written(ids, "dropped")), "doc_id", "left_anti")
+def without(docs: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
+    """The documents that are not among the rows; documents without id stay."""
+    return documents_of(docs.join(small_or_plain(written(rows.select(*by).distinct(), "dropped")), by, "left_anti"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +40,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8): the one with the smallest id."""
-    found = near_dup.near_duplicates(docs, shingle=5, percent=80)
-    return without(docs, found.where(~F.col("kept")).select("doc_id"))
+    """One document of each group of near duplicates (five words, similarity 0.8): the one with the smallest id.
+
+    Documents go by id and text, so that a row with another text does not go with a copy that has its id.
+    """
+    marked = documents_of(docs).withColumn("text_digest", F.unhex(F.md5("text")))
+    found = near_dup.near_duplicates(marked, shingle=5, percent=80, carry=("text_digest",))
+    return without(marked, found.where(~F.col("kept")), ["doc_id", "text_digest"])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without ten consecutive words of a benchmark item (or a whole shorter item)."""
     found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"), width=10)
-    return without(docs, found.where("n_hit > 0 and doc_id is not null").select("doc_id"))
+    return without(docs, found.where("n_hit > 0 and doc_id is not null"), ["doc_id"])
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,12 +75,13 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lean(stage: Stage) -> Stage:
-    """The stage with small Python workers: those of the stage before give their memory back, and batches have fewer rows."""
+    """The stage within little memory: workers of the stage before give theirs back, and batches and row groups are small."""
 
     @wraps(stage)
     def started(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release_memory(spark)
-        spark.conf.set(BATCH_CONF, str(min(BATCH_ROWS, int(spark.conf.get(BATCH_CONF)))))
+        for name, bound in BOUNDS.items():
+            spark.conf.set(name, str(bound))
         return stage(spark, docs, sf_dir)
 
     return started

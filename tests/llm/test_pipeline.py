@@ -68,3 +68,11 @@ def test_stages_keep_the_columns_and_rows_without_id(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_a_row_with_another_text_does_not_go_with_a_copy(spark):
+    same, other = "a b c d e f g", "quite another text of six words"
+    rows = [(1, same, "en", "s", 1), (2, same, "en", "s", 1), (2, other, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(1, same), (2, other)]
