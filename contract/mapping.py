@@ -10,8 +10,10 @@ import datetime as dt
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -195,16 +197,20 @@ def order_lake(spark: SparkSession, sf_dir: str) -> PriceLake:
 # --- archives --------------------------------------------------------------------------------------
 
 
-def _zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, document in zip(batch["path"], batch["document"]):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(zipfile.ZipInfo("prices.xml"), bytes(document))
-            content = buffer.getvalue()
-            stamp = pd.Timestamp(LOADED_AT)
-            row = {"path": path, "modificationTime": stamp, "length": len(content), "content": content}
-            yield pd.DataFrame([row])
+def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Archives from rows (path, element) sorted by path: one archive at a time is held, whatever a batch or a task holds."""
+    stamp = pa.scalar(dt.datetime.fromisoformat(f"{LOADED_AT}+00:00"), pa.timestamp("us", "UTC"))
+    rows = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    for path, elements in groupby(rows, key=itemgetter(0)):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            with archive.open(zipfile.ZipInfo("prices.xml"), "w") as document:
+                document.write(b'<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n')
+                document.writelines(element.encode("ISO-8859-1") for _, element in elements if element is not None)
+                document.write(b"</pdv_liste>\n")
+        content = buffer.getvalue()
+        columns = [pa.array([path], pa.string()), pa.array([stamp]), pa.array([len(content)]), pa.array([content], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=ARCHIVES.names)
 
 
 def _attribute(name: str, value: str | Column) -> Column:
@@ -255,14 +261,10 @@ def event_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = ["lot", "c_custkey", "c_nationkey", "c_name", "c_mktsegment", "tags"]
     stations = priced.select(*columns).unionByName(empty.select(*columns))
-    ordered = F.sort_array(F.collect_list(F.struct("c_custkey", element.alias("e"))))
-    body = F.array_join(F.transform(ordered, lambda e: e["e"]), "")
-    head = F.lit('<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n')
-    documents = stations.groupBy("lot").agg(
-        F.encode(F.concat(head, body, F.lit("</pdv_liste>\n")), "ISO-8859-1").alias("document")
-    )
     path = F.concat(F.lit("archives/lot"), _text(F.col("lot")), F.lit("_annuel_2024_telecharge_20241231.zip"))
-    return documents.select(path.alias("path"), "document").mapInPandas(_zip, ARCHIVES)
+    elements = stations.select(path.alias("path"), "c_custkey", element.alias("element"))
+    ordered = elements.repartition("path").sortWithinPartitions("path", "c_custkey", "element")
+    return ordered.select("path", "element").mapInArrow(_zip, ARCHIVES)
 
 
 # --- run results, manifest, damaged text -------------------------------------------------------------

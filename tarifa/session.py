@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch for rows that are whole files; a larger row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def build_session(app: str = "tarifa", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,3 +50,13 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tarifa-")
         spark.conf.set(CHECKPOINT_CONF, root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of a few megabytes instead of up to ten thousand rows, however large these are.
+
+    It is a setting of the session and read when a query runs; one that is lower already stays.
+    """
+    now = spark.conf.get(BATCH_CONF, None)
+    if now is None or not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import hashlib
-import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator
 from typing import BinaryIO
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarifa.schemas import PDV_ELEMENT, STATION_ATTRIBUTES
+from tarifa.session import bound_batches
 
 # Root and record tags, and the name pattern "<label>_<year>_<label>_<day>.zip".
 ROOT_TAG = "pdv_liste"
@@ -22,7 +22,7 @@ RECORD_TAG = "pdv"
 NAME_PATTERN = r"(?i)_(\d{4})_[^_/]+_(\d{8})\.zip$"
 
 BLOCK_BYTES = 1 << 20
-BATCH_CHARS = 8 << 20
+BATCH_CHARS = 1 << 20
 # What every record carries of its archive: lineage needs no join later.
 ORIGIN = ["source_file", "annee", "sha256"]
 UNPACKED = "source_file string, annee int, sha256 string, ordinal bigint, element string"
@@ -106,20 +106,26 @@ def record_slices(stream) -> Iterator[str]:
     parser.XmlDeclHandler = declaration
     parser.StartElementHandler = opened
     parser.EndElementHandler = closed
-    while True:
-        block = stream.read(BLOCK_BYTES)
-        blocks.append(block)
-        parser.Parse(block, not block)
-        for record in found:
-            yield record.decode(state["encoding"])
+    try:
+        while True:
+            block = stream.read(BLOCK_BYTES)
+            blocks.append(block)
+            parser.Parse(block, not block)
+            for record in found:
+                yield record.decode(state["encoding"])
+            found.clear()
+            # Keep what an open record, or a tag cut by the block's end, still needs.
+            done = parser.CurrentByteIndex if state["start"] is None else state["start"]
+            if done > state["base"]:
+                blocks[:] = [buffered()[done - state["base"] :]]
+                state["base"] = done
+            if not block:
+                return
+    finally:
+        # Parser and handlers refer to each other; the blocks would stay until the collector runs.
+        parser.XmlDeclHandler = parser.StartElementHandler = parser.EndElementHandler = None
+        blocks.clear()
         found.clear()
-        # Keep what an open record, or a tag cut by the block's end, still needs.
-        done = parser.CurrentByteIndex if state["start"] is None else state["start"]
-        if done > state["base"]:
-            blocks[:] = [buffered()[done - state["base"] :]]
-            state["base"] = done
-        if not block:
-            return
 
 
 def archive_records(file: BinaryIO) -> Iterator[str]:
@@ -131,23 +137,38 @@ def archive_records(file: BinaryIO) -> Iterator[str]:
             yield from record_slices(stream)
 
 
-def _record_frames(origin: tuple, file: BinaryIO) -> Iterator[pd.DataFrame]:
-    names = [*ORIGIN, "ordinal", "element"]
-    rows, size = [], 0
-    for ordinal, element in enumerate(archive_records(file)):
-        rows.append((*origin, ordinal, element))
+def _record_batch(origin: tuple, first: int, elements: list[str]) -> pa.RecordBatch:
+    n = len(elements)
+    source, year, digest = origin
+    columns = [
+        pa.repeat(pa.scalar(source, pa.string()), n),
+        pa.repeat(pa.scalar(year, pa.int32()), n),
+        pa.repeat(pa.scalar(digest, pa.string()), n),
+        pa.array(range(first, first + n), pa.int64()),
+        pa.array(elements, pa.string()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[*ORIGIN, "ordinal", "element"])
+
+
+def _record_batches(origin: tuple, file: BinaryIO) -> Iterator[pa.RecordBatch]:
+    first, elements, size = 0, [], 0
+    for element in archive_records(file):
+        elements.append(element)
         size += len(element)
         if size >= BATCH_CHARS:
-            yield pd.DataFrame(rows, columns=names)
-            rows, size = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=names)
+            yield _record_batch(origin, first, elements)
+            first, elements, size = first + len(elements), [], 0
+    if elements:
+        yield _record_batch(origin, first, elements)
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The contents of a batch are read where they lie: no copy of them is made."""
     for batch in batches:
-        for *origin, content in batch[[*ORIGIN, "content"]].itertuples(index=False):
-            yield from _record_frames(tuple(origin), io.BytesIO(content))
+        source, year, digest, content = batch.columns
+        for i in range(batch.num_rows):
+            origin = (source[i].as_py(), year[i].as_py(), digest[i].as_py())
+            yield from _record_batches(origin, pa.BufferReader(content[i].as_buffer()))
 
 
 def open_anywhere(path: str) -> BinaryIO:
@@ -161,28 +182,29 @@ def open_anywhere(path: str) -> BinaryIO:
 def unpack_files(files: DataFrame, open_file: Callable[[str], BinaryIO] = open_anywhere) -> DataFrame:
     """Like ``unpack_archives`` from paths alone: tasks read the archive as a stream, so its size has no limit."""
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, name, year in batch.itertuples(index=False):
+            for path, name, year in zip(*(column.to_pylist() for column in batch.columns)):
                 with open_file(path) as file:
                     digest = hashlib.sha256()
                     while block := file.read(BLOCK_BYTES):
                         digest.update(block)
                     file.seek(0)
-                    yield from _record_frames((name, year, digest.hexdigest()), file)
+                    yield from _record_batches((name, year, digest.hexdigest()), file)
 
     name, year, _ = _origin()
     # a path per task: reading is the work, and there are few
-    return files.select("path", name, year).repartition("path").mapInPandas(unpack, UNPACKED)
+    return files.select("path", name, year).repartition("path").mapInArrow(unpack, UNPACKED)
 
 
 def unpack_archives(archives: DataFrame) -> DataFrame:
     """One row per station record of each archive, still as XML text.
 
-    A ZIP cannot be split, so an archive is one task here; the task streams and emits bounded batches.
+    A ZIP cannot be split, so an archive is one task here; the task takes and emits bounded batches.
     Parsing the records is left to Spark's XML functions after ``spread_records``.
     """
-    return archives.select(*_origin(), "content").mapInPandas(_unpack, UNPACKED)
+    bound_batches(archives.sparkSession)
+    return archives.select(*_origin(), "content").mapInArrow(_unpack, UNPACKED)
 
 
 def spread_records(records: DataFrame) -> DataFrame:

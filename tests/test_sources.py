@@ -2,11 +2,14 @@ import datetime as dt
 import hashlib
 import io
 import json
+import tracemalloc
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from contract import mapping
 from tarifa.config import Settings
 from tarifa.sources import archives as arc
 from tarifa.sources import raw
@@ -44,6 +47,27 @@ def parse(spark, folder):
     return arc.parse_records(arc.spread_records(records))
 
 
+def test_archives_are_made_one_at_a_time():
+    """An archive leaves as soon as the rows of the next one begin; a record that is NULL is left out."""
+    taken = []
+
+    def batches():
+        for path in ("a", "b", "c"):
+            for place in range(4):
+                taken.append(path)
+                elements = ["<pdv id='é'/>" if place else None, "<pdv/>"]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * 2), pa.array(elements)], names=["path", "element"])
+
+    made = mapping._zip(batches())
+    first = next(made)
+    assert taken == ["a"] * 4 + ["b"]
+    archive = zipfile.ZipFile(io.BytesIO(first.column(3)[0].as_py()))
+    body = "<pdv/>" + "<pdv id='é'/><pdv/>" * 3
+    assert archive.read("prices.xml").decode("ISO-8859-1") == HEAD + body + "</pdv_liste>\n"
+    assert first.column(2)[0].as_py() == len(first.column(3)[0].as_py())
+    assert [first.column(0)[0].as_py(), *(b.column(0)[0].as_py() for b in made)] == ["a", "b", "c"]
+
+
 def test_records_of_an_archive(spark, tmp_path):
     write_zip(tmp_path, "a_annuel_2025_telecharge_20260928.zip", {"a.XML": SAMPLE, "readme.txt": "x"})
     parsed = parse(spark, tmp_path)
@@ -179,3 +203,35 @@ def test_counts_come_from_footers(spark, tmp_path):
     counts = raw.partition_counts(spark, str(tmp_path))
     assert "ReadSchema: struct<>" in counts._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, counts.collect())) == [("prix", 2024, 4), ("prix", 2025, 5)]
+
+
+def test_contents_of_a_batch_are_not_copied(spark):
+    """Archives of 60 MB in one batch are read in a few megabytes, and each record comes with the place it has in its archive."""
+    element = f"<pdv id='1'><adresse>{'x' * 3000}</adresse></pdv>"
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        archive.writestr("prices.xml", (HEAD + element * 1000 + "</pdv_liste>").encode("ISO-8859-1"))
+    columns = [pa.array(["f"] * 20), pa.array([2024] * 20, pa.int32()), pa.array(["d"] * 20), pa.array([buffer.getvalue()] * 20)]
+    batch = pa.RecordBatch.from_arrays(columns, names=[*arc.ORIGIN, "content"])
+    tracemalloc.start()
+    ordinals = [n for part in arc._unpack(iter([batch])) for n in part.column(3).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ordinals == list(range(1000)) * 20
+    assert peak < 16 << 20
+
+
+def test_contents_go_to_python_in_small_batches(spark):
+    """Twelve files of 1 MB come in several batches, not in one."""
+    rows = spark.range(0, 12, 1, 1).select(
+        F.concat(F.lit("x_annuel_2024_telecharge_20241231_"), "id", F.lit(".zip")).alias("path"),
+        F.encode(F.repeat(F.lit("x"), 1 << 20), "UTF-8").alias("content"),
+    )
+    arc.unpack_archives(rows)  # bounds the batches of the session
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 12 and max(found) <= 6
