@@ -1,4 +1,5 @@
 import datetime as dt
+import gc
 import hashlib
 import io
 import json
@@ -235,3 +236,18 @@ def test_contents_go_to_python_in_small_batches(spark):
 
     found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
     assert sum(found) == 12 and max(found) <= 6
+
+
+def test_a_read_archive_leaves_nothing_behind():
+    """The blocks of a parser go with it, without the collector."""
+    document = (HEAD + f"<pdv id='1'><adresse>{'x' * 3000}</adresse><prix/></pdv>" * 500 + "</pdv_liste>").encode("ISO-8859-1")
+    gc.collect()
+    gc.disable()
+    try:
+        tracemalloc.start()
+        assert sum(1 for _ in range(10) for _ in arc.record_slices(io.BytesIO(document))) == 5000
+        left = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert left < 1 << 20
