@@ -828,18 +828,97 @@ def proofs() -> str:
     }
     # A damaged relation is a stored one: what derives from it keeps its old rows.
     parts = []
-    for name, (relation, damaged, query) in found.items():
-        counted = f"SELECT count(*) AS n FROM ({query})"
-        on_damaged = re.sub(rf"\b{relation}\b", "damaged", counted)
-        broken = lake(on_damaged, CLEAN_LAKE, damaged=damaged.replace(f"{relation}_0", relation))
+
+    def part(name: str, defect: str, relation: str, broken: str) -> None:
+        counted = lake(f"SELECT count(*) AS n FROM ({found[name][2]})", CLEAN_LAKE)
         parts.append(
-            f"""SELECT '{name}' AS controle, '{relation}' AS relation, a.n AS temoin, b.n AS violations,
+            f"""SELECT '{name}' AS controle, '{defect}' AS defaut, '{relation}' AS relation, a.n AS temoin, b.n AS violations,
                 CASE WHEN b.n = 0 THEN 'pass' ELSE '{"warn" if name == "suspect_share" else "fail"}' END AS statut, b.n > a.n AS detecte
-            FROM ({lake(counted, CLEAN_LAKE)}) AS a, ({broken}) AS b"""
+            FROM ({counted}) AS a, ({broken}) AS b"""
         )
+
+    for name, (relation, damaged, query) in found.items():
+        on_damaged = re.sub(rf"\b{relation}\b", "damaged", f"SELECT count(*) AS n FROM ({query})")
+        part(name, "beyond the limit", relation, lake(on_damaged, CLEAN_LAKE, damaged=damaged.replace(f"{relation}_0", relation)))
+
+    # A defect goes through everything that derives from the changed relation.
+    for name, defect, relation, changed, *other in scenarios():
+        query = other[0] if other else found[name][2]
+        part(name, defect, relation, lake(f"SELECT count(*) AS n FROM ({query})", CLEAN_LAKE, **changed))
     return " UNION ALL ".join(parts)
 
 
+def scenarios() -> list[tuple]:
+    """Check, defect, relation, changed relations, and the check's statement where it needs another one."""
+    first = """concat_ws('|', pdv_id, prix_id, maj) = (SELECT concat_ws('|', pdv_id, prix_id, maj)
+        FROM raw_prices_0 WHERE prix_id IS NOT NULL ORDER BY pdv_id, prix_id, maj LIMIT 1)"""
+    newest = """pdv_id = (SELECT min(pdv_id) FROM raw_prices WHERE prix_id IS NOT NULL)
+        AND _source_year = (SELECT max(_source_year) FROM raw_prices WHERE prix_id IS NOT NULL)"""
+    in_order = "FROM raw_prices_0 WHERE prix_id IS NOT NULL ORDER BY pdv_id, prix_id, maj, valeur LIMIT"
+
+    def on_first(**values: str) -> dict[str, str]:
+        return {"raw_prices": where("raw_prices", first, **values)}
+
+    def on_newest(**values: str) -> dict[str, str]:
+        return {"raw_stations": where("raw_stations", newest, **values)}
+
+    def added(relation: str, rows: str) -> dict[str, str]:
+        return {relation: f"SELECT * FROM {relation}_0 UNION ALL (SELECT {rows})"}
+
+    def ranked(order: str, limit: int) -> dict[str, str]:
+        return {"current_prices": f"""SELECT * FROM staged_prices
+            QUALIFY row_number() OVER (PARTITION BY station_id, fuel_id ORDER BY {order}) <= {limit}"""}
+
+    return [
+        ("maj_parsable", "unreadable time", "raw_prices", on_first(maj="'2025-13-45T25:00:00'")),
+        ("maj_in_file_year", "report of another year", "raw_prices", on_first(maj="'1990-06-01T10:00:00'")),
+        (
+            "empty_tags_alone", "empty tag beside prices", "raw_prices",
+            added("raw_prices", f"* REPLACE (NULL AS prix_id, NULL AS prix_nom, NULL AS maj, NULL AS valeur) {in_order} 1"),
+        ),
+        (
+            "spring_gap_hour", "report in the missing hour", "raw_prices", on_first(maj="'2025-03-30T02:30:00'"),
+            "SELECT 1 FROM raw_prices WHERE maj LIKE '2024-03-31T02:%' OR maj LIKE '2025-03-30T02:%'",
+        ),
+        (
+            "conflicts_rare", "too many conflicts", "raw_prices",
+            added("raw_prices", f"* REPLACE (CAST(CAST(valeur AS DECIMAL(8,3)) + 0.100 AS VARCHAR) AS valeur) {in_order} 11"),
+        ),
+        (
+            "staging_keeps_reports", "fuel lost in staging", "staged_prices",
+            {"staged_prices": "SELECT * FROM staged_prices_0 WHERE fuel_id <> (SELECT CAST(max(prix_id) AS SMALLINT) FROM raw_prices)"},
+        ),
+        ("unique_staging", "conflicts not resolved", "staged_prices", {"staged_prices": "SELECT * FROM reports"}),
+        ("price_range", "price in thousandths", "raw_prices", on_first(valeur="'1638'")),
+        (
+            "unique_station_year", "station listed twice", "raw_stations",
+            added("raw_stations", "* FROM raw_stations_0 ORDER BY pdv_id, _source_year LIMIT 1"),
+        ),
+        ("stations_in_bounds", "coordinates swapped", "raw_stations", on_newest(latitude="longitude", longitude="latitude")),
+        ("mart_stations_in_bounds", "coordinates at zero", "raw_stations", on_newest(latitude="'0'", longitude="'0'")),
+        (
+            "changes_differ", "repeats kept", "price_changes",
+            added("price_changes", "* REPLACE (prix_litre AS prix_precedent) FROM price_changes_0 WHERE NOT est_premier_releve"),
+        ),
+        (
+            "one_first_report", "history by station only", "price_changes",
+            {"price_changes": """SELECT * REPLACE (est_premier_releve AND row_number() OVER (PARTITION BY station_id
+                ORDER BY maj_at, fuel_id) = 1 AS est_premier_releve) FROM price_changes_0"""},
+        ),
+        ("unique_current", "two last prices kept", "current_prices", ranked("maj_at DESC, prix_litre DESC", 2)),
+        ("current_equals_last_change", "first price taken", "current_prices", ranked("maj_at, prix_litre", 1)),
+        (
+            "age_not_negative", "reference at the first report", "current_prices",
+            {"current_prices": f"""SELECT c.* REPLACE (CAST({paris("d.debut")} AS DATE) - CAST({paris("c.maj_at")} AS DATE)
+                AS nombre_jours_depuis_maj) FROM current_prices_0 AS c CROSS JOIN (SELECT min(maj_at) AS debut FROM staged_prices) AS d"""},
+        ),
+        ("not_in_future", "report after its load", "raw_prices", on_first(maj="'2099-12-31T12:00:00'")),
+        ("no_mojibake", "repair removed", "staged_stations", on_newest(adresse="'Ã' || chr(137) || ' ' || adresse")),
+        ("medians_station_bound", "period one day too long", "validity_periods", {"prices_in_force": TOO_LONG}),
+        ("suspect_share", "E85 at petrol price", "raw_prices", {"raw_prices": where("raw_prices", "prix_id = '3'", valeur="'1.990'")}),
+    ]
+
+
 def oracle() -> dict[str, str]:
     years = {**EVENT_LAKE, "raw_prices": event_prices(340)}
     shifted = {days: {**EVENT_LAKE, "raw_prices": event_prices(days)} for days in (80, 280)}

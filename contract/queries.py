@@ -24,7 +24,7 @@ from tarifa.operators import medians, retention, sampling
 from tarifa.plans import exports
 from tarifa.plans.lake import TABLES, PriceLake, write_tables
 from tarifa.quality import defects, proofs
-from tarifa.quality.checks import CHECKS
+from tarifa.quality.checks import CHECKS, rules_by_relation
 from tarifa.session import scratch_folder
 from tarifa.sources import archives as arc
 from tarifa.sources import raw, run_results
@@ -492,7 +492,13 @@ def check_query(name: str) -> Query:
 
 
 def defect_injection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proofs.run_proofs(write_tables(m.clean_lake(spark, sf_dir), scratch_folder(spark, "proofs")))
+    """Each check against its counterexample, and each defect of data or derivation through all that derives from it."""
+    folder, clean = scratch_folder(spark, "proofs"), m.clean_lake(spark, sf_dir)
+    raws = {name: getattr(clean, name) for name in ("raw_prices", "raw_stations")}
+    for name, frame in raws.items():
+        frame.write.parquet(f"{folder}/{name}")
+    stored = PriceLake(**{n: spark.read.schema(f.schema).parquet(f"{folder}/{n}") for n, f in raws.items()}, settings=clean.settings)
+    return proofs.run_all(write_tables(stored, f"{folder}/tables", rules_by_relation(clean.settings)))
 
 
 def registry() -> dict[str, Query]:

@@ -36,6 +36,18 @@ class PriceLake:
         raw_stations = given.pop("raw_stations", self.raw_stations)
         return PriceLake(raw_prices, raw_stations, self.settings, **{**self._given, **given})
 
+    def rederived(self, **changed: DataFrame) -> PriceLake:
+        """Like ``with_relations``, and given relations that derive from the changed ones are derived anew."""
+        stale, todo = set(), list(changed)
+        while todo:
+            name = todo.pop()
+            found = [n for n, sources in SOURCES.items() if name in sources and n not in stale]
+            stale.update(found)
+            todo += found
+        kept = {name: frame for name, frame in self._given.items() if name not in stale}
+        raw = {name: changed.get(name, getattr(self, name)) for name in ("raw_prices", "raw_stations")}
+        return PriceLake(**raw, settings=self.settings, **{**kept, **{n: f for n, f in changed.items() if n not in raw}})
+
     def _get(self, name: str, derive) -> DataFrame:
         if name in self._given:
             return self._given[name]
@@ -122,6 +134,21 @@ class PriceLake:
         )
 
 
+# What each relation is derived from.
+SOURCES = {
+    "staged_prices": ["raw_prices"],
+    "reports": ["raw_prices", "staged_prices"],
+    "staged_stations": ["raw_stations"],
+    "validity_periods": ["staged_prices"],
+    "prices_in_force": ["validity_periods"],
+    "price_changes": ["staged_prices"],
+    "stations": ["staged_prices", "staged_stations"],
+    "station_attributes": ["staged_prices", "staged_stations"],
+    "current_prices": ["staged_prices"],
+    "daily_medians": ["validity_periods"],
+    "motorway_gap": ["validity_periods", "station_attributes"],
+}
+
 # Relations stored as tables, in the order in which they are written.
 TABLES = ["stations", "price_changes", "current_prices", "daily_medians", "motorway_gap"]
 

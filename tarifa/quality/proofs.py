@@ -2,7 +2,8 @@
 
 A check that never fires proves nothing. For every check a counterexample is made from its own limits: the rows of one victim,
 the first pair of station and fuel, are moved just beyond what the check allows, in the relation that it looks at. Only that
-relation changes, so on written tables nothing is derived again: a proof is one count on a stored relation.
+relation changes, so on written tables nothing is derived again: a proof is one count on a stored relation. The scenarios of
+``defects`` beside them change data or a derivation, and what follows from it is derived again.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from tarifa.functions.time import DAY_SECONDS
 from tarifa.operators.staging import PAIR
 from tarifa.plans.lake import PriceLake
-from tarifa.quality.checks import CHECKS
-from tarifa.quality.defects import replaced, with_copies
+from tarifa.quality.checks import CHECKS, run_checks
+from tarifa.quality.defects import SCENARIOS, first_report, replaced, with_copies
 
 THOUSANDTH = Decimal("0.001")
 
@@ -116,22 +117,53 @@ BREAKS: dict[str, tuple[str, Callable[[PriceLake, Victim], DataFrame]]] = {
 }
 
 
+def _counted(frame: DataFrame, check: str, defect: str, relation: str) -> DataFrame:
+    found = frame.agg(F.count(F.lit(1)).alias("violations"))
+    return found.select(F.lit(check).alias("controle"), F.lit(defect).alias("defaut"), F.lit(relation).alias("relation"), "violations")
+
+
+def _judged(lake: PriceLake, broken: list[DataFrame], names: list[str]) -> DataFrame:
+    """The counts on broken lakes beside those on the untouched one, each of which is taken once."""
+    control = run_checks(lake, names).select("controle", "severite", F.col("violations").alias("temoin"))
+    rows = reduce(DataFrame.unionByName, broken).join(F.broadcast(control), "controle")
+    status = F.when(F.col("violations") == 0, "pass").when(F.col("severite") == "error", "fail").otherwise("warn")
+    noticed = (F.col("violations") > F.col("temoin")).alias("detecte")
+    return rows.select("controle", "defaut", "relation", "temoin", "violations", status.alias("statut"), noticed)
+
+
+def _counterexamples(lake: PriceLake, names: list[str]) -> list[DataFrame]:
+    victim = first_pair(lake)
+
+    def row(name: str) -> DataFrame:
+        relation, change = BREAKS[name]
+        broken = CHECKS[name].find(lake.with_relations(**{relation: change(lake, victim)}))
+        return _counted(broken, name, "beyond the limit", relation)
+
+    return [row(name) for name in names]
+
+
+def _scenarios(lake: PriceLake, names: list[str]) -> list[DataFrame]:
+    first = first_report(lake)
+    wanted = [s for s in SCENARIOS if s.check in names]
+    return [_counted(CHECKS[s.check].find(s.inject(lake, first)), s.check, s.defect, s.relation) for s in wanted]
+
+
 def run_proofs(lake: PriceLake, names: list[str] | None = None) -> DataFrame:
     """One row per check: the changed relation, what the check counts before and after, and whether it noticed.
 
-    ``lake`` should read written tables. All proofs are one lazy result, a union of two counts each.
+    ``lake`` should read written tables. All proofs are one lazy result, a union of counts.
     """
-    victim = first_pair(lake)
+    names = list(names or CHECKS)
+    return _judged(lake, _counterexamples(lake, names), names)
 
-    def counted(frame: DataFrame, name: str) -> DataFrame:
-        return frame.agg(F.count(F.lit(1)).alias(name))
 
-    def row(name: str) -> DataFrame:
-        check, (relation, change) = CHECKS[name], BREAKS[name]
-        broken = check.find(lake.with_relations(**{relation: change(lake, victim)}))
-        both = counted(check.find(lake), "temoin").crossJoin(F.broadcast(counted(broken, "violations")))
-        status = F.when(F.col("violations") > 0, "fail" if check.severity == "error" else "warn").otherwise("pass")
-        noticed = (F.col("violations") > F.col("temoin")).alias("detecte")
-        return both.select(F.lit(name).alias("controle"), F.lit(relation).alias("relation"), "temoin", "violations", status.alias("statut"), noticed)
-
-    return reduce(DataFrame.unionByName, [row(name) for name in names or CHECKS])
+def run_scenarios(lake: PriceLake, names: list[str] | None = None) -> DataFrame:
+    """One row per scenario of ``defects``: its defect goes through everything that derives from the changed relation."""
+    names = [s.check for s in SCENARIOS if not names or s.check in names]
+    return _judged(lake, _scenarios(lake, names), names)
+
+
+def run_all(lake: PriceLake) -> DataFrame:
+    """Counterexamples and scenarios together, against one control."""
+    names = list(CHECKS)
+    return _judged(lake, _counterexamples(lake, names) + _scenarios(lake, names), names)

@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarifa.plans.lake import write_tables
-from tarifa.quality.proofs import BREAKS, run_proofs
+from tarifa.quality.proofs import BREAKS, run_proofs, run_scenarios
 from tarifa.quality.checks import CHECKS, REQUIRED, ROW_RULES, rules_by_relation, run_checks
-from tarifa.quality.defects import replaced
+from tarifa.quality.defects import SCENARIOS, replaced
 from tests.lakes import lake, report, sample_lake, station
 
 
@@ -33,6 +33,19 @@ def test_each_check_notices_its_counterexample(clean, tmp_path):
     assert {r["controle"] for r in rows if r["statut"] == "warn"} == {"suspect_share"}
 
 
+def test_each_defect_is_noticed_after_what_it_changes_is_derived_anew(clean, tmp_path):
+    """Twenty defects of data and of derivations; on written tables they count the same as on a lake that is derived as a whole."""
+    assert [s.check for s in SCENARIOS[:3]] == ["maj_parsable", "maj_in_file_year", "empty_tags_alone"]
+    assert {s.check for s in SCENARIOS} == set(list(CHECKS)[:20]) and len(SCENARIOS) == 20
+    stored = write_tables(clean, str(tmp_path), rules_by_relation(clean.settings))
+    rows = {r["controle"]: (r["temoin"], r["violations"], r["statut"], r["detecte"]) for r in run_scenarios(stored).collect()}
+    assert {name: (r[0], r[3]) for name, r in rows.items()} == dict.fromkeys(rows, (0, True)) and len(rows) == 20
+    assert rows["suspect_share"][2] == "warn"
+    some = ["price_range", "mart_stations_in_bounds", "medians_station_bound", "suspect_share", "unique_current"]
+    whole = {r["controle"]: r["violations"] for r in run_scenarios(clean, some).collect()}
+    assert whole == {name: rows[name][1] for name in some}
+
+
 def test_row_rules_are_counted_while_writing(spark, clean, tmp_path):
     """What is observed equals what a scan finds, and a report of these checks reads no table."""
     hit = (F.col("pdv_id") == "1") & (F.col("prix_id") == "1")
