@@ -850,11 +850,12 @@ def proofs() -> str:
 
 def scenarios() -> list[tuple]:
     """Check, defect, relation, changed relations, and the check's statement where it needs another one."""
-    first = """concat_ws('|', pdv_id, prix_id, maj) = (SELECT concat_ws('|', pdv_id, prix_id, maj)
-        FROM raw_prices_0 WHERE prix_id IS NOT NULL ORDER BY pdv_id, prix_id, maj LIMIT 1)"""
-    newest = """pdv_id = (SELECT min(pdv_id) FROM raw_prices WHERE prix_id IS NOT NULL)
-        AND _source_year = (SELECT max(_source_year) FROM raw_prices WHERE prix_id IS NOT NULL)"""
-    in_order = "FROM raw_prices_0 WHERE prix_id IS NOT NULL ORDER BY pdv_id, prix_id, maj, valeur LIMIT"
+    whole = "pdv_id IS NOT NULL AND prix_id IS NOT NULL AND maj IS NOT NULL"
+    first = f"""concat_ws('|', pdv_id, prix_id, maj) = (SELECT concat_ws('|', pdv_id, prix_id, maj)
+        FROM raw_prices_0 WHERE {whole} ORDER BY pdv_id, prix_id, maj LIMIT 1)"""
+    newest = f"""pdv_id = (SELECT min(pdv_id) FROM raw_prices WHERE {whole})
+        AND _source_year = (SELECT max(_source_year) FROM raw_prices WHERE {whole})"""
+    in_order = f"FROM raw_prices_0 WHERE {whole} ORDER BY pdv_id, prix_id, maj, valeur LIMIT"
 
     def on_first(**values: str) -> dict[str, str]:
         return {"raw_prices": where("raw_prices", first, **values)}

@@ -54,12 +54,17 @@ class First(NamedTuple):
 
 def first_report(lake: PriceLake) -> First:
     key = F.min(F.struct("pdv_id", "prix_id", "maj"))
-    found = _filled(lake).agg(key.alias("k"), F.max("_source_year").alias("y")).first()
+    found = _whole(lake).agg(key.alias("k"), F.max("_source_year").alias("y")).first()
     return First(*(found["k"] or (None, None, None)), found["y"])
 
 
-def _filled(lake: PriceLake) -> DataFrame:
-    return lake.raw_prices.where(F.col("prix_id").isNotNull())
+def _whole(lake: PriceLake) -> DataFrame:
+    """Reports of a known station, fuel and time."""
+    return lake.raw_prices.where("pdv_id is not null and prix_id is not null and maj is not null")
+
+
+def _in_order(lake: PriceLake) -> DataFrame:
+    return _whole(lake).orderBy("pdv_id", "prix_id", "maj", F.col("valeur").asc_nulls_last())
 
 
 def on_prices(**values: str) -> Callable[[PriceLake, First], PriceLake]:
@@ -87,20 +92,19 @@ def always(change: Callable[[PriceLake], PriceLake]) -> Callable[[PriceLake, Fir
 
 def empty_tag_added(lake: PriceLake) -> PriceLake:
     nothing = F.lit(None).cast("string")
-    one = _filled(lake).orderBy("pdv_id", "prix_id", "maj", "valeur").limit(1)
+    one = _in_order(lake).limit(1)
     changed = with_copies(lake.raw_prices, one, prix_id=nothing, prix_nom=nothing, maj=nothing, valeur=nothing)
     return lake.rederived(raw_prices=changed)
 
 
 def conflicts_added(lake: PriceLake) -> PriceLake:
-    first = _filled(lake).orderBy("pdv_id", "prix_id", "maj", "valeur")
     dearer = (F.col("valeur").cast("decimal(8,3)") + F.lit("0.100").cast("decimal(4,3)")).cast("string")
-    copies = first.limit(lake.settings.max_conflicts + 1)
+    copies = _in_order(lake).limit(lake.settings.max_conflicts + 1)
     return lake.rederived(raw_prices=with_copies(lake.raw_prices, copies, valeur=dearer))
 
 
 def station_twice(lake: PriceLake) -> PriceLake:
-    first = lake.raw_stations.orderBy("pdv_id", "_source_year").limit(1)
+    first = lake.raw_stations.orderBy(F.col("pdv_id").asc_nulls_last(), "_source_year").limit(1)
     return lake.rederived(raw_stations=with_copies(lake.raw_stations, first))
 
 
