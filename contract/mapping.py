@@ -7,7 +7,8 @@
 from __future__ import annotations
 
 import datetime as dt
-import io
+import mmap
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from itertools import groupby
@@ -198,18 +199,24 @@ def order_lake(spark: SparkSession, sf_dir: str) -> PriceLake:
 
 
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Archives from rows (path, element) sorted by path: one archive at a time is held, whatever a batch or a task holds."""
+    """Archives from rows (path, element) sorted by path, made one at a time, whatever a batch or a task holds.
+
+    An archive is made in an unnamed file and handed over as a map of it, so that memory holds none whole.
+    """
     stamp = pa.scalar(dt.datetime.fromisoformat(f"{LOADED_AT}+00:00"), pa.timestamp("us", "UTC"))
     rows = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
     for path, elements in groupby(rows, key=itemgetter(0)):
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open(zipfile.ZipInfo("prices.xml"), "w") as document:
-                document.write(b'<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n')
-                document.writelines(element.encode("ISO-8859-1") for _, element in elements if element is not None)
-                document.write(b"</pdv_liste>\n")
-        content = buffer.getvalue()
-        columns = [pa.array([path], pa.string()), pa.array([stamp]), pa.array([len(content)]), pa.array([content], pa.binary())]
+        with tempfile.TemporaryFile() as file:
+            with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+                with archive.open(zipfile.ZipInfo("prices.xml"), "w") as document:
+                    document.write(b'<?xml version="1.0" encoding="ISO-8859-1"?>\n<pdv_liste>\n')
+                    document.writelines(element.encode("ISO-8859-1") for _, element in elements if element is not None)
+                    document.write(b"</pdv_liste>\n")
+            file.flush()
+            mapped = pa.py_buffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ))
+        bounds = pa.array([0, mapped.size], pa.int32()).buffers()[1]
+        content = pa.Array.from_buffers(pa.binary(), 1, [None, bounds, mapped])
+        columns = [pa.array([path], pa.string()), pa.array([stamp]), pa.array([mapped.size]), content]
         yield pa.RecordBatch.from_arrays(columns, names=ARCHIVES.names)
 
 

@@ -162,13 +162,22 @@ def _record_batches(origin: tuple, file: BinaryIO) -> Iterator[pa.RecordBatch]:
         yield _record_batch(origin, first, elements)
 
 
+def _contents(column: pa.Array) -> Iterator[pa.Buffer]:
+    """The bytes of each row as parts of the column's own buffer; a scalar of the column would be a copy."""
+    if not len(column):
+        return
+    _, bounds, data = column.buffers()
+    places = memoryview(bounds).cast("q" if pa.types.is_large_binary(column.type) else "i")
+    for i in range(column.offset, column.offset + len(column)):
+        yield data.slice(places[i], places[i + 1] - places[i])
+
+
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The contents of a batch are read where they lie: no copy of them is made."""
     for batch in batches:
-        source, year, digest, content = batch.columns
-        for i in range(batch.num_rows):
-            origin = (source[i].as_py(), year[i].as_py(), digest[i].as_py())
-            yield from _record_batches(origin, pa.BufferReader(content[i].as_buffer()))
+        *origins, contents = batch.columns
+        for *origin, content in zip(*(column.to_pylist() for column in origins), _contents(contents)):
+            yield from _record_batches(tuple(origin), pa.BufferReader(content))
 
 
 def open_anywhere(path: str) -> BinaryIO:

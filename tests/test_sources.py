@@ -5,6 +5,7 @@ import io
 import json
 import tracemalloc
 import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -251,3 +252,45 @@ def test_a_read_archive_leaves_nothing_behind():
         tracemalloc.stop()
         gc.enable()
     assert left < 1 << 20
+
+
+def anonymous_mb():
+    """Memory of this process without mapped files, what Arrow and the parser hold included."""
+    lines = Path("/proc/self/smaps_rollup").read_text().splitlines()
+    return int(next(line for line in lines if line.startswith("Anonymous:")).split()[1]) / 1024
+
+
+def test_a_large_archive_is_made_outside_of_memory():
+    """While archives of 64 MB are made and handed over, none of them is held in memory."""
+    element = "<pdv id='é'>" + "x" * (1 << 20) + "</pdv>"
+
+    def batches():
+        for path in ("a", "b", "c"):
+            for _ in range(64):
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([element])], names=["path", "element"])
+
+    before, most, sizes = anonymous_mb(), 0, []
+    for batch in mapping._zip(batches()):
+        most = max(most, anonymous_mb())
+        sizes.append(batch.column(2)[0].as_py())
+    assert len(sizes) == 3 and min(sizes) > 64 << 20
+    assert most - before < 32
+
+
+def test_a_large_archive_is_not_copied_to_be_read():
+    """The first records of an archive of 64 MB come without a second one in memory; slices and empty batches are read alike."""
+    element = "<pdv id='1'>" + "x" * (1 << 20) + "</pdv>"
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        archive.writestr("prices.xml", (HEAD + element * 64 + "</pdv_liste>").encode("ISO-8859-1"))
+    contents = pa.array([b"no archive", buffer.getvalue()])
+    columns = [pa.array(["e", "f"]), pa.array([2023, 2024], pa.int32()), pa.array(["c", "d"]), contents]
+    batch = pa.RecordBatch.from_arrays(columns, names=[*arc.ORIGIN, "content"])
+    before = anonymous_mb()
+    found = arc._unpack(iter([batch.slice(0, 0), batch.slice(1, 1)]))
+    first = next(found)
+    assert anonymous_mb() - before < 32
+    assert first.slice(0, 1).to_pylist() == [
+        {"source_file": "f", "annee": 2024, "sha256": "d", "ordinal": 0, "element": element}
+    ]
+    assert first.num_rows + sum(part.num_rows for part in found) == 64
